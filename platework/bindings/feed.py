@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platework.functions.text import to_int
-from platework.plans import gold, silver
+from platework.plans import gold, quality, silver
 from platework.schemas import BEV, PHEV
 from platework.sources.tables import state_goals, zip_demographics
 
@@ -31,9 +31,12 @@ def _vin(order_key: Column) -> Column:
     return F.concat(F.lit("V"), F.lpad(order_key.cast("string"), 9, "0"))
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem; parts, suppliers and nations are joined by Spark's choice of strategy."""
-    lines = table(spark, sf_dir, "lineitem")
+def bronze(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """One row per lineitem; parts, suppliers and nations are joined by Spark's choice of strategy.
+
+    ``lines`` may be a stream of lineitems.
+    """
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     nations = table(spark, sf_dir, "nation")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
@@ -170,6 +173,31 @@ class Layers:
         return {n: build[n]() for n in names}
 
 
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as one measurement; those of user 7 have no value."""
+    events = table(spark, sf_dir, "events")
+    kind, value = F.col("event_type"), F.col("value").cast("decimal(18,2)")
+    metric = (
+        F.when(kind == "signup", F.lit(quality.COMPLETENESS)).when(kind == "click", F.lit(quality.DUPLICATES))
+        .when(kind == "view", F.lit(quality.FRESHNESS)).when(kind == "purchase", F.lit(quality.RULES))
+        .otherwise(F.lit(quality.RECONCILIATION))
+    )
+    measured = (
+        F.when(kind == "signup", F.when(value > 30, F.lit(99.5)).otherwise(F.lit(100.0)))
+        .when(kind == "view", value * 300).when(kind == "error", F.floor(value / 30) - 1)
+        .otherwise(F.floor(value / 40))
+    )
+    return events.select(
+        F.col("ts").alias("SCHEDULED_TIME"),
+        F.col("ts").alias("MEASUREMENT_TIME"),
+        F.lit("EV_DEMO").alias("TABLE_DATABASE"),
+        F.lit("CLEAN").alias("TABLE_SCHEMA"),
+        F.when(F.col("user_id") < 50, F.lit(quality.SILVER_NAME)).otherwise(F.lit(quality.QUARANTINE_NAME)).alias("TABLE_NAME"),
+        metric.alias("METRIC_NAME"),
+        F.when(F.col("user_id") != 7, measured).cast("decimal(38,2)").alias("VALUE"),
+    )
+
+
 # Documents. Both are packed row by row: no grouping, so a document is as large as the row it comes from.
 
 LINE_CONTRACT = [("line_no", "LINE_NO", "int"), ("line", "LINE", "string"), ("source", "SOURCE", "string")]

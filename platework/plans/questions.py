@@ -16,7 +16,8 @@ from platework.operators.lookups import left_lookup
 
 Tables = dict[str, DataFrame]
 
-_APPROVED = F.col("status") == "APPROVED"
+def _approved():
+    return F.col("status") == "APPROVED"
 
 
 def _count():
@@ -210,7 +211,7 @@ def approval_by_vehicle_type(t: Tables) -> DataFrame:
 
 def _approval(applications: DataFrame, key: str) -> DataFrame:
     grouped = applications.groupBy(key).agg(
-        _count().alias("total_applications"), F.count_if(_APPROVED).alias("approved")
+        _count().alias("total_applications"), F.count_if(_approved()).alias("approved")
     )
     return grouped.withColumn("approval_rate_pct", percent_double("approved", "total_applications"))
 
@@ -283,7 +284,7 @@ def review_days(t: Tables) -> DataFrame:
 
 def total_disbursed(t: Tables) -> DataFrame:
     return t["incentive_applications"].agg(
-        sum_where(_APPROVED, "incentive_amount").cast("double").alias("total_disbursed")
+        sum_where(_approved(), "incentive_amount").cast("double").alias("total_disbursed")
     )
 
 
@@ -311,7 +312,7 @@ def rich_zip_split(t: Tables, min_income: int = 100_000) -> DataFrame:
 
 
 def approved_models(t: Tables, k: int = 10) -> DataFrame:
-    grouped = count_by(t["incentive_applications"].where(_APPROVED), ["make", "model"], "approved")
+    grouped = count_by(t["incentive_applications"].where(_approved()), ["make", "model"], "approved")
     return top_k(grouped, k, F.col("approved").desc(), "make", "model")
 
 

@@ -1,26 +1,24 @@
 """Measures by dimensions over the star: ``semantic_query(tables, measures, dims, filters)``.
 
-A measure is kept as partial aggregates that can be summed or maxed again, and an expression over the
-merged partials. That is what lets applications be grouped by VIN before they meet the fact: a vehicle
+A measure is kept as partial aggregates and an expression over them; those of applications can be
+summed again. That is what lets applications be grouped by VIN before they meet the fact: a vehicle
 with three applications stays one registration.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platework.functions.numbers import sum_where
-
 
 @dataclass(frozen=True)
 class Measure:
-    partials: dict[str, Column]
-    final: Column
-    merge: str = "sum"
+    """``partials`` are aggregates by name and ``final`` an expression over them, as SQL text."""
+
+    partials: dict[str, str]
+    final: str
     needs: tuple[str, ...] = ()
 
 
@@ -33,18 +31,14 @@ class Table:
     links: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def _count(column: str) -> Column:
-    return F.count(column)
-
-
 # The named measures and relationships of the model.
 MODEL = {
     "fact_registrations": Table(
         measures={
-            "registration_count": Measure({"regs": _count("VIN")}, F.col("regs")),
+            "registration_count": Measure({"regs": "count(VIN)"}, "regs"),
             "avg_electric_range": Measure(
-                {"range_sum": F.sum("ELECTRIC_RANGE"), "range_n": _count("ELECTRIC_RANGE")},
-                F.try_divide(F.col("range_sum").cast("double"), F.col("range_n")),
+                {"range_sum": "sum(ELECTRIC_RANGE)", "range_n": "count(ELECTRIC_RANGE)"},
+                "try_divide(cast(range_sum as double), range_n)",
                 needs=("ELECTRIC_RANGE",),
             ),
         },
@@ -55,43 +49,30 @@ MODEL = {
     "dim_geography": Table(measures={}),
     "agg_by_year": Table(
         measures={
-            "total_registrations": Measure({"total": F.sum("REGISTRATION_COUNT")}, F.col("total")),
-            "latest_cumulative": Measure({"cumulative": F.max("CUMULATIVE_COUNT")}, F.col("cumulative"), "max"),
-            "goal_progress_pct": Measure({"progress": F.max("PCT_OF_GOAL")}, F.col("progress") * 100, "max"),
+            "total_registrations": Measure({"total": "sum(REGISTRATION_COUNT)"}, "total"),
+            "latest_cumulative": Measure({"cumulative": "max(CUMULATIVE_COUNT)"}, "cumulative"),
+            "goal_progress_pct": Measure({"progress": "max(PCT_OF_GOAL)"}, "progress * 100"),
         },
         time_dimensions=("MODEL_YEAR",),
     ),
     "agg_by_county": Table(
         measures={
-            "total_registrations": Measure({"total": F.sum("REGISTRATION_COUNT")}, F.col("total")),
-            "avg_per_capita": Measure(
-                {
-                    "per_capita_sum": F.sum("REGISTRATIONS_PER_CAPITA"),
-                    "per_capita_n": _count("REGISTRATIONS_PER_CAPITA"),
-                },
-                F.try_divide("per_capita_sum", "per_capita_n"),
-            ),
+            "total_registrations": Measure({"total": "sum(REGISTRATION_COUNT)"}, "total"),
+            "avg_per_capita": Measure({"per_capita": "avg(REGISTRATIONS_PER_CAPITA)"}, "per_capita"),
         },
     ),
     "incentive_applications": Table(
         measures={
-            "total_applications": Measure({"apps": _count("application_id")}, F.coalesce("apps", F.lit(0))),
+            "total_applications": Measure({"apps": "count(application_id)"}, "coalesce(apps, 0)"),
             "approval_rate": Measure(
-                {
-                    "apps": _count("application_id"),
-                    "approved": F.count_if(F.col("status") == "APPROVED"),
-                },
-                F.try_divide(F.col("approved") * F.lit(100.0), F.col("apps")),
+                {"apps": "count(application_id)", "approved": "count_if(status = 'APPROVED')"},
+                "try_divide(approved * 100.0D, apps)",
             ),
             "total_incentive_amount": Measure(
-                {"amount": sum_where(F.col("status") == "APPROVED", "incentive_amount")}, F.col("amount")
-            ),
-            "pending_count": Measure(
-                {"pending": F.count_if(F.col("status") == "PENDING")}, F.coalesce("pending", F.lit(0))
-            ),
-            "denied_count": Measure(
-                {"denied": F.count_if(F.col("status") == "DENIED")}, F.coalesce("denied", F.lit(0))
+                {"amount": "sum(CASE WHEN status = 'APPROVED' THEN incentive_amount ELSE 0 END)"}, "amount"
             ),
+            "pending_count": Measure({"pending": "count_if(status = 'PENDING')"}, "coalesce(pending, 0)"),
+            "denied_count": Measure({"denied": "count_if(status = 'DENIED')"}, "coalesce(denied, 0)"),
         },
         time_dimensions=("submitted_date",),
     ),
@@ -114,8 +95,8 @@ def resolve_measure(name: str) -> tuple[str, str]:
     return owners[0], measure
 
 
-def _partials(measures: list[Measure]) -> dict[str, Column]:
-    merged: dict[str, Column] = {}
+def _partials(measures: list[Measure]) -> dict[str, str]:
+    merged: dict[str, str] = {}
     for m in measures:
         merged.update(m.partials)
     return merged
@@ -173,11 +154,11 @@ def semantic_query(
     for condition in filters.values():
         df = df.where(condition)
 
-    aggregates = {f"__{p}": c for p, c in _partials(list(own.values())).items()}
+    aggregates = {f"__{p}": F.expr(c) for p, c in _partials(list(own.values())).items()}
     if nested:
         partials = _partials(list(nested.values()))
         per_vin = tables[APPLICATIONS].groupBy(F.col("vin").alias("__app_vin")).agg(
-            *[c.alias(f"__app_{p}") for p, c in partials.items()]
+            *[F.expr(c).alias(f"__app_{p}") for p, c in partials.items()]
         )
         df = df.join(per_vin, df["VIN"] == per_vin["__app_vin"], "left").drop("__app_vin")
         aggregates |= {f"__{p}": F.sum(f"__app_{p}") for p in partials}
@@ -186,4 +167,4 @@ def semantic_query(
     grouped = df.groupBy(*dims).agg(*columns) if dims else df.agg(*columns)
     everything = {**own, **nested}
     merged = grouped.withColumnsRenamed({f"__{p}": p for m in everything.values() for p in m.partials})
-    return merged.select(*dims, *[everything[resolve_measure(n)[1]].final.alias(n.split(".")[-1]) for n in measures])
+    return merged.select(*dims, *[F.expr(everything[resolve_measure(n)[1]].final).alias(n.split(".")[-1]) for n in measures])
