@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from platework.functions.text import to_int
 from platework.plans import gold, quality, silver
 from platework.schemas import BEV, PHEV
+from platework.session import new_folder
 from platework.sources.tables import state_goals, zip_demographics
 
 YEAR_SHIFT = 28
@@ -23,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A table in fewer files than there are cores, dealt out by its keys before costly work on each row.
+
+    A table in many files is read by many tasks anyway and stays as it is.
+    """
+    few = len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(*keys) if few else df
+
+
 def _text(column) -> Column:
     return F.col(column).cast("string") if isinstance(column, str) else column.cast("string")
 
@@ -36,7 +46,8 @@ def bronze(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) ->
 
     ``lines`` may be a stream of lineitems.
     """
-    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
+    if lines is None:
+        lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     nations = table(spark, sf_dir, "nation")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
@@ -120,10 +131,23 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Layers:
-    """The layers over the derived registrations, each built when asked for."""
+    """The layers over the derived registrations, each built when asked for.
+
+    With ``stored`` silver and quarantine are written once and read back, as in a full run; that pays
+    where a query reads them several times.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "reference", grain: str = "reference"):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, mode: str = "reference", grain: str = "reference", stored: bool = False
+    ):
         self.spark, self.sf_dir, self.mode, self.grain = spark, sf_dir, mode, grain
+        self.folder = new_folder(spark, "layers") if stored else None
+        if stored:
+            silver.store_silver(*self._inputs(), f"{self.folder}/silver", f"{self.folder}/quarantine", mode, False)
+
+    def _inputs(self) -> list[DataFrame]:
+        # The lookups are the fixed tables: 15 and 11 rows with unique keys, so nothing to count.
+        return [self.bronze(), zip_demographics(self.spark), state_goals(self.spark), self.applications()]
 
     def bronze(self) -> DataFrame:
         return bronze(self.spark, self.sf_dir)
@@ -132,13 +156,13 @@ class Layers:
         return applications(self.spark, self.sf_dir)
 
     def silver(self) -> DataFrame:
-        # The lookups are the fixed tables: 15 and 11 rows with unique keys, so nothing to count.
-        return silver.build_silver(
-            self.bronze(), zip_demographics(self.spark), state_goals(self.spark), self.applications(),
-            self.mode, check_lookups=False,
-        )
+        if self.folder:
+            return self.spark.read.parquet(f"{self.folder}/silver")
+        return silver.build_silver(*self._inputs(), self.mode, check_lookups=False)
 
     def quarantine(self) -> DataFrame:
+        if self.folder:
+            return self.spark.read.parquet(f"{self.folder}/quarantine")
         return silver.build_quarantine(self.bronze(), self.mode)
 
     def dim_vehicle(self) -> DataFrame:
@@ -218,7 +242,7 @@ def _document(name: Column, header: Column, data: Column) -> Column:
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per text, one record per line; French texts use another column order."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     lines = F.split("text", "\n")
     # Spark reads the header per document, so the two orders must not be mixed up.
     usual = F.transform(lines, lambda line, i: F.array(F.lit("sys"), i.cast("string"), line, F.col("source")))
@@ -239,7 +263,7 @@ def event_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) -> D
 
     ``faulty`` makes errors unreadable (cut off) and takes ``value`` out of the header of clicks.
     """
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"), "event_id")
     kind = F.col("event_type")
     value = F.when(kind == "purchase", F.lit("n/a")).otherwise(_text("value"))
     record = F.array(_text("event_id"), kind, value, F.concat(F.lit("props "), F.col("props")))

@@ -147,14 +147,14 @@ FROM fact f LEFT JOIN dim_vehicle v ON f.VIN = v.VIN LEFT JOIN {geo} g ON f.GEO_
 @query(over_feed(_SHARED.format(geo="dim_geography")))
 def shared_view(spark, sf):
     """Flat consumer view; places with several rows per key fan out, as in the reference grain."""
-    layers = Layers(spark, sf)
+    layers = Layers(spark, sf, stored=True)
     return _amounts(gold.shared_registrations(layers.fact(), layers.dim_vehicle(), layers.dim_geography()))
 
 
 @query(over_feed(_SHARED.format(geo="geo_by_key")))
 def shared_view_by_key(spark, sf):
     """One row per vehicle, with the geography joined by the strategy for large dimensions."""
-    layers = Layers(spark, sf, grain="key")
+    layers = Layers(spark, sf, grain="key", stored=True)
     flat = gold.shared_registrations(layers.fact(), layers.dim_vehicle(), layers.dim_geography(), spread=True)
     return _amounts(flat)
 
@@ -185,7 +185,7 @@ _SQL_NAMES = {"fact_registrations": "fact", "agg_by_county": "by_county", "agg_b
 
 @query(over_feed(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {_SQL_NAMES.get(t, t)}" for t in _COUNTED)))
 def layer_row_counts(spark, sf):
-    return health.row_counts(Layers(spark, sf).tables(*_COUNTED))
+    return health.row_counts(Layers(spark, sf, stored=True).tables(*_COUNTED))
 
 
 @query(over_feed(f"""SELECT *, CASE WHEN bronze_distinct_vins = silver_plus_quarantine THEN '{health.PASS_TEXT}' ELSE '{health.INVESTIGATE_TEXT}' END AS reconciliation_status
@@ -319,7 +319,7 @@ def metric_series(spark, sf):
 # Measures by dimensions
 
 def _star(spark, sf, *names):
-    return Layers(spark, sf, grain="key").tables("fact_registrations", "dim_vehicle", "dim_geography", *names)
+    return Layers(spark, sf, grain="key", stored=True).tables("fact_registrations", "dim_vehicle", "dim_geography", *names)
 
 
 @query(over_feed("SELECT MAKE, count(VIN) AS registration_count, avg(ELECTRIC_RANGE) AS avg_electric_range FROM silver GROUP BY MAKE"))
@@ -383,8 +383,11 @@ def county_measures(spark, sf):
 def _ask(question, *names, **options):
     """The question over those tables of the derived registrations."""
 
+    # Two tables that both come from silver: write it once.
+    stored = {"fact_registrations", "dim_geography"} <= set(names)
+
     def build(spark, sf):
-        return _amounts(question(Layers(spark, sf).tables(*names), **options))
+        return _amounts(question(Layers(spark, sf, stored=stored).tables(*names), **options))
 
     build.__name__ = question.__name__
     return build

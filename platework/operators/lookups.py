@@ -54,26 +54,23 @@ def spread_left_join(df: DataFrame, dim: DataFrame, key: str, parts: int = 64, s
     """Left equi join by shuffle in which no key sits in one task, however many rows it holds.
 
     A key is hot when it holds more than one row in ``share``, so there are fewer than ``share`` hot
-    keys whatever the data: that list is safe to broadcast. Rows of hot keys are dealt over ``parts``
-    tasks, and only their dimension rows are copied to each of them. Nothing is dropped or sampled.
+    keys whatever the data: that list is safe to broadcast. Rows of hot keys, and those without a key,
+    are dealt over ``parts`` tasks, and only the dimension rows of hot keys are copied to each of them.
+    Nothing is dropped or sampled.
     """
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = per_key.agg(F.sum("__n"))
-    hot = per_key.where(F.col("__n") * F.lit(share) > total.scalar()).select(
-        F.col(key).alias("__hot_key")
-    )
-    others = [c for c in df.columns if c != key]
-    deal = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(parts)).cast("int") if others else F.lit(0)
+    total = per_key.agg(F.sum("__n")).scalar()
+    hot = F.broadcast(per_key.where(F.col("__n") * F.lit(share) > total).select(F.col(key).alias("__hot_key")))
+    is_hot = F.col("__hot_key").isNotNull()
+    deal = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)).cast("int")
 
-    rows = df.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn(
-        "__part", F.when(F.col("__hot_key").isNotNull(), deal).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("__hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
-        F.array(F.lit(0))
+    rows = df.join(hot, F.col(key) == F.col("__hot_key"), "left").withColumn(
+        "__part", F.when(is_hot | F.col(key).isNull(), deal).otherwise(F.lit(0))
     )
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     dims = (
         dim.withColumnRenamed(key, "__dim_key")
-        .join(F.broadcast(hot), F.col("__dim_key") == F.col("__hot_key"), "left")
+        .join(hot, F.col("__dim_key") == F.col("__hot_key"), "left")
         .withColumn("__dim_part", F.explode(copies))
         .drop("__hot_key")
     )

@@ -74,12 +74,13 @@ def shared_registrations(
     """The star as one flat table. VIN is unique on both sides; a place may hold any share of the fact,
     so with a geography too large to broadcast pass ``spread=True`` to deal hot places over many tasks."""
     facts = fact.withColumnRenamed("MODEL_YEAR", "FACT_YEAR")
-    flat = left_lookup(facts, vehicles.drop("MODEL_YEAR").withColumnRenamed("VIN", "V_VIN"), {"VIN": "V_VIN"})
+    vehicles = vehicles.drop("MODEL_YEAR").withColumnRenamed("VIN", "V_VIN")
+    # Geography first: finding the hot places then reads one column of the fact and nothing else.
     if spread:
-        flat = spread_left_join(flat, geography, "GEO_KEY")
+        flat = spread_left_join(facts, geography, "GEO_KEY")
     else:
-        flat = left_lookup(flat, geography.withColumnRenamed("GEO_KEY", "G_KEY"), {"GEO_KEY": "G_KEY"})
-    flat = flat.withColumnRenamed("FACT_YEAR", "MODEL_YEAR")
+        flat = left_lookup(facts, geography.withColumnRenamed("GEO_KEY", "G_KEY"), {"GEO_KEY": "G_KEY"})
+    flat = left_lookup(flat, vehicles, {"VIN": "V_VIN"}).withColumnRenamed("FACT_YEAR", "MODEL_YEAR")
     own = [c for c in FACT_COLUMNS if c != "GEO_KEY"]
     return flat.select(*own, *[c for c in VEHICLE_COLUMNS if c not in own], *GEOGRAPHY_COLUMNS)
 

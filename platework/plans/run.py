@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,14 +73,8 @@ def _bronze(spark: SparkSession, cfg: Config, now: datetime) -> None:
 
 
 def _silver(spark: SparkSession, cfg: Config, now: datetime) -> None:
-    # Silver and quarantine share the dedup: kept while both are written, recomputed if an executor is lost.
-    judged = silver.judged_registrations(load(spark, cfg, "bronze"), cfg.mode).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lookups = [load(spark, cfg, n) for n in ("zip_demographics", "state_goals", "incentive_applications")]
-        tables.write_table(silver.silver_from(judged, *lookups), cfg.path("silver"))
-        tables.write_table(silver.quarantine_from(judged), cfg.path("quarantine"))
-    finally:
-        judged.unpersist()
+    inputs = [load(spark, cfg, n) for n in ("bronze", "zip_demographics", "state_goals", "incentive_applications")]
+    silver.store_silver(*inputs, cfg.path("silver"), cfg.path("quarantine"), cfg.mode)
 
 
 def _gold(spark: SparkSession, cfg: Config, now: datetime) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from platework.operators.latest import dedup_latest
 from platework.operators.lookups import checked_lookup, left_lookup
 from platework.operators.rules import Rule, judge, rejected_rows, valid_rows
 from platework.schemas import LINEAGE, QUARANTINE_COLUMNS, SILVER_COLUMNS, VALID_EV_TYPES
+from platework.sources.tables import write_table
 
 MODES = ("reference", "strict")
 
@@ -37,10 +39,14 @@ def bronze_order(bronze: DataFrame) -> list[Column]:
     return latest_first("LOAD_TS", *[c for c in LINEAGE if c in bronze.columns])
 
 
-def latest_registrations(bronze: DataFrame, mode: str = "reference", key: str = "VIN") -> DataFrame:
-    """One row per vehicle. Reference mode keeps one row of all those without a VIN, strict keeps each."""
+def _check_mode(mode: str) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+
+
+def latest_registrations(bronze: DataFrame, mode: str = "reference", key: str = "VIN") -> DataFrame:
+    """One row per vehicle. Reference mode keeps one row of all those without a VIN, strict keeps each."""
+    _check_mode(mode)
     return dedup_latest(bronze, [key], bronze_order(bronze), "one" if mode == "reference" else "all")
 
 
@@ -109,6 +115,38 @@ def quarantine_from(judged: DataFrame) -> DataFrame:
     return rejected_rows(judged).select(*QUARANTINE_COLUMNS)
 
 
+def store_silver(
+    bronze: DataFrame,
+    zips: DataFrame,
+    goals: DataFrame,
+    applications: DataFrame,
+    silver_path: str,
+    quarantine_path: str,
+    mode: str = "reference",
+    check_lookups: bool = True,
+) -> None:
+    """Write silver and quarantine from one dedup.
+
+    The judged rows are kept while both tables are written; should an executor be lost, Spark computes
+    its share again. Strict mode keeps the rows without a VIN apart: they go to quarantine only, and
+    without them the kept rows stay partitioned by VIN for the application join.
+    """
+    _check_mode(mode)
+    strict = mode == "strict"
+    keyed = bronze.where(F.col("VIN").isNotNull()) if strict else bronze
+    latest = latest_registrations(keyed)
+    judged = judge(latest, registration_rules(), strict).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_table(silver_from(judged, zips, goals, applications, check_lookups), silver_path)
+        rejected = quarantine_from(judged)
+        if strict:
+            unkeyed = judge(bronze.where(F.col("VIN").isNull()), registration_rules(), strict=True)
+            rejected = rejected.unionByName(quarantine_from(unkeyed))
+        write_table(rejected, quarantine_path)
+    finally:
+        judged.unpersist()
+
+
 def build_silver(
     bronze: DataFrame,
     zips: DataFrame,
