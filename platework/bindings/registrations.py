@@ -148,7 +148,7 @@ FROM fact f LEFT JOIN dim_vehicle v ON f.VIN = v.VIN LEFT JOIN {geo} g ON f.GEO_
 def shared_view(spark, sf):
     """Flat consumer view; places with several rows per key fan out, as in the reference grain."""
     layers = Layers(spark, sf, stored=True)
-    return _amounts(gold.shared_registrations(layers.fact(), layers.dim_vehicle(), layers.dim_geography()))
+    return _amounts(gold.shared_registrations(layers.fact(), layers.dim_vehicle(), layers.dim_geography(), spread=False))
 
 
 @query(over_feed(_SHARED.format(geo="geo_by_key")))

@@ -18,6 +18,14 @@ DOCUMENT_SCHEMA = (
 )
 
 
+# The same without the cells, for counting records.
+OUTLINE_SCHEMA = "struct<meta:struct<view:struct<name:string>>,data:array<string>>"
+
+
+def outline(raw) -> Column:
+    return F.from_json(as_col(raw), OUTLINE_SCHEMA)
+
+
 def decode(raw) -> Column:
     """The document as a struct; NULL fields when the text is not such a document."""
     return F.from_json(as_col(raw), DOCUMENT_SCHEMA)
@@ -57,6 +65,6 @@ def object_keys(text) -> Column:
     return F.json_object_keys(as_col(text))
 
 
-def array_size(text, path: str) -> Column:
-    """Number of elements of the array at the path."""
-    return F.json_array_length(json_path(text, path))
+def array_size(array) -> Column:
+    """Number of elements; NULL for no array."""
+    return F.when(as_col(array).isNotNull(), F.size(as_col(array)))

@@ -10,7 +10,7 @@ from platework.functions.text import geo_key
 from platework.functions.times import wall_clock
 from platework.operators.grouped import running_total
 from platework.operators.latest import dedup_latest
-from platework.operators.lookups import left_lookup, spread_left_join
+from platework.operators.lookups import MAX_BROADCAST_ROWS, left_lookup, spread_left_join
 
 VEHICLE_COLUMNS = ["VIN", "MAKE", "MODEL", "MODEL_YEAR", "EV_TYPE", "ELECTRIC_RANGE", "BASE_MSRP"]
 GEOGRAPHY_COLUMNS = [
@@ -69,10 +69,17 @@ def agg_by_year(silver: DataFrame) -> DataFrame:
 
 
 def shared_registrations(
-    fact: DataFrame, vehicles: DataFrame, geography: DataFrame, spread: bool = False
+    fact: DataFrame, vehicles: DataFrame, geography: DataFrame, spread: bool | None = None
 ) -> DataFrame:
-    """The star as one flat table. VIN is unique on both sides; a place may hold any share of the fact,
-    so with a geography too large to broadcast pass ``spread=True`` to deal hot places over many tasks."""
+    """The star as one flat table.
+
+    VIN is unique on both sides, but a place may hold any share of the fact. A geography that is small
+    when counted is broadcast; for a larger one the hot places are dealt over many tasks. ``spread``
+    makes that choice without counting; False leaves the join to Spark.
+    """
+    if spread is None:
+        spread = geography.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS
+        geography = geography if spread else F.broadcast(geography)
     facts = fact.withColumnRenamed("MODEL_YEAR", "FACT_YEAR")
     vehicles = vehicles.drop("MODEL_YEAR").withColumnRenamed("VIN", "V_VIN")
     # Geography first: finding the hot places then reads one column of the fact and nothing else.

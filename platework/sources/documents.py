@@ -13,7 +13,8 @@ LANDED = ["raw_data", "loaded_at", "source_file"]
 
 
 def is_json(raw: str = "raw_data") -> Column:
-    return F.try_parse_json(F.col(raw)).isNotNull()
+    """Whether the text is a whole JSON object or array, of any length (a variant has a size limit)."""
+    return F.json_object_keys(raw).isNotNull() | F.json_array_length(raw).isNotNull()
 
 
 def with_lineage(files: DataFrame, now: Column | None = None) -> DataFrame:
@@ -49,10 +50,11 @@ def rejected_documents(raw: DataFrame) -> DataFrame:
 
 def profile_documents(raw: DataFrame) -> DataFrame:
     """Top-level keys, number of records and dataset name per landed document."""
-    return raw.select(
+    outline = raw.select("raw_data", "loaded_at", "source_file", d.outline("raw_data").alias("doc"))
+    return outline.select(
         d.object_keys("raw_data").alias("top_level_keys"),
-        d.array_size("raw_data", "$.data").alias("record_count"),
-        d.json_path("raw_data", "$.meta.view.name").alias("dataset_name"),
+        d.array_size(F.col("doc.data")).alias("record_count"),
+        F.col("doc.meta.view.name").alias("dataset_name"),
         "loaded_at",
         "source_file",
     )

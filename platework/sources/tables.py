@@ -53,3 +53,11 @@ def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
     """Name every table for use in SQL."""
     for name, df in tables.items():
         df.createOrReplaceTempView(f"{prefix}{name}")
+
+
+def small_result(df: DataFrame, max_rows: int = 10_000):
+    """The rows as a pandas frame for display; more than ``max_rows`` raise rather than reach the driver."""
+    rows = df.limit(max_rows + 1).toPandas()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows: aggregate or limit before bringing them to the driver")
+    return rows

@@ -6,7 +6,7 @@ from samples import FIELDS, document, faulty_registrations, registration
 
 from platework.schemas import CONTRACT
 from platework.sources import documents
-from platework.sources.tables import load_reference, state_goals, zip_demographics
+from platework.sources.tables import load_reference, small_result, state_goals, zip_demographics
 from platework.schemas import STATE_GOALS, ZIP_DEMOGRAPHICS
 
 COLUMNS = [column for _, column, _ in CONTRACT]
@@ -110,3 +110,24 @@ def test_reference_csv_is_typed(spark, tmp_path):
 def test_built_in_lookups(spark):
     assert zip_demographics(spark).schema == ZIP_DEMOGRAPHICS and state_goals(spark).schema == STATE_GOALS
     assert (zip_demographics(spark).count(), state_goals(spark).count()) == (15, 11)
+
+
+@pytest.mark.parametrize("text, good", [
+    ('{"a": [1, {"b": null}]}', True), ("[1, 2]", True), ("[]", True), ("{}", True), ("", False), ("abc", False),
+    ('{"a": ', False), ('{"a": [1, }]}', False), ('{"a": {"b": [1, 2}', False), ("[1, 2", False), (None, False),
+])
+def test_is_json(spark, text, good):
+    raw = spark.createDataFrame([(text,)], "raw_data string")
+    assert raw.where(documents.is_json()).count() == int(good)
+
+
+def test_a_document_beyond_the_size_of_a_variant_is_accepted(spark):
+    long = F.concat(F.lit('{"data": ["'), F.repeat(F.lit("x"), 140 * 1024 * 1024), F.lit('"]}'))
+    raw = spark.range(1).select(long.alias("raw_data"), F.lit("f").alias("source_file"))
+    assert documents.accept_documents(raw, "continue").select(F.length("raw_data")).first()[0] > 140 * 1024 * 1024
+
+
+def test_small_result(spark):
+    assert len(small_result(spark.range(3), max_rows=3)) == 3
+    with pytest.raises(ValueError, match="more than 3"):
+        small_result(spark.range(4), max_rows=3)

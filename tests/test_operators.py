@@ -157,3 +157,16 @@ def test_one_row_keeps_zero_and_null(spark):
 def test_repeated_keys_count_null(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
     assert rows(grouped.repeated_keys(df, ["k"])) == [("a", 2), (None, 2)]
+
+
+def test_few_changes_leave_the_target_unshuffled(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("s")).write.parquet(path)
+    spark.createDataFrame([(5, 2), (2000, 1), (None, 3)], "k long, s int").write.parquet(f"{path}-feed")
+    feed = spark.read.parquet(f"{path}-feed")
+    merged = changes.apply_changes(spark.read.parquet(path), feed, ["k"], ["s"])
+    assert "BroadcastHashJoin" in plan(merged) and "SortMergeJoin" not in plan(merged)
+    found = rows(merged)
+    assert len(found) == 1002 and (5, 2) in found and (2000, 1) in found and (None, 3) in found
+    once_more = changes.apply_changes(merged, feed, ["k"], ["s"])
+    assert rows(once_more) == found
