@@ -360,9 +360,10 @@ def spread_join(spark, sf):
     """Two fifths of all rows share one key; they are dealt over many tasks."""
     events = table(spark, sf, "events")
     kind = F.when(F.col("event_type").isin("click", "view"), F.lit("browse")).otherwise(F.col("user_id").cast("string"))
-    per_user = count_by(events, ["user_id"], "users").select(F.col("user_id").cast("string").alias("kind"), "users")
-    browse = literal_table(spark, [("browse", 0)], "kind string, users bigint")
-    return spread_left_join(events.select("event_id", kind.alias("kind")), per_user.unionByName(browse), "kind")
+    per_user = count_by(events, ["user_id"], "users").select(F.col("user_id").cast("string").alias("k"), "users")
+    browse = literal_table(spark, [("browse", 0)], "k string, users bigint")
+    rows = events.select("event_id", kind.alias("kind"))
+    return spread_left_join(rows, per_user.unionByName(browse), {"kind": "k"})
 
 
 @query("SELECT o_orderkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < 0")

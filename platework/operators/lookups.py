@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 100_000
 
 
+def _any_of(conditions) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
 @dataclass(frozen=True)
 class LookupSize:
     rows: int
@@ -25,19 +30,6 @@ def measure_lookup(lookup: DataFrame, keys: list[str]) -> LookupSize:
     return LookupSize(row["rows"], row["repeated"])
 
 
-def checked_lookup(
-    lookup: DataFrame, keys: list[str], max_rows: int = MAX_BROADCAST_ROWS, unique: bool = True
-) -> DataFrame:
-    """The lookup, marked for broadcast if its counted size allows it; a larger one joins by shuffle.
-
-    A repeated key would multiply the rows it is joined to, so with ``unique`` it raises.
-    """
-    size = measure_lookup(lookup, keys)
-    if unique and size.repeated_keys:
-        raise ValueError(f"lookup has {size.repeated_keys} repeated key(s) on {keys}")
-    return F.broadcast(lookup) if size.rows <= max_rows else lookup
-
-
 def left_lookup(df: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFrame:
     """Left equi join; ``on`` maps columns of ``df`` to the lookup's, whose key columns are dropped.
 
@@ -50,31 +42,48 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFra
     return df.join(lookup, condition, "left").drop(*renamed.values())
 
 
-def spread_left_join(df: DataFrame, dim: DataFrame, key: str, parts: int = 64, share: int = 200) -> DataFrame:
-    """Left equi join by shuffle in which no key sits in one task, however many rows it holds.
+def spread_left_join(
+    df: DataFrame, lookup: DataFrame, on: dict[str, str], parts: int = 64, share: int = 200
+) -> DataFrame:
+    """``left_lookup`` by shuffle in which no key sits in one task, however many rows it holds.
 
     A key is hot when it holds more than one row in ``share``, so there are fewer than ``share`` hot
     keys whatever the data: that list is safe to broadcast. Rows of hot keys, and those without a key,
-    are dealt over ``parts`` tasks, and only the dimension rows of hot keys are copied to each of them.
+    are dealt over ``parts`` tasks, and only the lookup rows of hot keys are copied to each of them.
     Nothing is dropped or sampled.
     """
-    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    keyless = _any_of(F.col(left).isNull() for left in on)
+    per_key = df.where(~keyless).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
     total = per_key.agg(F.sum("__n")).scalar()
-    hot = F.broadcast(per_key.where(F.col("__n") * F.lit(share) > total).select(F.col(key).alias("__hot_key")))
-    is_hot = F.col("__hot_key").isNotNull()
-    deal = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)).cast("int")
+    hot_names = {left: f"__hot_{i}" for i, left in enumerate(on)}
+    hot = per_key.where(F.col("__n") * F.lit(share) > total)
+    hot = F.broadcast(hot.select(*[F.col(left).alias(name) for left, name in hot_names.items()]))
+    is_hot = F.col(hot_names[next(iter(on))]).isNotNull()
 
-    rows = df.join(hot, F.col(key) == F.col("__hot_key"), "left").withColumn(
-        "__part", F.when(is_hot | F.col(key).isNull(), deal).otherwise(F.lit(0))
+    deal = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)).cast("int")
+    rows = df.join(hot, [F.col(left) == F.col(name) for left, name in hot_names.items()], "left").withColumn(
+        "__part", F.when(is_hot | keyless, deal).otherwise(F.lit(0))
     )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    dims = (
-        dim.withColumnRenamed(key, "__dim_key")
-        .join(hot, F.col("__dim_key") == F.col("__hot_key"), "left")
-        .withColumn("__dim_part", F.explode(copies))
-        .drop("__hot_key")
-    )
-    joined = rows.drop("__hot_key").join(
-        dims, (F.col(key) == F.col("__dim_key")) & (F.col("__part") == F.col("__dim_part")), "left"
+    dealt = (
+        lookup.join(hot, [F.col(right) == F.col(hot_names[left]) for left, right in on.items()], "left")
+        .withColumn("__lookup_part", F.explode(copies))
+        .drop(*hot_names.values())
     )
-    return joined.drop("__part", "__dim_part", "__dim_key")
+    joined = left_lookup(rows.drop(*hot_names.values()), dealt, {**on, "__part": "__lookup_part"})
+    return joined.drop("__part")
+
+
+def sized_lookup(
+    df: DataFrame, lookup: DataFrame, on: dict[str, str], max_rows: int = MAX_BROADCAST_ROWS, unique: bool = True
+) -> DataFrame:
+    """Left join against a lookup that is counted first: a small one is broadcast, a larger one spread.
+
+    A repeated key would multiply the rows it is joined to, so with ``unique`` it raises.
+    """
+    size = measure_lookup(lookup, list(on.values()))
+    if unique and size.repeated_keys:
+        raise ValueError(f"lookup has {size.repeated_keys} repeated key(s) on {list(on.values())}")
+    if size.rows <= max_rows:
+        return left_lookup(df, F.broadcast(lookup), on)
+    return spread_left_join(df, lookup, on)

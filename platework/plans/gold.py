@@ -10,7 +10,7 @@ from platework.functions.text import geo_key
 from platework.functions.times import wall_clock
 from platework.operators.grouped import running_total
 from platework.operators.latest import dedup_latest
-from platework.operators.lookups import MAX_BROADCAST_ROWS, left_lookup, spread_left_join
+from platework.operators.lookups import left_lookup, sized_lookup, spread_left_join
 
 VEHICLE_COLUMNS = ["VIN", "MAKE", "MODEL", "MODEL_YEAR", "EV_TYPE", "ELECTRIC_RANGE", "BASE_MSRP"]
 GEOGRAPHY_COLUMNS = [
@@ -77,16 +77,14 @@ def shared_registrations(
     when counted is broadcast; for a larger one the hot places are dealt over many tasks. ``spread``
     makes that choice without counting; False leaves the join to Spark.
     """
-    if spread is None:
-        spread = geography.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS
-        geography = geography if spread else F.broadcast(geography)
     facts = fact.withColumnRenamed("MODEL_YEAR", "FACT_YEAR")
     vehicles = vehicles.drop("MODEL_YEAR").withColumnRenamed("VIN", "V_VIN")
+    places = geography.withColumnRenamed("GEO_KEY", "G_KEY")
     # Geography first: finding the hot places then reads one column of the fact and nothing else.
-    if spread:
-        flat = spread_left_join(facts, geography, "GEO_KEY")
+    if spread is None:
+        flat = sized_lookup(facts, places, {"GEO_KEY": "G_KEY"}, unique=False)
     else:
-        flat = left_lookup(facts, geography.withColumnRenamed("GEO_KEY", "G_KEY"), {"GEO_KEY": "G_KEY"})
+        flat = (spread_left_join if spread else left_lookup)(facts, places, {"GEO_KEY": "G_KEY"})
     flat = left_lookup(flat, vehicles, {"VIN": "V_VIN"}).withColumnRenamed("FACT_YEAR", "MODEL_YEAR")
     own = [c for c in FACT_COLUMNS if c != "GEO_KEY"]
     return flat.select(*own, *[c for c in VEHICLE_COLUMNS if c not in own], *GEOGRAPHY_COLUMNS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from platework._columns import latest_first
 from platework.functions.text import bounded, latitude, longitude
 from platework.operators.latest import dedup_latest
-from platework.operators.lookups import checked_lookup, left_lookup
+from platework.operators.lookups import left_lookup, sized_lookup
 from platework.operators.rules import Rule, judge, rejected_rows, valid_rows
 from platework.schemas import LINEAGE, QUARANTINE_COLUMNS, SILVER_COLUMNS, VALID_EV_TYPES
 from platework.sources.tables import write_table
@@ -51,7 +51,17 @@ def latest_registrations(bronze: DataFrame, mode: str = "reference", key: str =
 
 
 def judged_registrations(bronze: DataFrame, mode: str = "reference") -> DataFrame:
-    return judge(latest_registrations(bronze, mode), registration_rules(), strict=mode == "strict")
+    """Latest rows with their verdict. Strict mode judges the rows without a VIN apart, in
+    ``unkeyed_rejects``: they can only be rejected, and without them the rows lie by VIN."""
+    _check_mode(mode)
+    strict = mode == "strict"
+    rows = bronze.where(F.col("VIN").isNotNull()) if strict else bronze
+    return judge(latest_registrations(rows), registration_rules(), strict)
+
+
+def unkeyed_rejects(bronze: DataFrame) -> DataFrame:
+    """Every row without a VIN, as strict quarantine rows."""
+    return quarantine_from(judge(bronze.where(F.col("VIN").isNull()), registration_rules(), strict=True))
 
 
 def standardize(valid: DataFrame) -> DataFrame:
@@ -81,12 +91,10 @@ def enrich(
 ) -> DataFrame:
     """Add demographics by zip code, the goal by state and model year, and the latest application.
 
-    The lookups are counted once: a repeated key raises, and only a small lookup is broadcast. The
-    application join comes first and is by VIN, on which the rows already lie after the dedup.
+    The lookups are counted once: a repeated key raises, and only a small lookup is broadcast (without
+    the check, Spark's estimate decides). The application join comes first and is by VIN, on which the
+    rows already lie after the dedup.
     """
-    if check_lookups:
-        zips = checked_lookup(zips, ["zip_code"])
-        goals = checked_lookup(goals, ["state", "year"])
     zips = zips.select(
         "zip_code",
         F.col("population").alias("POPULATION"),
@@ -100,8 +108,9 @@ def enrich(
         F.col("policy_name").alias("POLICY_NAME"),
     )
     rows = left_lookup(rows, latest_applications(applications), {"VIN": "INC_VIN"})
-    rows = left_lookup(rows, zips, {"POSTAL_CODE": "zip_code"})
-    return left_lookup(rows, goals, {"STATE": "goal_state", "MODEL_YEAR": "goal_year"})
+    join = sized_lookup if check_lookups else left_lookup
+    rows = join(rows, zips, {"POSTAL_CODE": "zip_code"})
+    return join(rows, goals, {"STATE": "goal_state", "MODEL_YEAR": "goal_year"})
 
 
 def silver_from(
@@ -127,21 +136,15 @@ def store_silver(
 ) -> None:
     """Write silver and quarantine from one dedup.
 
-    The judged rows are kept while both tables are written; should an executor be lost, Spark computes
-    its share again. Strict mode keeps the rows without a VIN apart: they go to quarantine only, and
-    without them the kept rows stay partitioned by VIN for the application join.
+    The judged rows are kept, partitioned by VIN, while both tables are written; should an executor be
+    lost, Spark computes its share again.
     """
-    _check_mode(mode)
-    strict = mode == "strict"
-    keyed = bronze.where(F.col("VIN").isNotNull()) if strict else bronze
-    latest = latest_registrations(keyed)
-    judged = judge(latest, registration_rules(), strict).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = judged_registrations(bronze, mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_table(silver_from(judged, zips, goals, applications, check_lookups), silver_path)
         rejected = quarantine_from(judged)
-        if strict:
-            unkeyed = judge(bronze.where(F.col("VIN").isNull()), registration_rules(), strict=True)
-            rejected = rejected.unionByName(quarantine_from(unkeyed))
+        if mode == "strict":
+            rejected = rejected.unionByName(unkeyed_rejects(bronze))
         write_table(rejected, quarantine_path)
     finally:
         judged.unpersist()
@@ -159,4 +162,5 @@ def build_silver(
 
 
 def build_quarantine(bronze: DataFrame, mode: str = "reference") -> DataFrame:
-    return quarantine_from(judged_registrations(bronze, mode))
+    rejected = quarantine_from(judged_registrations(bronze, mode))
+    return rejected.unionByName(unkeyed_rejects(bronze)) if mode == "strict" else rejected

@@ -105,11 +105,12 @@ def test_repeated_lookup_key_stops_the_build(spark, applications):
         silver.build_silver(bronze(spark, [registration()]), zips.union(zips.limit(1)), state_goals(spark), applications)
 
 
-def test_application_join_needs_no_second_shuffle_of_bronze(spark, applications):
+@pytest.mark.parametrize("mode", silver.MODES)
+def test_application_join_needs_no_second_shuffle_of_bronze(spark, applications, mode):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         clean = silver.build_silver(
-            bronze(spark, [registration()]), zip_demographics(spark), state_goals(spark), applications
+            bronze(spark, [registration()]), zip_demographics(spark), state_goals(spark), applications, mode
         )
         plan = clean._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -136,8 +137,9 @@ def test_dimensions_and_fact(spark, applications):
     fanned = gold.shared_registrations(fact, gold.dim_vehicle(clean), places)
     flat = gold.shared_registrations(fact, gold.dim_vehicle(clean), by_key)
     assert flat.count() == fact.count() < fanned.count()
-    spread = gold.shared_registrations(fact, gold.dim_vehicle(clean), by_key, spread=True)
-    assert sorted(map(repr, spread.collect())) == sorted(map(repr, flat.collect()))
+    for spread in (True, False):
+        other = gold.shared_registrations(fact, gold.dim_vehicle(clean), by_key, spread=spread)
+        assert sorted(map(repr, other.collect())) == sorted(map(repr, flat.collect()))
     with pytest.raises(ValueError, match="grain"):
         gold.dim_geography(clean, "county")
 

@@ -66,34 +66,50 @@ def test_split_follows_sql_and_strict_loses_nothing(spark):
 
 def test_spread_join_equals_plain_join(skewed, spark):
     data, df = skewed
-    dim = spark.createDataFrame([("hot", "h1"), ("hot", "h2"), ("k1", "a"), ("k5", "b"), ("zz", "c")], "k string, label string")
-    expected = rows(df.join(dim, "k", "left").select("k", "t", "i", "label"))
-    found = lookups.spread_left_join(df, dim, "k", parts=16)
+    dim = spark.createDataFrame(
+        [("hot", "h1"), ("hot", "h2"), ("k1", "a"), ("k5", "b"), ("zz", "c"), (None, "d")], "name string, label string"
+    )
+    expected = rows(df.join(dim, df["k"] == dim["name"], "left").drop("name"))
+    found = lookups.spread_left_join(df, dim, {"k": "name"}, parts=16)
     assert found.columns == ["k", "t", "i", "label"]
     assert rows(found) == expected
     assert len(expected) == 3000 + 1000
 
 
-def test_spread_join_deals_the_hot_key(skewed, spark):
+def test_spread_join_on_two_keys(spark):
+    df = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("a", None, 50), (None, 1, 51), ("b", 2, 52), ("a", 2, 53)],
+                               "g string, n int, i int")
+    dim = spark.createDataFrame([("a", 1, "hot"), ("b", 2, "cold"), ("a", 3, "none")], "dg string, dn int, label string")
+    found = lookups.spread_left_join(df, dim, {"g": "dg", "n": "dn"}, parts=8, share=10)
+    expected = [("a", 1, i, "hot") for i in range(50)] + [("a", None, 50, None), (None, 1, 51, None), ("b", 2, 52, "cold"), ("a", 2, 53, None)]
+    assert rows(found) == sorted(expected, key=repr)
+
+
+def test_spread_join_deals_hot_and_missing_keys_over_tasks(skewed, spark):
+    """No task gets more than a small part of the third that shares a key."""
     _, df = skewed
-    dim = spark.createDataFrame([("hot", "h1")], "k string, label string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dim = spark.createDataFrame([("hot", "h1")], "name string, label string")
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
     try:
-        found = lookups.spread_left_join(df, dim, "k", parts=16).where("k = 'hot'")
-        sizes = found.groupBy(F.spark_partition_id()).count().collect()
+        found = lookups.spread_left_join(df, dim, {"k": "name"}, parts=64).where("k = 'hot' OR k IS NULL")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(r["count"] for r in sizes) == 1000
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 1500 and max(sizes) < 500
 
 
-def test_checked_lookup(spark):
+def test_sized_lookup(spark):
     small = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     df = spark.range(4).withColumnRenamed("id", "n")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        near = lookups.left_lookup(df, lookups.checked_lookup(small, ["k"]), {"n": "k"})
-        far = lookups.left_lookup(df, lookups.checked_lookup(small, ["k"], max_rows=1), {"n": "k"})
-        assert "BroadcastHashJoin" in plan(near) and "BroadcastHashJoin" not in plan(far)
+        near = lookups.sized_lookup(df, small, {"n": "k"})
+        far = lookups.sized_lookup(df, small, {"n": "k"}, max_rows=1)
+        assert "SortMergeJoin" not in plan(near) and "SortMergeJoin" in plan(far)
         assert rows(near) == rows(far) == [(0, None), (1, "a"), (2, "b"), (3, None)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -104,7 +120,8 @@ def test_repeated_lookup_key_raises(spark):
     assert lookups.measure_lookup(twice, ["k"]) == lookups.LookupSize(3, 1)
     assert lookups.measure_lookup(twice.limit(0), ["k"]) == lookups.LookupSize(0, 0)
     with pytest.raises(ValueError, match="repeated"):
-        lookups.checked_lookup(twice, ["k"])
+        lookups.sized_lookup(spark.range(2), twice, {"id": "k"})
+    assert lookups.sized_lookup(spark.range(2), twice, {"id": "k"}, unique=False).count() == 3
 
 
 def test_changes_newest_wins_and_replay_changes_nothing(spark):
