@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platework.bindings.feed import _document, _header, applications, bronze, table
+from platework.bindings.feed import SCHEMAS, _document, _header, applications, bronze, table
 from platework.bindings.feed_sql import over_feed
 from platework.bindings.registrations import _COUNTED, _SILVER, _SQL_NAMES, _amounts
 from platework.bindings.registry import query
@@ -23,7 +23,7 @@ from platework.streaming.upserts import Keyed, compact, current_state, follow_ch
 
 def _stream(spark, sf, name: str) -> DataFrame:
     # A pattern, since the table may be one file and a stream's plain path must be a folder.
-    return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{{{name}}}.parquet")
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf}/{{{name}}}.parquet")
 
 
 def _write_files(texts: DataFrame, folder: str) -> None:

@@ -16,6 +16,8 @@ def get_session(app_name: str = "platework", master: str | None = None, **conf)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording the call site of every Column costs more than building the plans themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from platework import schemas
@@ -14,13 +13,22 @@ def load_reference(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+def _literal(value: str | int | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A few fixed rows as part of the plan, so that Spark knows how small they are and broadcasts them."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    columns = [F.lit([row[i] for row in rows]).alias(f.name) for i, f in enumerate(schema)]
-    zipped = spark.range(0, 1, 1, 1).select(F.inline(F.arrays_zip(*columns)))
-    return zipped.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+    names = ", ".join(schema.names)
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS fixed({names})")
 
 
 def zip_demographics(spark: SparkSession) -> DataFrame:

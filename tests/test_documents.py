@@ -6,7 +6,7 @@ from samples import FIELDS, document, faulty_registrations, registration
 
 from platework.schemas import CONTRACT
 from platework.sources import documents
-from platework.sources.tables import load_reference, small_result, state_goals, zip_demographics
+from platework.sources.tables import literal_table, load_reference, small_result, state_goals, zip_demographics
 from platework.schemas import STATE_GOALS, ZIP_DEMOGRAPHICS
 
 COLUMNS = [column for _, column, _ in CONTRACT]
@@ -108,7 +108,8 @@ def test_reference_csv_is_typed(spark, tmp_path):
 
 
 def test_built_in_lookups(spark):
-    assert zip_demographics(spark).schema == ZIP_DEMOGRAPHICS and state_goals(spark).schema == STATE_GOALS
+    for table, schema in ((zip_demographics(spark), ZIP_DEMOGRAPHICS), (state_goals(spark), STATE_GOALS)):
+        assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in schema]
     assert (zip_demographics(spark).count(), state_goals(spark).count()) == (15, 11)
 
 
@@ -131,3 +132,8 @@ def test_small_result(spark):
     assert len(small_result(spark.range(3), max_rows=3)) == 3
     with pytest.raises(ValueError, match="more than 3"):
         small_result(spark.range(4), max_rows=3)
+
+
+def test_literal_table_quotes_text(spark):
+    rows = [("it's", 1), ("back\\slash", None), (None, 2)]
+    assert [tuple(r) for r in literal_table(spark, rows, "t string, n int").collect()] == rows
