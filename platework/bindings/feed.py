@@ -43,11 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A table in fewer files than there are cores, dealt out by its keys before costly work on each row.
+    """A table read by fewer tasks than there are cores, dealt out by its keys before costly work on each row.
 
-    A table in many files is read by many tasks anyway and stays as it is.
+    A table of many files is read by many tasks anyway and stays as it is.
     """
-    few = len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(*keys) if few else df
 
 

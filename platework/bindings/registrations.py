@@ -23,10 +23,10 @@ def _moment(text: str = NOW_TEXT):
 
 
 def _amounts(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, so that both sides name the same type."""
-    return df.withColumns({
-        f.name: F.col(f.name).cast("double") for f in df.schema if f.dataType.simpleString().startswith("decimal")
-    })
+    """Decimals as doubles and dates as text, so that both sides name the same type."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    plain = {n: "double" if k.startswith("decimal") else "string" for n, k in kinds.items() if k.startswith(("decimal", "date"))}
+    return df.withColumns({n: F.col(n).cast(k) for n, k in plain.items()})
 
 
 # Documents
@@ -347,7 +347,7 @@ def application_measures_by_zip(spark, sf):
     return _amounts(semantic_query(tables, _APP_MEASURES, ["applicant_zip"]))
 
 
-@query(over_feed(f"SELECT submitted_date, {_APPS} FROM apps GROUP BY 1"))
+@query(over_feed(f"SELECT CAST(submitted_date AS VARCHAR) AS submitted_date, {_APPS} FROM apps GROUP BY 1"))
 def application_measures_by_date(spark, sf):
     tables = Layers(spark, sf).tables("incentive_applications")
     return _amounts(semantic_query(tables, _APP_MEASURES, ["submitted_date"]))
@@ -474,10 +474,11 @@ _question(f"""SELECT *, {percent_sql('approved', 'total_applications', 1)} AS ap
     count(*) FILTER (APPLICATION_STATUS = 'DENIED') AS denied, CAST(coalesce(sum(INCENTIVE_AMOUNT), 0) AS DOUBLE) AS total_requested,
     CAST(coalesce(sum(CASE WHEN APPLICATION_STATUS = 'APPROVED' THEN INCENTIVE_AMOUNT ELSE 0 END), 0) AS DOUBLE) AS total_approved
   FROM fact WHERE APPLICATION_STATUS IS NOT NULL)""", questions.incentive_cards, "fact_registrations")
-_question("""SELECT application_id, vin, submitted_date, make, model, applicant_zip, CAST(incentive_amount AS DOUBLE) AS incentive_amount, status, reviewed_date
-FROM apps ORDER BY submitted_date DESC, application_id DESC LIMIT 5""", questions.newest_applications, "incentive_applications")
+_question("""SELECT application_id, vin, CAST(submitted_date AS VARCHAR) AS submitted_date, make, model, applicant_zip, CAST(incentive_amount AS DOUBLE) AS incentive_amount, status,
+  CAST(reviewed_date AS VARCHAR) AS reviewed_date FROM apps a ORDER BY a.submitted_date DESC, application_id DESC LIMIT 5""", questions.newest_applications, "incentive_applications")
 _question("SELECT denial_reason, count(*) AS denials FROM apps WHERE status = 'DENIED' GROUP BY 1", questions.denial_reasons, "incentive_applications")
-_question("""SELECT * REPLACE (CAST(incentive_amount AS DOUBLE) AS incentive_amount) FROM apps WHERE denial_reason = 'MSRP exceeds cap'""",
+_question("""SELECT * REPLACE (CAST(incentive_amount AS DOUBLE) AS incentive_amount, CAST(submitted_date AS VARCHAR) AS submitted_date,
+  CAST(reviewed_date AS VARCHAR) AS reviewed_date) FROM apps WHERE denial_reason = 'MSRP exceeds cap'""",
           questions.denied_for, "incentive_applications", reason="MSRP exceeds cap")
 _question("SELECT round(avg(reviewed_date - submitted_date), 4) AS avg_days FROM apps", questions.review_days, "incentive_applications")
 _question("SELECT CAST(sum(incentive_amount) FILTER (status = 'APPROVED') AS DOUBLE) AS total_disbursed FROM apps",

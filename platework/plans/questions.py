@@ -6,7 +6,7 @@ incentive_applications, state_goals, zip_demographics; a question reads only the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platework.functions.numbers import percent_double, sum_where
@@ -171,11 +171,10 @@ def range_by_make(t: Tables) -> DataFrame:
 
 
 def make_share_by_region(t: Tables) -> DataFrame:
-    """Share of each make within its county."""
+    """Share of each make within its county; the window reads one row per make and county."""
     grouped = count_by(t["silver"], ["COUNTY", "MAKE"], "registrations")
-    totals = grouped.groupBy("COUNTY").agg(F.sum("registrations").alias("county_total"))
-    joined = left_lookup(grouped, totals.withColumnRenamed("COUNTY", "TOTAL_COUNTY"), {"COUNTY": "TOTAL_COUNTY"})
-    return joined.withColumn("share_pct", percent_double("registrations", "county_total")).drop("county_total")
+    total = F.sum("registrations").over(Window.partitionBy("COUNTY"))
+    return grouped.withColumn("share_pct", percent_double(F.col("registrations"), total))
 
 
 def models_in_rich_zips(t: Tables, min_income: int = 100_000, k: int = 10) -> DataFrame:

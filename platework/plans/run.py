@@ -20,7 +20,10 @@ GOLD = ["dim_vehicle", "dim_geography", "fact_registrations", "agg_by_county", "
 
 @dataclass(frozen=True)
 class Config:
-    """Folders of a run. Tables lie under ``root``; without paths the built-in lookups are used."""
+    """Folders of a run. Tables lie under ``root``; without paths the built-in lookups are used.
+
+    ``on_error`` is for files that are no JSON, ``on_missing`` for headers that lack a field.
+    """
 
     in_dir: str
     root: str
@@ -30,6 +33,7 @@ class Config:
     mode: str = "reference"
     geography_grain: str = "reference"
     on_error: str = "continue"
+    on_missing: str = "abort"
     gold_format: str = "parquet"
 
     def path(self, name: str) -> str:
@@ -68,7 +72,7 @@ def _ingest(spark: SparkSession, cfg: Config, now: datetime) -> None:
 
 
 def _bronze(spark: SparkSession, cfg: Config, now: datetime) -> None:
-    parsed = documents.parse_documents(load(spark, cfg, "raw"), load_ts=F.lit(now))
+    parsed = documents.parse_documents(load(spark, cfg, "raw"), on_missing=cfg.on_missing, load_ts=F.lit(now))
     tables.write_table(parsed, cfg.path("bronze"))
 
 

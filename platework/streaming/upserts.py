@@ -24,7 +24,10 @@ _VERSIONS = T.StructType([T.StructField("version", T.LongType())])
 
 @dataclass(frozen=True)
 class Keyed:
-    """A table under ``path``: its key, what orders its changes, and which changes are deletes."""
+    """A table under ``path``: its key, what orders its changes, and which changes are deletes.
+
+    NULL is a key like any other: rows without a key replace each other.
+    """
 
     path: str
     keys: list[str]

@@ -54,3 +54,9 @@ def test_busy_zips_count_a_vehicle_once_per_zip(spark):
     t = {"fact_registrations": fact, "dim_geography": geo, "incentive_applications": apps}
     assert rows(questions.busy_zips_low_approval(t, more_than=2)) == [("98101", "KING", 5, 3, 2, 50.0)]
     assert rows(questions.busy_zips_low_approval(t, more_than=3)) == []
+
+
+def test_make_shares_hold_for_an_unknown_county(spark):
+    silver = spark.createDataFrame([("K", "a"), ("K", "a"), ("K", "b"), (None, "a")], "COUNTY string, MAKE string")
+    found = sorted(rows(questions.make_share_by_region({"silver": silver})), key=repr)
+    assert found == [("K", "a", 2, 66.67), ("K", "b", 1, 33.33), (None, "a", 1, 100.0)]

@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from samples import T0, document, faulty_registrations, mixed_registrations, registration
+from samples import FIELDS, T0, document, faulty_registrations, mixed_registrations, registration
 
 from platework.plans import quality, run
 from platework.schemas import INCENTIVE_APPLICATIONS
@@ -76,3 +76,15 @@ def test_shared_folder_is_the_sessions(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == named and new_folder(spark, "x").startswith(named)
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_missing_field_policy(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "short.json").write_text(document([registration("A1")], [f for f in FIELDS if f != "make"]))
+    stop = run.Config(str(folder), str(tmp_path / "a"))
+    with pytest.raises(Exception, match="lacks make"):
+        run.refresh(spark, stop, only=["ingest", "bronze"])
+    go_on = run.Config(str(folder), str(tmp_path / "b"), on_missing="null")
+    run.refresh(spark, go_on, only=["ingest", "bronze"])
+    assert run.load(spark, go_on, "bronze").first()["MAKE"] is None
