@@ -232,8 +232,8 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         F.col("ts").alias("SCHEDULED_TIME"),
         F.col("ts").alias("MEASUREMENT_TIME"),
-        F.lit("EV_DEMO").alias("TABLE_DATABASE"),
-        F.lit("CLEAN").alias("TABLE_SCHEMA"),
+        F.lit(quality.DATABASE_NAME).alias("TABLE_DATABASE"),
+        F.lit(quality.SCHEMA_NAME).alias("TABLE_SCHEMA"),
         F.when(F.col("user_id") < 50, F.lit(quality.SILVER_NAME)).otherwise(F.lit(quality.QUARANTINE_NAME)).alias("TABLE_NAME"),
         metric.alias("METRIC_NAME"),
         F.when(F.col("user_id") != 7, measured).cast("decimal(38,2)").alias("VALUE"),

@@ -206,7 +206,7 @@ def freshness_line(spark, sf):
 
 
 def _metrics_sql(expected: str) -> str:
-    return f"""SELECT {NOW_SQL} AS SCHEDULED_TIME, {NOW_SQL} AS MEASUREMENT_TIME, 'EV_DEMO' AS TABLE_DATABASE, 'CLEAN' AS TABLE_SCHEMA,
+    return f"""SELECT {NOW_SQL} AS SCHEDULED_TIME, {NOW_SQL} AS MEASUREMENT_TIME, '{quality.DATABASE_NAME}' AS TABLE_DATABASE, '{quality.SCHEMA_NAME}' AS TABLE_SCHEMA,
   TABLE_NAME, METRIC_NAME, CAST(VALUE AS DOUBLE) AS VALUE FROM (
   SELECT '{quality.SILVER_NAME}' AS TABLE_NAME, '{quality.COMPLETENESS}' AS METRIC_NAME, {percent_sql('count(VIN)', 'count(*)')} AS VALUE FROM silver
   UNION ALL SELECT '{quality.SILVER_NAME}', '{quality.DUPLICATES}', (SELECT count(*) FROM (SELECT VIN FROM silver GROUP BY VIN HAVING count(*) > 1))
@@ -266,7 +266,7 @@ def quarantine_breakdown(spark, sf):
     return quality.quarantine_breakdown(Layers(spark, sf).quarantine())
 
 
-_HISTORY = f"""history AS (SELECT ts AS SCHEDULED_TIME, ts AS MEASUREMENT_TIME, 'CLEAN' AS TABLE_SCHEMA,
+_HISTORY = f"""history AS (SELECT ts AS SCHEDULED_TIME, ts AS MEASUREMENT_TIME, '{quality.SCHEMA_NAME}' AS TABLE_SCHEMA,
   CASE WHEN user_id < 50 THEN '{quality.SILVER_NAME}' ELSE '{quality.QUARANTINE_NAME}' END AS TABLE_NAME,
   CASE event_type WHEN 'signup' THEN '{quality.COMPLETENESS}' WHEN 'click' THEN '{quality.DUPLICATES}' WHEN 'view' THEN '{quality.FRESHNESS}'
     WHEN 'purchase' THEN '{quality.RULES}' ELSE '{quality.RECONCILIATION}' END AS METRIC_NAME,

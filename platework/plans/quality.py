@@ -24,9 +24,11 @@ RULES = "DMF_INVALID_BUSINESS_RULES"
 RECONCILIATION = "DMF_ROW_COUNT_RECONCILIATION"
 FRESHNESS = "FRESHNESS"
 
-# Table labels of the metric history.
+# Table labels of the metric history. The database is a label of this library.
 SILVER_NAME = "SILVER_EV_REGISTRATIONS"
 QUARANTINE_NAME = "QUARANTINE_EV_REGISTRATIONS"
+SCHEMA_NAME = "CLEAN"
+DATABASE_NAME = "REGISTRATIONS"
 
 
 @dataclass(frozen=True)
@@ -133,7 +135,7 @@ def evaluate_metrics(
     quarantine: DataFrame,
     now: Column,
     strict: bool = False,
-    database: str = "EV_DEMO",
+    database: str = DATABASE_NAME,
 ) -> DataFrame:
     """The six measurements as metric-history rows, in one pass over each table."""
     facts = one_row([
@@ -161,7 +163,7 @@ def evaluate_metrics(
         now.alias("SCHEDULED_TIME"),
         now.alias("MEASUREMENT_TIME"),
         F.lit(database).alias("TABLE_DATABASE"),
-        F.lit("CLEAN").alias("TABLE_SCHEMA"),
+        F.lit(SCHEMA_NAME).alias("TABLE_SCHEMA"),
         "TABLE_NAME",
         "METRIC_NAME",
         "VALUE",
@@ -178,7 +180,9 @@ def with_status(history: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def quality_dashboard(history: DataFrame, strict: bool = False) -> DataFrame:
-    return with_status(history, strict).drop("TABLE_DATABASE").orderBy(F.col("MEASUREMENT_TIME").desc_nulls_first())
+    return with_status(history, strict).drop("TABLE_DATABASE").orderBy(
+        F.col("MEASUREMENT_TIME").desc_nulls_first(), "TABLE_NAME", "METRIC_NAME"
+    )
 
 
 def _any_broken(use: str) -> Column:

@@ -22,7 +22,8 @@ GOLD = ["dim_vehicle", "dim_geography", "fact_registrations", "agg_by_county", "
 class Config:
     """Folders of a run. Tables lie under ``root``; without paths the built-in lookups are used.
 
-    ``on_error`` is for files that are no JSON, ``on_missing`` for headers that lack a field.
+    ``on_error`` is for files that are no JSON, ``on_missing`` for headers that lack a field;
+    ``bronze_partitions`` spreads the records of a few large files, each of which is read by one task.
     """
 
     in_dir: str
@@ -35,6 +36,7 @@ class Config:
     on_error: str = "continue"
     on_missing: str = "abort"
     gold_format: str = "parquet"
+    bronze_partitions: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -72,7 +74,9 @@ def _ingest(spark: SparkSession, cfg: Config, now: datetime) -> None:
 
 
 def _bronze(spark: SparkSession, cfg: Config, now: datetime) -> None:
-    parsed = documents.parse_documents(load(spark, cfg, "raw"), on_missing=cfg.on_missing, load_ts=F.lit(now))
+    parsed = documents.parse_documents(
+        load(spark, cfg, "raw"), on_missing=cfg.on_missing, load_ts=F.lit(now), partitions=cfg.bronze_partitions
+    )
     tables.write_table(parsed, cfg.path("bronze"))
 
 

@@ -14,7 +14,7 @@ NOW = datetime(2026, 1, 1, 12)
 def history(spark, rows):
     """Rows of (hours ago, metric, value)."""
     return spark.createDataFrame(
-        [(NOW - timedelta(hours=h), NOW - timedelta(hours=h), "EV_DEMO", "CLEAN", q.SILVER_NAME, m, None if v is None else Decimal(v))
+        [(NOW - timedelta(hours=h), NOW - timedelta(hours=h), q.DATABASE_NAME, q.SCHEMA_NAME, q.SILVER_NAME, m, None if v is None else Decimal(v))
          for h, m, v in rows],
         METRIC_HISTORY,
     )
