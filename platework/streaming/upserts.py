@@ -52,7 +52,10 @@ def append_changes(batch: DataFrame, batch_id: int, table: Keyed) -> None:
 
 
 def follow_changes(changes: DataFrame, table: Keyed, checkpoint: str) -> StreamingQuery:
-    """Write the changes that have arrived since the checkpoint, then stop. One checkpoint per table."""
+    """Write the changes that have arrived since the checkpoint, then stop.
+
+    A table belongs to one checkpoint, which numbers its batches: with a new checkpoint use a new path.
+    """
     query = (
         changes.writeStream.foreachBatch(lambda batch, batch_id: append_changes(batch, batch_id, table))
         .option("checkpointLocation", checkpoint)
