@@ -107,3 +107,17 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
         if n > 0:
             out = mixed(out + h[k : k + n] + MIX * np.uint64(k + 1))
     return out
+
+
+#: Bytes up to which a table is sent to every executor instead of being joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
+
+
+def sent_if_small(df: DataFrame, *sized: str) -> DataFrame:
+    """A stored table, marked for broadcast if its rows (64 bytes each, and 16 for each element of the columns
+    ``sized``) are proven to be few bytes; else as it is, for a shuffled join."""
+    size = F.lit(64)
+    for c in sized:
+        size = size + 16 * F.coalesce(F.size(c), F.lit(0))
+    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platework.llm import sentencepiece, token_counts
+from platework.llm import (
+    extraction, leaks, lines, near, quality, sentencepiece, substrings, suffix_arrays, token_counts, warc,
+)
 from platework.llm.common import read
+from platework.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,5 +38,57 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op4_token_counts)}
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as ARC archives, converted to WARC archives and read back."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = warc.round_trip(pages, new_folder(spark, "arc"), new_folder(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, dropped lines and the hash of what is left."""
+    kept = lines.without_recurring_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: size of its shingle set, its component and whether it is the one kept of it."""
+    return near.near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its main text."""
+    return extraction.main_text(read(spark, sf_dir, "pages"))
+
+
+def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, removed bytes and runs of them, and the hash of what is left."""
+    return suffix_arrays.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the counts of the base rules, the squared distance to its group and the verdict."""
+    found = quality.judged(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words in occurrences of item windows, and the items that these come from."""
+    found = leaks.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    hit = leaks.hit_words()
+    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated"), "items", "longest")
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, removed words and the hash of what is left."""
+    return substrings.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_sentencepiece, op2_warc, op3_line_dedup, op4_token_counts, op5_near_duplicates, op6_main_text,
+    op7_suffix_arrays, op8_quality_rules, op9_decontamination, op10_substrings)}
 ORACLES: dict[str, str] = {}

@@ -20,36 +20,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platework.llm.common import in_batches, row_hash, same, stored
-from platework.llm.unigram import MAX_REMEMBERED, REMEMBERED, SPACE, Vocabulary, backward, forward
+from platework.llm.unigram import SPACE, Remembered, Vocabulary, backward, forward, gathered, remembered
 
 CHUNK = 32_768
 
 
 class Encoder:
-    """Ids of stretches between which no piece reaches; short stretches are remembered."""
+    """Matrices and paths of chunks."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.automaton, self.finder = vocabulary, vocabulary.automaton(), vocabulary.finder()
-        self.known: dict[str, tuple[list[int], float]] = {}
+    def __init__(self, known: Remembered):
+        self.known, self.vocabulary, self.finder = known, known.vocabulary, known.vocabulary.finder()
 
     def unit(self, text: str) -> tuple[list[int], float]:
-        found = self.known.get(text)
-        if found is None:
-            best, by = forward(self.vocabulary, self.ends(text), text, {0: 0.0}, len(text))
-            found = backward(self.vocabulary, text, by, len(text))[0], best[-1]
-            if len(text) <= MAX_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = found
-        return found
+        """Ids and score of a stretch between which and its neighbours no piece reaches."""
+        known = self.known
+        row = known[known.key(text)]
+        return known.flat[known.starts[row] : known.starts[row] + known.sizes[row]].tolist(), known.scores[row]
 
     def ends(self, text: str) -> list:
-        return self.vocabulary.matches(self.automaton, text)
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole (blank-prefixed) text that is one chunk: it is entered and left in state 0."""
-        known, unit = self.known, self.unit
-        return list(chain.from_iterable([(known.get(u) or unit(u))[0] for u in self.finder.findall(text)]))
+        return self.vocabulary.matches(self.known.automaton, text)
 
     def parts(self, text: str, size: int) -> tuple[str, list[str], int]:
         """A chunk of ``size`` characters with the characters after it: the stretch it begins in, the whole stretches
@@ -137,20 +126,22 @@ def encode(
     kind = df.schema[id_column].dataType.simpleString()
     rows = df.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), row_hash(text_column).alias("text_hash"))
-    state: dict[str, Encoder] = {}
 
     def encoder() -> Encoder:
-        if "encoder" not in state:
-            state["encoder"] = Encoder(shared.value)
-        return state["encoder"]
+        return Encoder(remembered(shared, with_ids=True))
 
     def whole(batch):
-        ids = [None if t is None else encoder().encode(" " + t.replace(SPACE, " ")) if t else [] for t in batch["text"].to_pylist()]
-        lengths = np.array([0 if x is None else len(x) for x in ids])
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        flat = pa.array(np.fromiter(chain.from_iterable(x or () for x in ids), np.int32, int(offsets[-1])))
-        lists = pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array([x is None for x in ids]))
-        return {"id": batch["id"], "text_hash": batch["text_hash"], "ids": lists, "n_chunks": np.ones(len(ids), np.int32)}
+        """Texts of one chunk: entered and left in state 0, so each stretch is on the best path as it is."""
+        texts = batch["text"].to_pylist()
+        known = remembered(shared, with_ids=True)
+        rows, bounds = known.rows_of(texts)
+        flat, starts, sizes, _ = known.arrays()
+        sizes = sizes[rows]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[bounds].astype(np.int32)
+        lists = pa.ListArray.from_arrays(
+            pa.array(offsets), pa.array(gathered(flat, starts[rows], sizes)), mask=pa.array([t is None for t in texts]))
+        return {
+            "id": batch["id"], "text_hash": batch["text_hash"], "ids": lists, "n_chunks": np.ones(len(texts), np.int32)}
 
     def cut(batch):
         out = {"id": [], "text_hash": [], "k": [], "size": [], "last": [], "part": []}
@@ -211,6 +202,19 @@ def encode(
     return one.unionByName(many).withColumnRenamed("id", id_column)
 
 
+_BYTES: dict[int, tuple] = {}
+
+
+def piece_bytes(shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces' bytes joined, with each one's start and size."""
+    vocabulary = shared.value
+    if vocabulary.fingerprint not in _BYTES:
+        sizes = np.array([len(t) for t in vocabulary.texts])
+        _BYTES[vocabulary.fingerprint] = (
+            np.frombuffer(b"".join(vocabulary.texts), np.uint8), np.cumsum(sizes) - sizes, sizes)
+    return _BYTES[vocabulary.fingerprint]
+
+
 def decode(df: DataFrame, model: str, ids_column: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``decoded``: the text of the ids, without the blank that encoding puts first.
 
@@ -220,14 +224,15 @@ def decode(df: DataFrame, model: str, ids_column: str = "ids", keep: tuple[str,
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
 
     def run(batch):
-        texts = shared.value.texts.__getitem__
-        found = []
+        flat, starts, sizes = piece_bytes(shared)
         lists = batch[ids_column]
-        flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
-        for k, known in enumerate(lists.is_valid().to_pylist()):
-            ids = flat[offsets[k] : offsets[k + 1]].tolist()
-            joined = b"".join(map(texts, ids))
-            found.append(joined.removeprefix(b" ").decode(errors="replace") if known else None)
+        ids, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        ids = ids[offsets[0] : offsets[-1]]
+        joined = gathered(flat, starts[ids], sizes[ids]).tobytes()
+        bounds = np.concatenate([[0], np.cumsum(sizes[ids], dtype=np.int64)])[offsets - offsets[0]].tolist()
+        found = [
+            joined[a:b].removeprefix(b" ").decode(errors="replace") if known else None
+            for a, b, known in zip(bounds[:-1], bounds[1:], lists.is_valid().to_pylist(), strict=True)]
         return {c: batch[c] for c in keep} | {"decoded": found}
 
     kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)

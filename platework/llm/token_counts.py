@@ -1,5 +1,6 @@
 """Token counts without tokens: an Aho-Corasick automaton finds the vocabulary's pieces in one walk, and a dynamic
-programme carries the best score and the number of pieces of each prefix."""
+programme carries the best score of each prefix, and only the number of pieces is kept. Stretches of text between
+which no piece reaches are counted once and remembered."""
 
 from __future__ import annotations
 
@@ -8,48 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platework.llm.common import in_batches
-from platework.llm.unigram import MAX_REMEMBERED, REMEMBERED, Vocabulary
-
-
-class Counter:
-    """Counts of stretches between which no piece reaches; short stretches are remembered."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.automaton, self.find = vocabulary, vocabulary.automaton(), vocabulary.finder().findall
-        self.known: dict[str, tuple[int, float]] = {}
-
-    def stretch(self, text: str) -> tuple[int, float]:
-        """Pieces and score of the best segmentation."""
-        v, size = self.vocabulary, len(text)
-        ends = v.matches(self.automaton, text)
-        best, count = [0.0] * (size + 1), [0] * (size + 1)
-        for end in range(1, size + 1):
-            top, n, single = None, 0, False
-            for length, score, _ in ends[end]:
-                single |= length == 1
-                if top is None or best[end - length] + score > top:
-                    top, n = best[end - length] + score, count[end - length] + 1
-            if not single and (top is None or best[end - 1] + v.unknown_score > top):
-                top, n = best[end - 1] + v.unknown_score, count[end - 1] + v.unknown_count(text[end - 1])
-            best[end], count[end] = top, n
-        return count[size], best[size]
-
-    def count(self, text: str | None) -> tuple[int, float]:
-        if not text:
-            return 0, 0.0
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        units = self.find(" " + text.replace("▁", " "))
-        known, n, score = self.known, 0, 0.0
-        found = [known.get(u) or self._new(u) for u in units]
-        n, score = (sum(x) for x in zip(*found, strict=True))
-        return n, score
-
-    def _new(self, unit: str) -> tuple[int, float]:
-        found = self.stretch(unit)
-        if len(unit) <= MAX_REMEMBERED:
-            self.known[unit] = found
-        return found
+from platework.llm.unigram import Vocabulary, remembered
 
 
 def count_tokens(df: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -60,15 +20,17 @@ def count_tokens(df: DataFrame, model: str, id_column: str = "doc_id", text_colu
     is the path of a SentencePiece model on the driver; its size bounds what is sent to the executors.
     """
     vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
-    state: dict[str, Counter] = {}
 
     def run(batch):
-        counter = state.setdefault("counter", None) or Counter(vocabulary.value)
-        state["counter"] = counter
-        found = [counter.count(t) for t in batch["text"].to_pylist()]
+        known = remembered(vocabulary, with_ids=False)
+        rows, bounds = known.rows_of(batch["text"].to_pylist())
+        _, _, sizes, scores = known.arrays()
+        sizes, scores = sizes[rows], scores[rows]
+        each = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
         return {
             id_column: batch[id_column],
-            "n_tokens": np.array([n for n, _ in found], np.int64), "score": np.array([s for _, s in found], np.float64),
+            "n_tokens": np.array([sizes[a:b].sum(dtype=np.int64) for a, b in each], np.int64),
+            "score": np.array([scores[a:b].sum() for a, b in each], np.float64),
         }
 
     kind = df.schema[id_column].dataType.simpleString()

@@ -9,16 +9,17 @@ put before the text (none before an empty one), and blanks are the vocabulary's
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 
 #: Fixed values of the format.
 SPACE, UNKNOWN_PENALTY = "▁", 10.0
-#: A stretch of text longer than this is segmented without being remembered.
-MAX_REMEMBERED = 64
-#: So many stretches are remembered by a task at most.
-REMEMBERED = 400_000
+#: So many stretches, and ids of them, are remembered by a worker at most.
+REMEMBERED, REMEMBERED_IDS = 600_000, 1 << 23
 
 
 @dataclass
@@ -31,6 +32,7 @@ class Vocabulary:
     bytes_from: int | None  # id of byte 0, if the vocabulary has byte pieces
     texts: list[bytes] = field(repr=False, default_factory=list)  # by id, for decoding
     longest: int = 1
+    fingerprint: int = 0
     pattern: str = ""  # finds stretches between which no piece reaches
 
     @classmethod
@@ -62,7 +64,7 @@ class Vocabulary:
             pattern = r" *[^ ]+| +"
         else:
             pattern = r" *[^ \n]+| +|\n"
-        return cls(pieces, unknown_id, unknown_score, bytes_from, texts, max(map(len, pieces), default=1), pattern)
+        return cls(pieces, unknown_id, unknown_score, bytes_from, texts, max(map(len, pieces), default=1), hash(tuple(pieces.items())), pattern)
 
     def automaton(self) -> ahocorasick.Automaton:
         """All pieces that end at a character are found in one walk over the text."""
@@ -83,6 +85,35 @@ class Vocabulary:
             at.sort(key=lambda m: -m[0])
         return ends
 
+    def segment(self, automaton, text: str) -> tuple[list, float]:
+        """The pieces by which each place of the best path is reached, and its score.
+
+        The automaton gives matches by ascending end and, of one end, the longest first: a later one must be strictly
+        better. Only where no one-character piece ends can an unknown character do so.
+        """
+        size, lost = len(text), -float("inf")
+        best, by, single = [lost] * (size + 1), [None] * (size + 1), bytearray(size + 1)
+        best[0], unknown, done = 0.0, (1, self.unknown_score, -1), 0
+
+        def finish(stop: int) -> None:
+            for end in range(done + 1, stop):
+                if not single[end] and best[end - 1] + self.unknown_score > best[end]:
+                    best[end], by[end] = best[end - 1] + self.unknown_score, unknown
+
+        for last, match in automaton.iter(text) if self.pieces else ():
+            end = last + 1
+            if end > done + 1:
+                finish(end)
+                done = last
+            length, score, _ = match
+            if length == 1:
+                single[end] = 1
+            score += best[end - length]
+            if score > best[end]:
+                best[end], by[end] = score, match
+        finish(size + 1)
+        return by, best[size]
+
     def unknown_count(self, character: str) -> int:
         return 1 if self.bytes_from is None else len(character.encode())
 
@@ -126,3 +157,85 @@ def backward(vocabulary: Vocabulary, text: str, by: list, end: int) -> tuple[lis
         ids += reversed(vocabulary.unknown_ids(text[end - length : end])) if i < 0 else [i]
         end -= length
     return ids[::-1], end
+
+
+class Remembered(dict):
+    """Segmentations of stretches between which no piece reaches: their row, with sizes, scores and ids by row.
+
+    The key of a stretch that begins with its only blank is what follows the blank; that of any other is the stretch
+    after one blank more.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, with_ids: bool):
+        self.vocabulary, self.automaton, self.find = vocabulary, vocabulary.automaton(), vocabulary.finder().findall
+        self.with_ids, self.whole = with_ids, vocabulary.pattern.startswith("(?s)")
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.flat, self.starts, self.sizes, self.scores = array("i"), array("q"), array("i"), array("d")
+
+    def __missing__(self, key: str) -> int:
+        text = key[1:] if key.startswith(" ") else " " + key
+        by, score = self.vocabulary.segment(self.automaton, text)
+        self.starts.append(len(self.flat))
+        if self.with_ids:
+            ids, _ = backward(self.vocabulary, text, by, len(text))
+            self.flat.extend(ids)
+            self.sizes.append(len(ids))
+        else:
+            n, end = 0, len(text)
+            while by[end] is not None:
+                n += self.vocabulary.unknown_count(text[end - 1]) if by[end][2] < 0 else 1
+                end -= by[end][0]
+            self.sizes.append(n)
+        self.scores.append(score)
+        row = self[key] = len(self.sizes) - 1
+        return row
+
+    def keys_of(self, text: str) -> list[str]:
+        """Keys of the stretches of a text (without the blank put before it)."""
+        text = text.replace(SPACE, " ")
+        if not self.whole and "  " not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return [self.key(u) for u in self.find(" " + text)]
+
+    @staticmethod
+    def key(unit: str) -> str:
+        return unit[1:] if unit[0] == " " and " " not in unit[1:] else " " + unit
+
+    def rows_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of all stretches of the texts, and where each text's begin and end."""
+        if len(self) > REMEMBERED or len(self.flat) > REMEMBERED_IDS:
+            self.forget()
+        keys = [self.keys_of(t) if t else [] for t in texts]
+        bounds = np.cumsum([0, *map(len, keys)])
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(keys)), np.int64, int(bounds[-1])), bounds
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, starts, sizes and scores by row (copies, as the originals grow)."""
+        kinds = ((self.flat, np.int32), (self.starts, np.int64), (self.sizes, np.int32), (self.scores, np.float64))
+        return tuple(np.frombuffer(x, kind).copy() if len(x) else np.zeros(0, kind) for x, kind in kinds)
+
+
+_KNOWN: dict[tuple[int, bool], Remembered] = {}
+
+
+def remembered(shared, with_ids: bool) -> Remembered:
+    """What this worker process remembers for a broadcast vocabulary, over all of its tasks."""
+    key = (shared.value.fingerprint, with_ids)
+    if key not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[key] = Remembered(shared.value, with_ids)
+    return _KNOWN[key]
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """``flat[start : start + size]`` of every start and size, joined."""
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out = np.empty(total[-1], flat.dtype)
+    for at in range(0, len(starts), step):
+        a, b = total[at], total[min(at + step, len(starts))]
+        n = sizes[at : at + step]
+        out[a:b] = flat[np.repeat(starts[at : at + step] - (total[at : at + step][: len(n)] - a), n) + np.arange(b - a)]
+    return out
