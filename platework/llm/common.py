@@ -15,7 +15,8 @@ from platework.session import new_folder
 #: Rows and bytes that a Python worker gets at once, so that its memory does not grow with long texts.
 BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Added to the words of a window by their place (odd multiples of one number, modulo 2**64).
+_PLACES = [np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in range(1, 65)]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,7 +106,7 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     out = np.zeros(max(n, 0), np.uint64)
     for k in range(width):
         if n > 0:
-            out = mixed(out + h[k : k + n] + MIX * np.uint64(k + 1))
+            out = mixed(out + h[k : k + n] + _PLACES[k % 64])
     return out
 
 

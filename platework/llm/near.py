@@ -30,7 +30,7 @@ BANDS, ROWS = 28, 6
 #: Share of equal signature bytes from which a pair is compared on its sets; at a similarity of 0.85 the share lies
 #: below with a chance of one in a million.
 LIKELY = 0.72
-BLOCK, GROUP_ROWS, GROUP_BYTES = 4_096, 20_000, 16 << 20
+BLOCK, GROUP_ROWS, GROUP_BYTES = 4_096, 5_000, 2 << 20
 #: Shingles hashed at once: small enough for the processor's cache.
 SLICE = 1 << 15
 

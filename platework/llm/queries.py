@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platework.llm import (
-    extraction, leaks, lines, near, quality, sentencepiece, substrings, suffix_arrays, token_counts, warc,
+    extraction, leaks, lines, near, oracles, quality, sentencepiece, substrings, suffix_arrays, token_counts, warc,
 )
 from platework.llm.common import read
 from platework.session import new_folder
@@ -80,7 +80,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated"), "items", "longest")
+        F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,4 +91,6 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sentencepiece, op2_warc, op3_line_dedup, op4_token_counts, op5_near_duplicates, op6_main_text,
     op7_suffix_arrays, op8_quality_rules, op9_decontamination, op10_substrings)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc": oracles.WARC, "op3_line_dedup": oracles.LINES, "op5_near_duplicates": oracles.NEAR,
+    "op7_suffix_arrays": oracles.BYTES, "op9_decontamination": oracles.LEAKS, "op10_substrings": oracles.WORDS}
