@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from platework.llm.common import WordHashes, as_bytes, in_batches, row_hash, same, stored, window_hashes
 
-SHARE, STEPS, CUTOFF, PRIOR_ROWS = 0.75, 4, 100.0, 200
+SHARE, STEPS, CUTOFF, PRIOR_ROWS = 0.75, 4, 60.0, 200
 UNIT = 256
 #: What counts as white space and as a symbol, and the base rules.
 SPACES, SYMBOLS = b" \t\n\r\x0b\f", b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: The transformed statistics, and the least spread of each that counts (in its own units).
-FEATURES = {"length": 0.7, "word_length": 0.5, "symbols": 0.06, "repeated_lines": 0.1, "repeated_words": 0.12}
+FEATURES = {"length": 1.0, "word_length": 0.5, "symbols": 0.03, "repeated_lines": 0.2, "repeated_words": 0.2}
 DIMS = len(FEATURES)
 #: Squared distances are counted in bins of a 16th of a power of two.
 BINS = 16
