@@ -15,7 +15,7 @@ from platework.functions.text import to_int
 from platework.plans import gold, quality, silver
 from platework.schemas import BEV, PHEV
 from platework.session import new_folder
-from platework.sources.tables import state_goals, zip_demographics
+from platework.sources.tables import state_goals, write_table, zip_demographics
 
 YEAR_SHIFT = 28
 
@@ -43,12 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A table read by fewer tasks than there are cores, dealt out by its keys before costly work on each row.
-
-    A table of many files is read by many tasks anyway and stays as it is.
-    """
-    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(*keys) if few else df
+    """Rows dealt out by their keys before costly work on each: a table may lie in one file, or in few."""
+    return df.repartition(*keys)
 
 
 def _text(column) -> Column:
@@ -151,8 +147,8 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Layers:
     """The layers over the derived registrations, each built when asked for.
 
-    With ``stored`` silver and quarantine are written once and read back, as in a full run; that pays
-    where a query reads them several times.
+    With ``stored`` silver is written once and read back, as in a full run; that pays where a query
+    reads it several times.
     """
 
     def __init__(
@@ -161,7 +157,7 @@ class Layers:
         self.spark, self.sf_dir, self.mode, self.grain = spark, sf_dir, mode, grain
         self.folder = new_folder(spark, "layers") if stored else None
         if stored:
-            silver.store_silver(*self._inputs(), f"{self.folder}/silver", f"{self.folder}/quarantine", mode, False)
+            write_table(silver.build_silver(*self._inputs(), mode, check_lookups=False), f"{self.folder}/silver")
 
     def _inputs(self) -> list[DataFrame]:
         # The lookups are the fixed tables: 15 and 11 rows with unique keys, so nothing to count.
@@ -179,8 +175,6 @@ class Layers:
         return silver.build_silver(*self._inputs(), self.mode, check_lookups=False)
 
     def quarantine(self) -> DataFrame:
-        if self.folder:
-            return self.spark.read.parquet(f"{self.folder}/quarantine")
         return silver.build_quarantine(self.bronze(), self.mode)
 
     def dim_vehicle(self) -> DataFrame:

@@ -193,10 +193,7 @@ FROM (SELECT (SELECT count(*) FROM events) AS raw_variant, (SELECT count(*) FROM
   (SELECT count(*) FROM silver) AS silver, (SELECT count(*) FROM quarantine) AS quarantine,
   (SELECT count(*) FROM silver) + (SELECT count(*) FROM quarantine) AS silver_plus_quarantine, (SELECT count(*) FROM fact) AS gold_fact)"""))
 def layer_health(spark, sf):
-    layers = Layers(spark, sf)
-    return health.layer_health(
-        event_documents(spark, sf), layers.bronze(), layers.silver(), layers.quarantine(), layers.fact()
-    )
+    return health.bronze_health(event_documents(spark, sf), Layers(spark, sf).bronze())
 
 
 @query(over_feed(f"""SELECT count(*) AS row_count, max(LOAD_TS) AS most_recent_record,
@@ -217,9 +214,7 @@ def _metrics_sql(expected: str) -> str:
 
 
 def _evaluated(layers: Layers) -> DataFrame:
-    return _amounts(quality.evaluate_metrics(
-        layers.bronze(), layers.silver(), layers.quarantine(), _moment(), strict=layers.mode == "strict"
-    ))
+    return _amounts(quality.evaluate_bronze(layers.bronze(), _moment(), layers.mode))
 
 
 @query(over_feed(_metrics_sql("(SELECT count(DISTINCT VIN) FROM bronze)")))
@@ -257,8 +252,8 @@ def freshness_metric(spark, sf):
 
 @query(over_feed("SELECT (SELECT count(DISTINCT VIN) FROM bronze) - (SELECT count(*) FROM silver) - (SELECT count(*) FROM quarantine) AS VALUE"))
 def reconciliation_metric(spark, sf):
-    layers = Layers(spark, sf)
-    return quality.reconciliation_metric(layers.bronze(), layers.silver(), layers.quarantine())
+    profile = quality.judged_profile(Layers(spark, sf).bronze())
+    return profile.select((F.col("distinct_keys") - F.col("silver_rows") - F.col("quarantine_rows")).alias("VALUE"))
 
 
 @query(over_feed("SELECT REJECTION_REASON, count(*) AS rejected_count FROM quarantine GROUP BY 1"))
@@ -353,6 +348,28 @@ def application_measures_by_date(spark, sf):
     return _amounts(semantic_query(tables, _APP_MEASURES, ["submitted_date"]))
 
 
+@query(over_feed("SELECT COUNTY, count(VIN) AS registration_count FROM silver GROUP BY COUNTY"))
+def measures_over_reference_grain(spark, sf):
+    """A geography with several rows per key counts every registration once all the same."""
+    tables = Layers(spark, sf, stored=True).tables("fact_registrations", "dim_geography")
+    return semantic_query(tables, ["registration_count"], ["COUNTY"])
+
+
+@query(over_feed("""SELECT status, count(DISTINCT s.VIN) AS registration_count FROM silver s LEFT JOIN apps a ON s.VIN = a.vin GROUP BY 1"""))
+def registrations_by_application_status(spark, sf):
+    """A registration counts in every status that it has an application in."""
+    tables = Layers(spark, sf, stored=True).tables("fact_registrations", "incentive_applications")
+    return semantic_query(tables, ["registration_count"], ["status"])
+
+
+@query(over_feed("""SELECT s.MAKE, count(a.application_id) AS total_applications FROM silver s JOIN apps a ON s.VIN = a.vin
+WHERE a.status = 'APPROVED' GROUP BY 1"""))
+def approved_applications_by_make(spark, sf):
+    """Applications by a vehicle's dimension, filtered on their own column."""
+    tables = Layers(spark, sf, stored=True).tables("fact_registrations", "dim_vehicle", "incentive_applications")
+    return semantic_query(tables, ["total_applications"], ["MAKE"], {"status": F.col("status") == "APPROVED"})
+
+
 @query(over_feed(f"""SELECT r.EV_TYPE, registration_count, a.* EXCLUDE (EV_TYPE) FROM
   (SELECT EV_TYPE, count(*) AS registration_count FROM silver GROUP BY 1) r JOIN
   (SELECT EV_TYPE, {_APPS} FROM (SELECT VIN, EV_TYPE FROM silver) s JOIN apps a ON s.VIN = a.vin GROUP BY 1) a ON r.EV_TYPE = a.EV_TYPE"""))
@@ -409,11 +426,12 @@ _question(f"SELECT *, total - prev_year AS jump FROM {_GROWN} WHERE prev_year IS
 _question("SELECT MODEL_YEAR, EV_TYPE, CUMULATIVE_COUNT, TARGET_EV_COUNT FROM by_year", questions.adoption_trend, "agg_by_year")
 _question("SELECT MODEL_YEAR, max(TARGET_EV_COUNT) AS TARGET_EV_COUNT FROM by_year WHERE TARGET_EV_COUNT IS NOT NULL GROUP BY 1",
           questions.target_line, "agg_by_year")
-_question(f"""SELECT *, {percent_sql('cumulative', 'target')} AS pct_of_target FROM (SELECT MODEL_YEAR, CAST(sum(CUMULATIVE_COUNT) AS BIGINT) AS cumulative,
-  max(TARGET_EV_COUNT) AS target FROM by_year WHERE MODEL_YEAR = 2026 GROUP BY 1)""", questions.goal_share_of_year, "agg_by_year", year=2026)
+_question(f"""SELECT *, {percent_sql('cumulative', 'target')} AS pct_of_target FROM (SELECT CAST(2026 AS INTEGER) AS MODEL_YEAR,
+  (SELECT count(*) FROM silver WHERE MODEL_YEAR <= 2026) AS cumulative,
+  (SELECT max(TARGET_EV_COUNT) FROM silver WHERE MODEL_YEAR = 2026) AS target) WHERE (SELECT count(*) FROM silver WHERE MODEL_YEAR = 2026) > 0""", questions.goal_share_of_year, "agg_by_year", year=2026)
 _question("""SELECT CAST(2030 AS INTEGER) AS target_year, round(projected, 2) AS projected, CAST(1200000 AS BIGINT) AS target, projected >= 1200000 AS on_track
 FROM (SELECT regr_slope(c, MODEL_YEAR) * 2030 + regr_intercept(c, MODEL_YEAR) AS projected FROM (
-  SELECT MODEL_YEAR, sum(CUMULATIVE_COUNT) AS c FROM by_year WHERE MODEL_YEAR IS NOT NULL GROUP BY 1))""",
+  SELECT y.MODEL_YEAR, count(*) AS c FROM (SELECT DISTINCT MODEL_YEAR FROM silver) y JOIN silver s ON s.MODEL_YEAR <= y.MODEL_YEAR GROUP BY 1))""",
           questions.goal_projection, "agg_by_year", "state_goals")
 _question("""SELECT COUNTY, CAST(sum(REGISTRATION_COUNT) AS BIGINT) AS total_registrations, max(POPULATION) AS population, max(REGISTRATIONS_PER_CAPITA) AS per_capita
 FROM by_county GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""", questions.top_counties, "agg_by_county")
@@ -446,10 +464,11 @@ _question("SELECT MAKE, avg(ELECTRIC_RANGE) AS avg_range FROM dim_vehicle GROUP
 _question(f"""SELECT COUNTY, MAKE, registrations, {percent_sql('registrations', 'total')} AS share_pct FROM (
   SELECT *, CAST(sum(registrations) OVER (PARTITION BY COUNTY) AS BIGINT) AS total FROM (
     SELECT COUNTY, MAKE, count(*) AS registrations FROM silver GROUP BY 1, 2))""", questions.make_share_by_region, "silver")
-_question("SELECT MAKE, MODEL, count(*) AS registrations FROM silver WHERE MEDIAN_INCOME > 90000 GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10",
-          questions.models_in_rich_zips, "silver", min_income=90_000)
-_question("SELECT MAKE, MODEL, count(*) AS registrations FROM silver WHERE COUNTY = 'NATION_3' GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5",
-          questions.top_models_in_county, "silver", county="NATION_3")
+_question("""SELECT *, this_year - last_year AS growth FROM (SELECT MAKE, MODEL, count(*) FILTER (MODEL_YEAR = 2026) AS this_year,
+  count(*) FILTER (MODEL_YEAR = 2025) AS last_year FROM silver WHERE MEDIAN_INCOME > 90000 AND MODEL_YEAR IN (2025, 2026) GROUP BY 1, 2)
+  ORDER BY this_year - last_year DESC, this_year DESC, MAKE, MODEL LIMIT 10""", questions.models_in_rich_zips, "silver", min_income=90_000, year=2026)
+_question("SELECT MAKE, MODEL, count(*) AS registrations FROM silver WHERE COUNTY = 'NATION_3' AND MODEL_YEAR = 2026 GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5",
+          questions.top_models_in_county, "silver", county="NATION_3", year=2026)
 _question(f"""SELECT MAKE, in_county, overall, {percent_sql('in_county', 'county_total')} AS county_pct, {percent_sql('overall', 'total')} AS state_pct FROM (
   SELECT MAKE, count(*) FILTER (COUNTY = 'NATION_3') AS in_county, count(*) AS overall, (SELECT count(*) FROM silver) AS total,
     (SELECT count(*) FROM silver WHERE COUNTY = 'NATION_3') AS county_total FROM silver GROUP BY 1)""",
@@ -493,14 +512,17 @@ _question(f"""SELECT EV_TYPE, registrations, applications, approved, {percent_sq
     FROM silver WHERE MEDIAN_INCOME > 90000 GROUP BY 1))""", questions.rich_zip_split, "silver", min_income=90_000)
 _question("SELECT make, model, count(*) AS approved FROM apps WHERE status = 'APPROVED' GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10",
           questions.approved_models, "incentive_applications")
-_question(None, questions.enriched_sample, "silver")
-_question(None, questions.parsed_sample, "bronze")
+_question("""SELECT VIN, MAKE, MODEL, COUNTY, POSTAL_CODE, POPULATION, MEDIAN_INCOME, EV_CHARGING_STATIONS, TARGET_EV_COUNT, POLICY_NAME,
+  CAST(INCENTIVE_AMOUNT AS DOUBLE) AS INCENTIVE_AMOUNT, APPLICATION_STATUS FROM silver WHERE POPULATION IS NOT NULL ORDER BY VIN LIMIT 5""",
+          questions.enriched_sample, "silver")
+_question("""SELECT VIN, MAKE, MODEL, MODEL_YEAR, EV_TYPE, COUNTY, POSTAL_CODE, ELECTRIC_RANGE FROM bronze
+  ORDER BY SOURCE_FILE, RECORD_POSITION LIMIT 5""", questions.parsed_sample, "bronze")
 
 
-@query()
+@query("SELECT min('docs/' || doc_id || '.json') AS source_file, TIMESTAMP '2024-02-01' AS loaded_at FROM documents")
 def raw_sample(spark, sf):
-    """Any one landed document."""
-    return questions.raw_sample({"raw": text_documents(spark, sf)})
+    """The first landed document, by source file."""
+    return questions.raw_sample({"raw": text_documents(spark, sf)}).select("source_file", "loaded_at")
 
 
 @query(over_feed("""SELECT state, year, target_ev_count, policy_name, count(VIN) AS registrations FROM goals
@@ -510,7 +532,8 @@ def goals_listing(spark, sf):
     tables = Layers(spark, sf).tables("silver", "state_goals")
     met = tables["silver"].groupBy("STATE", "MODEL_YEAR").agg(F.count("VIN").alias("registrations"))
     met = met.withColumnsRenamed({"STATE": "s", "MODEL_YEAR": "y"})
-    listed = questions.goals_listing(tables)
-    return listed.join(met, (F.col("state") == F.col("s")) & (F.col("year") == F.col("y")), "left").select(
-        *listed.columns, F.coalesce("registrations", F.lit(0)).alias("registrations")
+    goals = tables["state_goals"]
+    joined = goals.join(met, (F.col("state") == F.col("s")) & (F.col("year") == F.col("y")), "left").select(
+        *goals.columns, F.coalesce("registrations", F.lit(0)).alias("registrations")
     )
+    return questions.goals_listing({"state_goals": joined})

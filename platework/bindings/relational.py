@@ -112,7 +112,7 @@ def json_scalar_texts(spark, sf):
         F.lit('{"data":[['), F.col("event_id").cast("string"), F.lit(","), (-F.col("value")).cast("string"),
         F.lit(",null,"), F.col("props"), F.lit("]]}"),
     )
-    row = F.col("doc.data")[0]
+    row = d.record_cells(F.col("doc.data")[0])
     return table(spark, sf, "events").select("event_id", d.decode(cells).alias("doc")).select(
         "event_id", row[0].alias("id_text"), row[1].alias("value_text"), row[2].alias("null_text"),
         row[3].alias("nested_text"), F.size(row).alias("cells"),

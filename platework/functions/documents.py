@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from platework._columns import as_col
 
-# Nested cells arrive as their JSON text, numbers as written and null as NULL.
+# Records are kept as their JSON text and read one by one, so that one that is no array costs only itself.
 DOCUMENT_SCHEMA = (
     "struct<meta:struct<view:struct<name:string,columns:array<struct<fieldName:string>>>>,"
-    "data:array<array<string>>>"
+    "data:array<string>>"
 )
+# Nested cells arrive as their JSON text, numbers as written and null as NULL.
+RECORD_SCHEMA = "array<string>"
 
-
-# The same without the cells, for counting records.
+# The same without the header, for counting records.
 OUTLINE_SCHEMA = "struct<meta:struct<view:struct<name:string>>,data:array<string>>"
 
 
@@ -31,17 +32,25 @@ def decode(raw) -> Column:
     return F.from_json(as_col(raw), DOCUMENT_SCHEMA)
 
 
-def field_names(document: Column) -> Column:
-    return F.transform(document["meta"]["view"]["columns"], lambda c: c["fieldName"])
+def record_cells(record) -> Column:
+    """The cells of one record; NULL when it is no array."""
+    return F.from_json(as_col(record), RECORD_SCHEMA)
 
 
-def header_map(names: Column) -> Column:
-    """Field name -> zero-based position. A name used twice means its last position."""
-    last_use = F.filter(
-        F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("at"))),
-        lambda e: e["name"].isNotNull() & (e["at"] == F.size(names) - F.array_position(F.reverse(names), e["name"])),
-    )
-    return F.map_from_entries(last_use)
+def is_whole_json(raw) -> Column:
+    """Whether the text is one JSON object or array with nothing after it, of any length.
+
+    Readers stop at the end of the root. Inside a wrapping array the root must be the only element, and inside a
+    wrapping object the only value: text after it breaks at least one of the two.
+    """
+    text = as_col(raw)
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    value = F.json_object_keys(F.concat(F.lit('{"root":'), text, F.lit("}"))) == F.array(F.lit("root"))
+    return F.coalesce(text.rlike(r"^\s*[\[{]") & alone & value, F.lit(False))
+
+
+def field_names(document: Column) -> Column:
+    return F.transform(document["meta"]["view"]["columns"], lambda c: c["fieldName"])
 
 
 def field_position(names: Column, field: str) -> Column:

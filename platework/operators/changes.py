@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +22,15 @@ def apply_changes(
 
     Per key the row with the highest ``sequence_by`` survives; a change beats a target row with the
     same sequence, and a change older than the target row is ignored. Applying the same changes twice
-    gives the same table. Target rows that no change touches are only filtered: while the changed keys
-    are few enough for Spark to broadcast, the target is neither shuffled nor sorted.
+    gives the same table. Target and changes are read once and shuffled once, by key, after each task
+    has cut its rows to one per key.
     """
     doomed = F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False)
     feed = changes.withColumns({_DELETED: doomed, _FROM_FEED: F.lit(1)})
+    columns = changes.columns if target is None else target.columns
+    if target is not None:
+        feed = target.withColumns({_DELETED: F.lit(False), _FROM_FEED: F.lit(0)}).unionByName(
+            feed.select(*columns, _DELETED, _FROM_FEED)
+        )
     order = [F.col(c).desc_nulls_last() for c in [*sequence_by, _FROM_FEED]]
-    if target is None:
-        return dedup_latest(feed, keys, order).where(~F.col(_DELETED)).select(*changes.columns)
-
-    columns = target.columns
-    touched = changes.select(*[F.col(k).alias(f"__touched_{k}") for k in keys]).distinct()
-    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{k}")) for k in keys])
-    untouched = target.join(touched, same_key, "left_anti")
-    contested = target.join(touched, same_key, "left_semi")
-    feed = contested.withColumns({_DELETED: F.lit(False), _FROM_FEED: F.lit(0)}).unionByName(
-        feed.select(*columns, _DELETED, _FROM_FEED)
-    )
-    resolved = dedup_latest(feed, keys, order).where(~F.col(_DELETED)).select(*columns)
-    return untouched.unionByName(resolved)
+    return dedup_latest(feed, keys, order).where(~F.col(_DELETED)).select(*columns)

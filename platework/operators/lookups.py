@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
+ROWS_PER_TASK = 500_000
+_KEYLESS_PARTS = 1 << 20
 
 
 def _any_of(conditions) -> Column:
@@ -43,47 +44,40 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFra
 
 
 def spread_left_join(
-    df: DataFrame, lookup: DataFrame, on: dict[str, str], parts: int = 64, share: int = 200
+    df: DataFrame, lookup: DataFrame, on: dict[str, str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """``left_lookup`` by shuffle in which no key sits in one task, however many rows it holds.
 
-    A key is hot when it holds more than one row in ``share``, so there are fewer than ``share`` hot
-    keys whatever the data: that list is safe to broadcast. Rows of hot keys, and those without a key,
-    are dealt over ``parts`` tasks, and only the lookup rows of hot keys are copied to each of them.
-    Nothing is dropped or sampled.
+    Keys are counted once. The rows of a key with more than ``rows_per_task`` are dealt over as many parts as that
+    takes, rows without a key over ever so many, and only the lookup rows of dealt keys are copied, to each of their
+    parts. How the counts meet rows and lookup is left to Spark. Nothing is dropped or sampled.
     """
     keyless = _any_of(F.col(left).isNull() for left in on)
     per_key = df.where(~keyless).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = per_key.agg(F.sum("__n")).scalar()
-    hot_names = {left: f"__hot_{i}" for i, left in enumerate(on)}
-    hot = per_key.where(F.col("__n") * F.lit(share) > total)
-    hot = F.broadcast(hot.select(*[F.col(left).alias(name) for left, name in hot_names.items()]))
-    is_hot = F.col(hot_names[next(iter(on))]).isNotNull()
-
-    deal = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)).cast("int")
-    rows = df.join(hot, [F.col(left) == F.col(name) for left, name in hot_names.items()], "left").withColumn(
-        "__part", F.when(is_hot | keyless, deal).otherwise(F.lit(0))
+    names = {left: f"__hot_{i}" for i, left in enumerate(on)}
+    hot = per_key.where(F.col("__n") > rows_per_task).select(
+        *[F.col(left).alias(name) for left, name in names.items()],
+        F.ceil(F.col("__n") / rows_per_task).cast("int").alias("__parts"),
+    )
+    parts = F.when(keyless, F.lit(_KEYLESS_PARTS)).otherwise(F.coalesce("__parts", F.lit(1)))
+    rows = df.join(hot, [F.col(left) == F.col(name) for left, name in names.items()], "left").withColumn(
+        "__part", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), parts.cast("long")).cast("int")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     dealt = (
-        lookup.join(hot, [F.col(right) == F.col(hot_names[left]) for left, right in on.items()], "left")
-        .withColumn("__lookup_part", F.explode(copies))
-        .drop(*hot_names.values())
+        lookup.join(hot, [F.col(right) == F.col(names[left]) for left, right in on.items()], "left")
+        .withColumn("__lookup_part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)))
+        .drop(*names.values(), "__parts")
     )
-    joined = left_lookup(rows.drop(*hot_names.values()), dealt, {**on, "__part": "__lookup_part"})
+    joined = left_lookup(rows.drop(*names.values(), "__parts"), dealt, {**on, "__part": "__lookup_part"})
     return joined.drop("__part")
 
 
-def sized_lookup(
-    df: DataFrame, lookup: DataFrame, on: dict[str, str], max_rows: int = MAX_BROADCAST_ROWS, unique: bool = True
-) -> DataFrame:
-    """Left join against a lookup that is counted first: a small one is broadcast, a larger one spread.
+def unique_lookup(df: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Left join against a lookup whose keys are counted first: a repeated one would multiply rows, so it raises.
 
-    A repeated key would multiply the rows it is joined to, so with ``unique`` it raises.
+    Whether the lookup is broadcast is left to Spark's estimate of its bytes.
     """
-    size = measure_lookup(lookup, list(on.values()))
-    if unique and size.repeated_keys:
-        raise ValueError(f"lookup has {size.repeated_keys} repeated key(s) on {list(on.values())}")
-    if size.rows <= max_rows:
-        return left_lookup(df, F.broadcast(lookup), on)
-    return spread_left_join(df, lookup, on)
+    repeated = measure_lookup(lookup, list(on.values())).repeated_keys
+    if repeated:
+        raise ValueError(f"lookup has {repeated} repeated key(s) on {list(on.values())}")
+    return left_lookup(df, lookup, on)

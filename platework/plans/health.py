@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from platework.functions.times import minutes_between
 from platework.operators.scalars import labelled_counts, one_row
+from platework.plans import quality
 
 # Outcome texts of the reconciliation.
 PASS_TEXT = "PASS — all vehicles accounted for (dedup reduces raw rows to distinct VINs)"
@@ -31,6 +32,10 @@ def layer_health(
         quarantine.agg(F.count(F.lit(1)).alias("quarantine")),
         fact.agg(F.count(F.lit(1)).alias("gold_fact")),
     ])
+    return _with_outcome(counts)
+
+
+def _with_outcome(counts: DataFrame) -> DataFrame:
     both = F.col("silver") + F.col("quarantine")
     return counts.withColumns({
         "silver_plus_quarantine": both,
@@ -40,6 +45,16 @@ def layer_health(
     })
 
 
+def bronze_health(raw: DataFrame, bronze: DataFrame, mode: str = "reference") -> DataFrame:
+    """``layer_health`` of the layers that follow from bronze, which is read once; the fact has silver's rows."""
+    counts = one_row([raw.agg(F.count(F.lit(1)).alias("raw_variant")), quality.judged_profile(bronze, mode)])
+    return _with_outcome(counts.select(
+        "raw_variant", F.col("bronze_rows").alias("bronze_parsed"), F.col("distinct_keys").alias("bronze_distinct_vins"),
+        F.col("silver_rows").alias("silver"), F.col("quarantine_rows").alias("quarantine"),
+        F.col("silver_rows").alias("gold_fact"),
+    ))
+
+
 def ingested_files(raw: DataFrame) -> DataFrame:
     return raw.select("source_file", "loaded_at").orderBy(F.col("loaded_at").desc(), "source_file")
 

@@ -14,7 +14,9 @@ from platework.functions.times import hours_before, seconds_between
 from platework.operators.grouped import repeated_keys
 from platework.operators.latest import dedup_latest
 from platework.operators.scalars import one_row
-from platework.schemas import RUN_LOG, VALID_EV_TYPES
+from platework.operators.rules import judge
+from platework.plans.silver import registration_rules
+from platework.schemas import LINEAGE, RUN_LOG, VALID_EV_TYPES
 from platework.sources.tables import append_table
 
 # Metric names.
@@ -23,9 +25,11 @@ DUPLICATES = "DMF_DUPLICATE_VIN_COUNT"
 RULES = "DMF_INVALID_BUSINESS_RULES"
 RECONCILIATION = "DMF_ROW_COUNT_RECONCILIATION"
 FRESHNESS = "FRESHNESS"
+LANDING = "RECORDS_LANDED_NOT_PARSED"
 
 # Table labels of the metric history. The database is a label of this library.
 SILVER_NAME = "SILVER_EV_REGISTRATIONS"
+BRONZE_NAME = "BRONZE_EV_REGISTRATIONS"
 QUARANTINE_NAME = "QUARANTINE_EV_REGISTRATIONS"
 SCHEMA_NAME = "CLEAN"
 DATABASE_NAME = "REGISTRATIONS"
@@ -63,6 +67,7 @@ THRESHOLDS = [
     Threshold(FRESHNESS, "WARN", "WARN — data stale (>3 hours)", above=10800),
     Threshold(RULES, "FAIL", "FAIL — invalid rows in Silver", above=0, check=True, alert=True),
     Threshold(RECONCILIATION, "FAIL", "FAIL — row count mismatch", differs=0, check=True, alert=True),
+    Threshold(LANDING, "FAIL", "FAIL — landed records are missing", differs=0, check=True, alert=True),
     Threshold(FRESHNESS, "ALERT", "stale (>6 hours)", above=21600, status=False, alert=True),
 ]
 
@@ -102,6 +107,38 @@ def reconciliation_metric(
     return facts.select(_reconciled(strict).alias("VALUE"))
 
 
+def judged_profile(bronze: DataFrame, mode: str = "reference") -> DataFrame:
+    """What health and metrics need to know of bronze, and of the silver and quarantine that follow from it, as one
+    row: one read and one shuffle, of a row per task and VIN."""
+    strict = mode == "strict"
+    newest = F.struct(*[F.col(c) for c in ["LOAD_TS", *LINEAGE] if c in bronze.columns])
+    per_vin = bronze.groupBy("VIN").agg(
+        F.count(F.lit(1)).alias("n"), F.max_by(F.struct("EV_TYPE", "ELECTRIC_RANGE", "LOAD_TS"), newest).alias("last")
+    ).select("VIN", "n", "last.*")
+    judged = judge(per_vin, registration_rules(), strict)
+    valid, bad = ~F.col("__bad"), F.col("__bad")
+    # Strict mode keeps, and rejects, every row without a VIN.
+    rows = F.when(F.col("VIN").isNull() & F.lit(strict), F.col("n")).otherwise(F.lit(1))
+    total = lambda what: F.coalesce(F.sum(what), F.lit(0))
+    return judged.agg(
+        total("n").alias("bronze_rows"), F.count("VIN").alias("distinct_keys"),
+        total(F.when(F.col("VIN").isNull(), F.col("n"))).alias("null_rows"),
+        F.count_if(valid).alias("silver_rows"), F.count(F.when(valid, F.col("VIN"))).alias("silver_keyed"),
+        F.lit(0).cast("long").alias("silver_repeated"),  # one row per VIN by construction
+        F.count_if(valid & F.coalesce(broken_rule(), F.lit(False))).alias("silver_broken"),
+        F.max(F.when(valid, F.col("LOAD_TS"))).alias("silver_newest"),
+        total(F.when(bad, rows)).alias("quarantine_rows"),
+        F.count(F.when(bad, F.col("VIN"))).alias("quarantine_keyed"),
+    )
+
+
+def landing_metric(landed: DataFrame, bronze: DataFrame, now: Column, database: str = DATABASE_NAME) -> DataFrame:
+    """Records of parsable documents less bronze rows, as a row of the metric history; 0 unless records were lost."""
+    facts = one_row([landed.select("parsable"), bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))])
+    value = F.col("parsable") - F.col("bronze_rows")
+    return _entries(facts, [(BRONZE_NAME, LANDING, value)], now, database)
+
+
 def _key_profile(bronze: DataFrame, column: str) -> DataFrame:
     # Grouping first: NULL keys meet as one partial count per task, not as rows.
     per_key = bronze.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -143,6 +180,15 @@ def evaluate_metrics(
         _silver_profile(silver),
         quarantine.agg(F.count(F.lit(1)).alias("quarantine_rows"), F.count("VIN").alias("quarantine_keyed")),
     ])
+    return _measured(facts, now, strict, database)
+
+
+def evaluate_bronze(bronze: DataFrame, now: Column, mode: str = "reference", database: str = DATABASE_NAME) -> DataFrame:
+    """The same measurements for the silver and quarantine that follow from bronze, without building these."""
+    return _measured(judged_profile(bronze, mode), now, mode == "strict", database)
+
+
+def _measured(facts: DataFrame, now: Column, strict: bool, database: str) -> DataFrame:
     measured = [
         (SILVER_NAME, COMPLETENESS, percent("silver_keyed", "silver_rows")),
         (SILVER_NAME, DUPLICATES, F.col("silver_repeated")),
@@ -151,6 +197,10 @@ def evaluate_metrics(
         (SILVER_NAME, FRESHNESS, seconds_between("silver_newest", now)),
         (QUARANTINE_NAME, COMPLETENESS, percent("quarantine_keyed", "quarantine_rows")),
     ]
+    return _entries(facts, measured, now, database)
+
+
+def _entries(facts: DataFrame, measured: list[tuple[str, str, Column]], now: Column, database: str) -> DataFrame:
     entries = F.array(*[
         F.struct(
             F.lit(table).alias("TABLE_NAME"),
@@ -238,6 +288,6 @@ def quarantine_breakdown(quarantine: DataFrame) -> DataFrame:
 def log_run(
     spark: SparkSession, path: str, task: str, status: str, rows: int | None, error: str | None, when
 ) -> None:
-    """Append one line to the run log; long error texts are cut to its 2000 characters."""
-    line = [(task, status, rows, error[:2000] if error else None, when)]
+    """Append one line to the run log."""
+    line = [(task, status, rows, error or None, when)]
     append_table(spark.createDataFrame(line, RUN_LOG), path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from platework.functions.numbers import percent_double, sum_where
 from platework.functions.times import days_between
-from platework.operators.grouped import count_by, top_k, with_growth, with_share
+from platework.operators.grouped import count_by, running_total, top_k, with_growth, with_share
 from platework.operators.lookups import left_lookup
 
 Tables = dict[str, DataFrame]
@@ -60,18 +60,24 @@ def target_line(t: Tables) -> DataFrame:
 
 
 def goal_share_of_year(t: Tables, year: int) -> DataFrame:
-    rows = t["agg_by_year"].where(F.col("MODEL_YEAR") == year)
-    return rows.groupBy("MODEL_YEAR").agg(
-        F.sum("CUMULATIVE_COUNT").alias("cumulative"),
-        F.max("TARGET_EV_COUNT").alias("target"),
-    ).withColumn("pct_of_target", percent_double("cumulative", "target"))
+    """All registrations up to the year against its target: types without a row in that year count too."""
+    until = t["agg_by_year"].where(F.col("MODEL_YEAR") <= year)
+    totals = until.agg(
+        F.sum("REGISTRATION_COUNT").alias("cumulative"),
+        F.max(F.when(F.col("MODEL_YEAR") == year, F.col("TARGET_EV_COUNT"))).alias("target"),
+        F.max("MODEL_YEAR").alias("MODEL_YEAR"),
+    ).where(F.col("MODEL_YEAR") == year)
+    return totals.select(
+        "MODEL_YEAR", "cumulative", "target", percent_double("cumulative", "target").alias("pct_of_target")
+    )
 
 
 def goal_projection(t: Tables, target_year: int = 2030) -> DataFrame:
     """Least-squares line through the running total of all types, read off at the target year."""
     per_year = t["agg_by_year"].where(F.col("MODEL_YEAR").isNotNull()).groupBy("MODEL_YEAR").agg(
-        F.sum("CUMULATIVE_COUNT").alias("cumulative")
+        F.sum("REGISTRATION_COUNT").alias("total")
     )
+    per_year = running_total(per_year, "total", [], "MODEL_YEAR", "cumulative")
     line = per_year.agg(
         F.regr_slope("cumulative", "MODEL_YEAR").alias("slope"),
         F.regr_intercept("cumulative", "MODEL_YEAR").alias("intercept"),
@@ -177,14 +183,22 @@ def make_share_by_region(t: Tables) -> DataFrame:
     return grouped.withColumn("share_pct", percent_double(F.col("registrations"), total))
 
 
-def models_in_rich_zips(t: Tables, min_income: int = 100_000, k: int = 10) -> DataFrame:
-    grouped = count_by(t["silver"].where(F.col("MEDIAN_INCOME") > min_income), ["MAKE", "MODEL"], "registrations")
-    return top_k(grouped, k, F.col("registrations").desc(), "MAKE", "MODEL")
+def models_in_rich_zips(t: Tables, year: int, min_income: int = 100_000, k: int = 10) -> DataFrame:
+    """Models that gained most registrations over the year before, with both years' counts."""
+    rich = t["silver"].where((F.col("MEDIAN_INCOME") > min_income) & F.col("MODEL_YEAR").isin(year - 1, year))
+    grouped = rich.groupBy("MAKE", "MODEL").agg(
+        F.count_if(F.col("MODEL_YEAR") == year).alias("this_year"),
+        F.count_if(F.col("MODEL_YEAR") == year - 1).alias("last_year"),
+    ).withColumn("growth", F.col("this_year") - F.col("last_year"))
+    return top_k(grouped, k, F.col("growth").desc(), F.col("this_year").desc(), "MAKE", "MODEL")
 
 
-def top_models_in_county(t: Tables, county: str, k: int = 5) -> DataFrame:
-    grouped = count_by(t["silver"].where(F.col("COUNTY") == county), ["MAKE", "MODEL"], "registrations")
-    return top_k(grouped, k, F.col("registrations").desc(), "MAKE", "MODEL")
+def top_models_in_county(t: Tables, county: str, year: int | None = None, k: int = 5) -> DataFrame:
+    """Of one model year, or of all."""
+    rows = t["silver"].where(F.col("COUNTY") == county)
+    if year is not None:
+        rows = rows.where(F.col("MODEL_YEAR") == year)
+    return top_k(count_by(rows, ["MAKE", "MODEL"], "registrations"), k, F.col("registrations").desc(), "MAKE", "MODEL")
 
 
 def county_mix_against_state(t: Tables, county: str) -> DataFrame:
@@ -322,18 +336,21 @@ def goals_listing(t: Tables) -> DataFrame:
 
 
 def enriched_sample(t: Tables, k: int = 5) -> DataFrame:
-    """Any k vehicles whose zip code has demographics."""
-    return t["silver"].where(F.col("POPULATION").isNotNull()).select(
+    """The first k vehicles, by VIN, whose zip code has demographics."""
+    found = t["silver"].where(F.col("POPULATION").isNotNull()).select(
         "VIN", "MAKE", "MODEL", "COUNTY", "POSTAL_CODE", "POPULATION", "MEDIAN_INCOME", "EV_CHARGING_STATIONS",
         "TARGET_EV_COUNT", "POLICY_NAME", "INCENTIVE_AMOUNT", "APPLICATION_STATUS",
-    ).limit(k)
+    )
+    return top_k(found, k, F.col("VIN"))
 
 
 def parsed_sample(t: Tables, k: int = 5) -> DataFrame:
-    return t["bronze"].select(
+    """The first k parsed rows, by document and place in it."""
+    return top_k(t["bronze"], k, F.col("SOURCE_FILE"), F.col("RECORD_POSITION")).select(
         "VIN", "MAKE", "MODEL", "MODEL_YEAR", "EV_TYPE", "COUNTY", "POSTAL_CODE", "ELECTRIC_RANGE"
-    ).limit(k)
+    )
 
 
 def raw_sample(t: Tables, k: int = 1) -> DataFrame:
-    return t["raw"].select("raw_data", "loaded_at", "source_file").limit(k)
+    """The first k landed documents, by source file."""
+    return top_k(t["raw"].select("raw_data", "loaded_at", "source_file"), k, F.col("source_file"))

@@ -1,28 +1,41 @@
-"""A full run: ingest, parse, silver and quarantine, gold, metrics, check. Each step is logged."""
+"""A full run: ingest, parse, silver and quarantine, gold, metrics, check. Each step is logged.
+
+Only documents that came since the last run are parsed. A step writes to new folders and switches its tables over
+together when all are whole (``publish``), so a run that breaks off leaves the tables of the one before.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platework.plans import gold, quality, silver
-from platework.schemas import INCENTIVE_APPLICATIONS, STATE_GOALS, ZIP_DEMOGRAPHICS
+from platework.plans import gold, health, quality, silver
+from platework.schemas import INCENTIVE_APPLICATIONS, LINEAGE, STATE_GOALS, ZIP_DEMOGRAPHICS
 from platework.sources import documents, tables
 from platework.streaming.ingest import ingest_new, landed
+from platework.streaming.upserts import Keyed, append_changes, compact, current_state
 
 STEPS = ["ingest", "bronze", "silver", "gold", "metrics", "check"]
+LOGS = ["metric_history", "run_log"]
 GOLD = ["dim_vehicle", "dim_geography", "fact_registrations", "agg_by_county", "agg_by_year"]
+_VERSIONS = "name string, folder string, written_at timestamp, adds boolean"
+#: Runs after which the latest rows per VIN are written together.
+COMPACT_EVERY = 50
 
 
 @dataclass(frozen=True)
 class Config:
     """Folders of a run. Tables lie under ``root``; without paths the built-in lookups are used.
 
-    ``on_error`` is for files that are no JSON, ``on_missing`` for headers that lack a field;
+    ``on_error`` is for files that are no JSON, ``on_missing`` for headers that lack a field ("reject"
+    leaves such documents out and on record, "abort" fails until they are gone, "null" fills in);
+    With a lag, a layer that was written less than so many minutes ago is left as it is.
     ``bronze_partitions`` spreads the records of a few large files, each of which is read by one task.
     """
 
@@ -32,11 +45,13 @@ class Config:
     zips_csv: str | None = None
     goals_csv: str | None = None
     mode: str = "reference"
-    geography_grain: str = "reference"
+    geography_grain: str = "key"
     on_error: str = "continue"
-    on_missing: str = "abort"
+    on_missing: str = "reject"
     gold_format: str = "parquet"
     bronze_partitions: int | None = None
+    silver_lag_minutes: int | None = None
+    gold_lag_minutes: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -46,6 +61,34 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def versions(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Folders of the tables that runs have written whole, oldest first."""
+    try:
+        return spark.read.schema(_VERSIONS).parquet(cfg.path("versions"))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], _VERSIONS)
+        raise
+
+
+def folders(spark: SparkSession, cfg: Config, name: str) -> list[str]:
+    """Where a table lies: its last full write and what was added since; without one, the folder of its name."""
+    rows = versions(spark, cfg).where(F.col("name") == name).orderBy("written_at").collect()  # a row per run
+    whole = max((k for k, r in enumerate(rows) if not r["adds"]), default=0)
+    return [cfg.path(r["folder"]) for r in rows[whole:]] or [cfg.path(name)]
+
+
+def publish(spark: SparkSession, cfg: Config, written: dict[str, str], now: datetime, adds: bool = False) -> None:
+    """Make folders that were written whole the tables' current ones, all at once: a run that ends before this line
+    leaves every table as it was."""
+    rows = [(name, folder, now, adds) for name, folder in written.items()]
+    spark.createDataFrame(rows, _VERSIONS).coalesce(1).write.mode("append").parquet(cfg.path("versions"))
+
+
+def _new_folder(name: str) -> str:
+    return f"{name}/{uuid.uuid4().hex}"
+
+
 def load(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
     if name == "raw":
         return landed(spark, cfg.path("raw"))
@@ -61,7 +104,10 @@ def load(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
         if cfg.applications:
             return tables.read_table(spark, cfg.applications)
         return spark.createDataFrame([], INCENTIVE_APPLICATIONS)
-    return tables.read_table(spark, cfg.path(name), cfg.gold_format if name in GOLD else "parquet")
+    fmt = cfg.gold_format if name in GOLD else "parquet"
+    if name in LOGS:
+        return tables.read_table(spark, cfg.path(name), fmt)
+    return spark.read.format(fmt).load(folders(spark, cfg, name))
 
 
 def load_all(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
@@ -73,16 +119,41 @@ def _ingest(spark: SparkSession, cfg: Config, now: datetime) -> None:
     ingest_new(spark, cfg.in_dir, cfg.path("raw"), cfg.path("raw_checkpoint"), cfg.on_error)
 
 
+def _latest(cfg: Config) -> Keyed:
+    return Keyed(cfg.path("latest"), ["VIN"], ["LOAD_TS", *LINEAGE])
+
+
 def _bronze(spark: SparkSession, cfg: Config, now: datetime) -> None:
+    """Parse the documents that no earlier run has parsed, and add their rows to bronze and to the latest per VIN."""
+    raw, batch = load(spark, cfg, "raw"), versions(spark, cfg).where("name = 'bronze'").count()
+    if batch:
+        raw = raw.join(load(spark, cfg, "parsed_documents"), "source_file", "left_anti")
+        if raw.isEmpty():
+            return
+    written = {name: _new_folder(name) for name in ("bronze", "parsed_documents", "document_faults", "rejected_records")}
     parsed = documents.parse_documents(
-        load(spark, cfg, "raw"), on_missing=cfg.on_missing, load_ts=F.lit(now), partitions=cfg.bronze_partitions
-    )
-    tables.write_table(parsed, cfg.path("bronze"))
+        raw, on_missing=cfg.on_missing, load_ts=F.lit(now), partitions=cfg.bronze_partitions)
+    tables.write_table(parsed, cfg.path(written["bronze"]))
+    tables.write_table(raw.select("source_file"), cfg.path(written["parsed_documents"]))
+    tables.write_table(documents.document_faults(raw), cfg.path(written["document_faults"]))
+    tables.write_table(documents.rejected_records(raw), cfg.path(written["rejected_records"]))
+    added = spark.read.schema(parsed.schema).parquet(cfg.path(written["bronze"]))
+    append_changes(added, batch, _latest(cfg))  # numbered by run: one that is tried again replaces itself
+    if batch and batch % COMPACT_EVERY == 0:
+        compact(spark, _latest(cfg))
+    lost = quality.landing_metric(documents.landed_records(raw), added, F.lit(now))
+    publish(spark, cfg, written, now, adds=batch > 0)
+    tables.append_table(lost, cfg.path("metric_history"))
 
 
 def _silver(spark: SparkSession, cfg: Config, now: datetime) -> None:
     inputs = [load(spark, cfg, n) for n in ("bronze", "zip_demographics", "state_goals", "incentive_applications")]
-    silver.store_silver(*inputs, cfg.path("silver"), cfg.path("quarantine"), cfg.mode)
+    kept = versions(spark, cfg).where("name = 'bronze'").count() > 0  # else bronze was written by other means
+    written = {name: _new_folder(name) for name in ("silver", "quarantine")}
+    silver.store_silver(
+        *inputs, cfg.path(written["silver"]), cfg.path(written["quarantine"]), cfg.mode,
+        latest=current_state(spark, _latest(cfg)) if kept else None)
+    publish(spark, cfg, written, now)
 
 
 def _gold(spark: SparkSession, cfg: Config, now: datetime) -> None:
@@ -94,8 +165,10 @@ def _gold(spark: SparkSession, cfg: Config, now: datetime) -> None:
         "agg_by_county": gold.agg_by_county(clean),
         "agg_by_year": gold.agg_by_year(clean),
     }
+    written = {name: _new_folder(name) for name in built}
     for name, df in built.items():
-        tables.write_table(df, cfg.path(name), fmt=cfg.gold_format)
+        tables.write_table(df, cfg.path(written[name]), fmt=cfg.gold_format)
+    publish(spark, cfg, written, now)
 
 
 def _metrics(spark: SparkSession, cfg: Config, now: datetime) -> None:
@@ -120,7 +193,8 @@ _WRITES = {"ingest": "raw", "bronze": "bronze", "silver": "silver", "gold": "fac
 def refresh(spark: SparkSession, cfg: Config, only: list[str] | None = None) -> dict[str, str]:
     """Run the steps, or those named in ``only``, in dependency order; returns each step's status.
 
-    A step that fails is logged and raised. The check never stops a run: its finding is its status.
+    A step that fails is logged and raised. The check never stops a run: its finding is its status. A layer within
+    its lag is FRESH and left alone.
     """
     unknown = set(only or []) - set(STEPS)
     if unknown:
@@ -129,6 +203,12 @@ def refresh(spark: SparkSession, cfg: Config, only: list[str] | None = None) ->
     outcome = {}
     for step in [s for s in STEPS if only is None or s in only]:
         now = utc_now()
+        lag = {"silver": cfg.silver_lag_minutes, "gold": cfg.gold_lag_minutes}.get(step)
+        if lag is not None:
+            mine = versions(spark, cfg).where(F.col("name") == _WRITES[step])
+            if not health.is_stale(mine, "written_at", F.lit(now), lag):
+                outcome[step] = "FRESH"
+                continue
         try:
             result = _WORK[step](spark, cfg, now)
         except Exception as error:

@@ -113,10 +113,13 @@ def _partials(measures: list[Measure]) -> dict[str, str]:
 
 
 def _linked_columns(tables: dict[str, DataFrame], base: str, wanted: set[str]) -> dict[str, list[str]]:
-    """Which wanted columns come through which link; those of the base itself and of earlier links first."""
+    """Which wanted columns come through which link to a table at hand; those of the base itself and of earlier links
+    first."""
     missing = wanted - set(tables[base].columns)
     found = {}
     for column, link in MODEL[base].links.items():
+        if link.table not in tables:
+            continue
         found[column] = sorted(missing & set(tables[link.table].columns))
         missing -= set(found[column])
     if missing:
@@ -125,7 +128,13 @@ def _linked_columns(tables: dict[str, DataFrame], base: str, wanted: set[str]) -
 
 
 def _join_link(df: DataFrame, tables: dict[str, DataFrame], column: str, link: Link, extra: list[str]) -> DataFrame:
-    side = tables[link.table].select(F.col(link.key).alias("__link"), *extra)
+    """Many-to-one whatever the linked table's grain: of several rows of a key the smallest is taken, in the order of
+    its columns as text, so that no row of ``df`` is multiplied."""
+    table = tables[link.table]
+    order = F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(table.columns)])
+    side = table.where(F.col(link.key).isNotNull()).groupBy(F.col(link.key).alias("__link")).agg(
+        F.min_by(F.struct(*extra), order).alias("__row")
+    ).select("__link", *[F.col(f"__row.{c}").alias(c) for c in extra])
     return df.join(side, df[column] == side["__link"], "left").drop("__link")
 
 
@@ -138,7 +147,10 @@ def semantic_query(
     """One row per combination of dimensions, with the measures as columns.
 
     ``filters`` maps a column to a condition on it. Measures of the fact and of applications may be
-    asked for together or by the other's dimensions; those of an aggregate table stand alone.
+    asked for together or by the other's dimensions; those of an aggregate table stand alone. By a
+    dimension of applications a registration counts once in each group that it has an application in,
+    and in that of NULL if it has none; a filter on applications leaves the registrations that have one
+    that passes.
     """
     filters = filters or {}
     dims = list(dims)
@@ -158,7 +170,11 @@ def semantic_query(
         raise ValueError(f"no relationship joins {sorted(bases)}")
 
     own = wanted.get(base, {})
-    columns = _linked_columns(tables, base, used | {n for m in own.values() for n in m.needs})
+    of_apps: set[str] = set()
+    if base == FACT and APPLICATIONS in tables:
+        reached = {c for t in [FACT, *[link.table for link in MODEL[FACT].links.values()]] if t in tables for c in tables[t].columns}
+        of_apps = {c for c in used - reached if c in tables[APPLICATIONS].columns}
+    columns = _linked_columns(tables, base, (used - of_apps) | {n for m in own.values() for n in m.needs})
     links = MODEL[base].links
     late = [c for c, extra in columns.items() if extra and links[c].shared]
     late_columns = {e for c in late for e in columns[c]}
@@ -168,16 +184,20 @@ def semantic_query(
         if extra and column not in late:
             df = _join_link(df, tables, column, links[column], extra)
     for name, condition in filters.items():
-        if name not in late_columns:
+        if name not in late_columns | of_apps:
             df = df.where(condition)
 
     aggregates = {f"__{p}": F.expr(c) for p, c in _partials(list(own.values())).items()}
-    if nested:
+    if nested or of_apps:
         partials = _partials(list(nested.values()))
-        per_vin = tables[APPLICATIONS].groupBy(F.col("vin").alias("__app_vin")).agg(
-            *[F.expr(c).alias(f"__app_{p}") for p, c in partials.items()]
+        passing, app_dims = tables[APPLICATIONS], [c for c in dims if c in of_apps]
+        for name in sorted(of_apps & set(filters)):
+            passing = passing.where(filters[name])
+        per_vin = passing.groupBy(F.col("vin").alias("__app_vin"), *app_dims).agg(
+            F.count(F.lit(1)).alias("__apps"), *[F.expr(c).alias(f"__app_{p}") for p, c in partials.items()]
         )
-        df = df.join(per_vin, df["VIN"] == per_vin["__app_vin"], "left").drop("__app_vin")
+        how = "inner" if of_apps & set(filters) else "left"
+        df = df.join(per_vin, df["VIN"] == per_vin["__app_vin"], how).drop("__app_vin", "__apps")
         aggregates |= {f"__{p}": F.sum(f"__app_{p}") for p in partials}
 
     if late:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from platework._columns import latest_first
 from platework.functions.text import bounded, latitude, longitude
 from platework.operators.latest import dedup_latest
-from platework.operators.lookups import left_lookup, sized_lookup
+from platework.operators.lookups import left_lookup, unique_lookup
 from platework.operators.rules import Rule, judge, rejected_rows, valid_rows
 from platework.schemas import LINEAGE, QUARANTINE_COLUMNS, SILVER_COLUMNS, VALID_EV_TYPES
 from platework.sources.tables import write_table
@@ -91,9 +91,9 @@ def enrich(
 ) -> DataFrame:
     """Add demographics by zip code, the goal by state and model year, and the latest application.
 
-    The lookups are counted once: a repeated key raises, and only a small lookup is broadcast (without
-    the check, Spark's estimate decides). The application join comes first and is by VIN, on which the
-    rows already lie after the dedup.
+    The lookups' keys are counted once: a repeated one raises. Spark's estimate of their bytes decides
+    whether they are broadcast. The application join comes first and is by VIN, on which the rows
+    already lie after the dedup.
     """
     zips = zips.select(
         "zip_code",
@@ -108,7 +108,7 @@ def enrich(
         F.col("policy_name").alias("POLICY_NAME"),
     )
     rows = left_lookup(rows, latest_applications(applications), {"VIN": "INC_VIN"})
-    join = sized_lookup if check_lookups else left_lookup
+    join = unique_lookup if check_lookups else left_lookup
     rows = join(rows, zips, {"POSTAL_CODE": "zip_code"})
     return join(rows, goals, {"STATE": "goal_state", "MODEL_YEAR": "goal_year"})
 
@@ -133,13 +133,19 @@ def store_silver(
     quarantine_path: str,
     mode: str = "reference",
     check_lookups: bool = True,
+    latest: DataFrame | None = None,
 ) -> None:
-    """Write silver and quarantine from one dedup.
+    """Write silver and quarantine from one dedup, or from ``latest`` rows per VIN that are kept current.
 
     The judged rows are kept, partitioned by VIN, while both tables are written; should an executor be
     lost, Spark computes its share again.
     """
-    judged = judged_registrations(bronze, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    if latest is None:
+        judged = judged_registrations(bronze, mode)
+    else:
+        keyed = latest.where(F.col("VIN").isNotNull()) if mode == "strict" else latest
+        judged = judge(keyed, registration_rules(), mode == "strict")
+    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_table(silver_from(judged, zips, goals, applications, check_lookups), silver_path)
         rejected = quarantine_from(judged)

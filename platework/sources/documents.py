@@ -14,7 +14,7 @@ LANDED = ["raw_data", "loaded_at", "source_file"]
 
 def is_json(raw: str = "raw_data") -> Column:
     """Whether the text is a whole JSON object or array, of any length (a variant has a size limit)."""
-    return F.json_object_keys(raw).isNotNull() | F.json_array_length(raw).isNotNull()
+    return d.is_whole_json(raw)
 
 
 def with_lineage(files: DataFrame, now: Column | None = None) -> DataFrame:
@@ -32,8 +32,12 @@ def accept_documents(raw: DataFrame, on_error: str = "abort") -> DataFrame:
         return raw.where(is_json())
     if on_error != "abort":
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
-    message = F.concat(F.lit("not a JSON document: "), F.col("source_file"))
-    return raw.withColumn("raw_data", F.when(is_json(), F.col("raw_data")).otherwise(F.raise_error(message)))
+    return _only(raw, is_json(), F.concat(F.lit("not a JSON document: "), F.col("source_file")))
+
+
+def _only(rows: DataFrame, good: Column, message: Column) -> DataFrame:
+    """All rows; one that is not good fails the job, whichever columns are asked for: the test is a filter."""
+    return rows.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def land_documents(
@@ -67,6 +71,49 @@ def contract_violations(raw: DataFrame, contract=CONTRACT) -> DataFrame:
     return raw.select("source_file", missing.alias("missing")).where(F.size("missing") > 0)
 
 
+def document_faults(raw: DataFrame, contract=CONTRACT) -> DataFrame:
+    """Documents that cannot be parsed by the contract, with the reason: no JSON, no array of records, or fields that
+    the header lacks."""
+    return _decoded(raw, "source_file", "loaded_at", good=is_json()).select("source_file", "loaded_at", _fault(contract).alias("reason")).where("reason is not null")
+
+
+def _decoded(raw: DataFrame, *columns: str, good: Column | None = None) -> DataFrame:
+    """``columns`` and the decoded document as ``doc``.
+
+    It comes out of a generator: tests on it then stay above, instead of being pushed down to the text, which would
+    be decoded again for each of them.
+    """
+    doc = d.decode("raw_data") if good is None else F.when(good, d.decode("raw_data"))
+    return raw.select(*columns, F.inline_outer(F.array(F.struct(doc.alias("doc")))))
+
+
+def _fault(contract) -> Column:
+    missing = d.missing_fields(d.field_names(F.col("doc")), [field for field, _, _ in contract])
+    return (
+        F.when(F.col("doc").isNull(), F.lit("not a JSON document"))
+        .when(F.col("doc.data").isNull(), F.lit("has no array of records"))
+        .when(F.size(missing) > 0, F.concat(F.lit("lacks "), F.array_join(missing, ", ")))
+    )
+
+
+def landed_records(raw: DataFrame, contract=CONTRACT) -> DataFrame:
+    """One row: how many records the documents hold, and of them those in documents without a fault."""
+    rows = _decoded(raw).select(
+        F.coalesce(d.array_size(F.col("doc.data")), F.lit(0)).cast("long").alias("n"), _fault(contract).alias("fault"))
+    return rows.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
+        F.coalesce(F.sum(F.when(F.col("fault").isNull(), F.col("n"))), F.lit(0)).alias("parsable"),
+        F.count("fault").alias("rejected_documents"))
+
+
+def rejected_records(raw: DataFrame) -> DataFrame:
+    """Records that are no arrays: their text, document and place. Bronze has a row without values for each."""
+    docs = _decoded(raw, "source_file", "loaded_at")
+    rows = docs.select("source_file", "loaded_at", F.posexplode_outer("doc.data").alias("position", "record"))
+    return rows.where(F.col("position").isNotNull() & d.record_cells("record").isNull()).select(
+        "source_file", "loaded_at", F.col("position").cast("long").alias("RECORD_POSITION"), "record")
+
+
 def typed_cell(cell: Column, kind: str) -> Column:
     if kind == "string":
         return cell
@@ -83,31 +130,33 @@ def parse_documents(
     """Explode landed documents into rows of the contract's columns, load time and lineage.
 
     Every document is read by its own header: extra fields are ignored, reordered ones followed. A
-    header without a required field raises, or with ``on_missing="null"`` gives NULL. A row shorter
-    than its header gives NULL. ``partitions`` spreads the rows when a few large files make few tasks.
+    document whose header lacks a required field, or whose records are no array, raises; with
+    ``on_missing="reject"`` it is left out (``document_faults`` names it), with "null" a missing field
+    is NULL. A record that is no array gives a row of NULLs (``rejected_records`` has its text), one
+    shorter than its header NULLs at the end. ``partitions`` spreads the rows when a few large files
+    make few tasks.
     """
-    if on_missing not in ("abort", "null"):
-        raise ValueError(f"on_missing must be 'abort' or 'null', not {on_missing!r}")
+    if on_missing not in ("abort", "reject", "null"):
+        raise ValueError(f"on_missing must be 'abort', 'reject' or 'null', not {on_missing!r}")
     fields = [field for field, _, _ in contract]
     names = d.field_names(F.col("doc"))
-    if on_missing == "abort":
-        missing = d.missing_fields(names, fields)
-        message = F.concat(
-            F.lit("header of "), F.col("source_file"), F.lit(" lacks "), F.array_join(missing, ", ")
-        )
-        names = F.when(F.size(missing) == 0, names).otherwise(F.raise_error(message))
+    docs = _decoded(raw, "loaded_at", "source_file")
+    if on_missing != "null":
+        docs = docs.withColumn("fault", _fault(contract))
+        message = F.concat(F.col("source_file"), F.lit(" "), F.col("fault"))
+        docs = docs.where("fault is null") if on_missing == "reject" else _only(docs, F.col("fault").isNull(), message)
     positions = F.struct(*[d.field_position(F.col("names"), f).alias(f"p{i}") for i, f in enumerate(fields)])
     rows = (
-        raw.select("loaded_at", "source_file", d.decode("raw_data").alias("doc"))
-        .select("loaded_at", "source_file", names.alias("names"), F.col("doc.data").alias("data"))
+        docs.select("loaded_at", "source_file", names.alias("names"), F.col("doc.data").alias("data"))
         .select("loaded_at", "source_file", positions.alias("at"), "data")
         # The outer form, then a filter: the plain one makes Spark test the array below the decoding,
         # which decodes every document twice.
-        .select("loaded_at", "source_file", "at", F.posexplode_outer("data").alias("position", "row"))
+        .select("loaded_at", "source_file", "at", F.posexplode_outer("data").alias("position", "record"))
         .where(F.col("position").isNotNull())
     )
     if partitions:
         rows = rows.repartition(partitions)
+    rows = rows.select("loaded_at", "source_file", "at", "position", d.record_cells("record").alias("row"))
     cells = [
         typed_cell(F.get(F.col("row"), F.col(f"at.p{i}")), kind).alias(column)
         for i, (_, column, kind) in enumerate(contract)

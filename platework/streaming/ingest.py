@@ -9,6 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from platework.sources.documents import LANDED, accept_documents, is_json, with_lineage
 
 
+#: By default the source passes over files a week older than the newest it has seen; a copy may keep old times.
+NO_AGE_LIMIT = "36500d"
+
+
 def ingest_new(
     spark: SparkSession,
     in_dir: str,
@@ -22,7 +26,7 @@ def ingest_new(
     "abort" fails on a bad file and leaves it to be tried again. "continue" lands it too, marked, so
     that it is on record and not read again; ``landed`` and ``landing_rejects`` tell the two apart.
     """
-    reader = spark.readStream.format("text").option("wholetext", True)
+    reader = spark.readStream.format("text").option("wholetext", True).option("maxFileAge", NO_AGE_LIMIT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     files = with_lineage(reader.load(in_dir))

@@ -3,6 +3,9 @@
 Each micro-batch is cut to the newest change per key and written to a folder named after the batch, so a
 batch that is replayed replaces itself. Readers merge the batches onto the last compacted base; a batch
 thus costs its own size, not the table's. Paths that are being read are never overwritten.
+
+Of changes with the same sequence the one of the later batch wins. The base keeps the newest change of deleted
+keys too, marked, so that an older change that comes in late does not bring a row back.
 """
 
 from __future__ import annotations
@@ -15,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from platework.operators.changes import apply_changes
 from platework.operators.latest import dedup_latest
 from platework.sources.tables import append_table
 
+_GONE = "__gone"
 _VERSIONS = T.StructType([T.StructField("version", T.LongType())])
 
 
@@ -77,26 +80,29 @@ def last_version(spark: SparkSession, table: Keyed) -> int | None:
     return versions.agg(F.max("version").alias("v")).first()["v"]
 
 
-def current_state(spark: SparkSession, table: Keyed) -> DataFrame:
-    """The table as of the last batch written."""
+def _resolved(spark: SparkSession, table: Keyed) -> DataFrame:
+    """The newest change of every key, with its batch and whether it deletes the key."""
     version = last_version(spark, table)
-    batches = spark.read.parquet(table.changes)
-    base = None
+    changes = spark.read.parquet(table.changes)
+    doomed = F.coalesce(table.delete_when, F.lit(False)) if table.delete_when is not None else F.lit(False)
     if version is not None:
-        base = spark.read.parquet(table.base(version))
-        batches = batches.where(F.col("batch") > version)
-    return apply_changes(base, batches.drop("batch"), table.keys, table.sequence_by, table.delete_when)
+        changes = changes.where(F.col("batch") > version)
+    changes = changes.withColumns({"batch": F.col("batch").cast("long"), _GONE: doomed})
+    if version is not None:
+        changes = changes.unionByName(spark.read.parquet(table.base(version)))
+    return dedup_latest(changes, table.keys, [F.col(c).desc_nulls_last() for c in [*table.sequence_by, "batch"]])
 
 
-def compact(spark: SparkSession, table: Keyed) -> int:
-    """Write the current state as a new base and record it once it is whole; returns its version.
+def current_state(spark: SparkSession, table: Keyed) -> DataFrame:
+    """The table as of the last batch written."""
+    return _resolved(spark, table).where(~F.col(_GONE)).drop("batch", _GONE)
 
-    The base no longer knows of deleted keys, so a change older than the delete that comes in after the
-    compaction would bring its row back: compact once the feed has caught up.
-    """
+
+def compact(spark: SparkSession, table: Keyed) -> int:
+    """Write the newest changes as a new base and record it once it is whole; returns its version."""
     last = spark.read.parquet(table.changes).agg(F.max("batch").alias("b")).first()["b"]
     version = last_version(spark, table)
     if version is None or last > version:
-        current_state(spark, table).write.mode("overwrite").parquet(table.base(last))
+        _resolved(spark, table).write.mode("overwrite").parquet(table.base(last))
         append_table(spark.createDataFrame([(last,)], _VERSIONS), table.versions)
     return last

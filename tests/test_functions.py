@@ -71,7 +71,6 @@ def test_minutes_count_boundaries(spark):
 
 def test_header_positions(spark):
     names = F.array(F.lit("a"), F.lit("b"), F.lit(None), F.lit("a"))
-    assert value(spark, d.header_map(names)) == {"a": 3, "b": 1}
     assert value(spark, d.field_position(names, "a")) == 3
     assert value(spark, d.field_position(names, "z")) is None
     assert value(spark, d.missing_fields(names, ["z", "a", "y"])) == ["z", "y"]

@@ -70,7 +70,7 @@ def test_spread_join_equals_plain_join(skewed, spark):
         [("hot", "h1"), ("hot", "h2"), ("k1", "a"), ("k5", "b"), ("zz", "c"), (None, "d")], "name string, label string"
     )
     expected = rows(df.join(dim, df["k"] == dim["name"], "left").drop("name"))
-    found = lookups.spread_left_join(df, dim, {"k": "name"}, parts=16)
+    found = lookups.spread_left_join(df, dim, {"k": "name"}, rows_per_task=90)
     assert found.columns == ["k", "t", "i", "label"]
     assert rows(found) == expected
     assert len(expected) == 3000 + 1000
@@ -80,7 +80,7 @@ def test_spread_join_on_two_keys(spark):
     df = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("a", None, 50), (None, 1, 51), ("b", 2, 52), ("a", 2, 53)],
                                "g string, n int, i int")
     dim = spark.createDataFrame([("a", 1, "hot"), ("b", 2, "cold"), ("a", 3, "none")], "dg string, dn int, label string")
-    found = lookups.spread_left_join(df, dim, {"g": "dg", "n": "dn"}, parts=8, share=10)
+    found = lookups.spread_left_join(df, dim, {"g": "dg", "n": "dn"}, rows_per_task=7)
     expected = [("a", 1, i, "hot") for i in range(50)] + [("a", None, 50, None), (None, 1, 51, None), ("b", 2, 52, "cold"), ("a", 2, 53, None)]
     assert rows(found) == sorted(expected, key=repr)
 
@@ -94,7 +94,7 @@ def test_spread_join_deals_hot_and_missing_keys_over_tasks(skewed, spark):
     for k, v in off.items():
         spark.conf.set(k, v)
     try:
-        found = lookups.spread_left_join(df, dim, {"k": "name"}, parts=64).where("k = 'hot' OR k IS NULL")
+        found = lookups.spread_left_join(df, dim, {"k": "name"}, rows_per_task=20).where("k = 'hot' OR k IS NULL")
         sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for k, v in before.items():
@@ -102,26 +102,13 @@ def test_spread_join_deals_hot_and_missing_keys_over_tasks(skewed, spark):
     assert sum(sizes) == 1500 and max(sizes) < 500
 
 
-def test_sized_lookup(spark):
-    small = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    df = spark.range(4).withColumnRenamed("id", "n")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        near = lookups.sized_lookup(df, small, {"n": "k"})
-        far = lookups.sized_lookup(df, small, {"n": "k"}, max_rows=1)
-        assert "SortMergeJoin" not in plan(near) and "SortMergeJoin" in plan(far)
-        assert rows(near) == rows(far) == [(0, None), (1, "a"), (2, "b"), (3, None)]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_repeated_lookup_key_raises(spark):
     twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     assert lookups.measure_lookup(twice, ["k"]) == lookups.LookupSize(3, 1)
     assert lookups.measure_lookup(twice.limit(0), ["k"]) == lookups.LookupSize(0, 0)
     with pytest.raises(ValueError, match="repeated"):
-        lookups.sized_lookup(spark.range(2), twice, {"id": "k"})
-    assert lookups.sized_lookup(spark.range(2), twice, {"id": "k"}, unique=False).count() == 3
+        lookups.unique_lookup(spark.range(2), twice, {"id": "k"})
+    assert lookups.left_lookup(spark.range(2), twice, {"id": "k"}).count() == 3
 
 
 def test_changes_newest_wins_and_replay_changes_nothing(spark):
@@ -176,13 +163,13 @@ def test_repeated_keys_count_null(spark):
     assert rows(grouped.repeated_keys(df, ["k"])) == [("a", 2), (None, 2)]
 
 
-def test_few_changes_leave_the_target_unshuffled(spark, tmp_path):
+def test_target_is_read_and_shuffled_once(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("s")).write.parquet(path)
     spark.createDataFrame([(5, 2), (2000, 1), (None, 3)], "k long, s int").write.parquet(f"{path}-feed")
     feed = spark.read.parquet(f"{path}-feed")
     merged = changes.apply_changes(spark.read.parquet(path), feed, ["k"], ["s"])
-    assert "BroadcastHashJoin" in plan(merged) and "SortMergeJoin" not in plan(merged)
+    assert plan(merged).count("FileScan") == 2 and plan(merged).count("Exchange") == 1
     found = rows(merged)
     assert len(found) == 1002 and (5, 2) in found and (2000, 1) in found and (None, 3) in found
     once_more = changes.apply_changes(merged, feed, ["k"], ["s"])

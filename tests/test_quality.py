@@ -91,9 +91,9 @@ def test_empty_tables(spark):
     assert found == {q.COMPLETENESS: None, q.DUPLICATES: 0, q.RULES: 0, q.RECONCILIATION: 0, q.FRESHNESS: None}
 
 
-def test_run_log_cuts_long_errors(spark, tmp_path):
+def test_run_log_keeps_long_errors(spark, tmp_path):
     path = str(tmp_path / "log")
     q.log_run(spark, path, "a", "FAILURE", None, "x" * 5000, NOW)
     q.log_run(spark, path, "b", "SUCCESS", 3, None, NOW)
     found = {r["TASK_NAME"]: r for r in spark.read.parquet(path).collect()}
-    assert len(found["a"]["ERROR_MESSAGE"]) == 2000 and found["b"]["ROW_COUNT"] == 3
+    assert len(found["a"]["ERROR_MESSAGE"]) == 5000 and found["b"]["ROW_COUNT"] == 3

@@ -40,12 +40,19 @@ def test_pending_without_stations(spark):
 
 
 def test_projection(spark):
-    years = spark.createDataFrame([(2024, "x", 100), (2025, "x", 200), (2025, "y", 100), (2026, "x", 500), (None, "x", 600)],
-                                  "MODEL_YEAR int, EV_TYPE string, CUMULATIVE_COUNT long")
+    years = spark.createDataFrame([(2024, "x", 100), (2025, "x", 100), (2025, "y", 100), (2026, "x", 200), (None, "x", 600)],
+                                  "MODEL_YEAR int, EV_TYPE string, REGISTRATION_COUNT long")
     found = rows(questions.goal_projection({"agg_by_year": years, "state_goals": state_goals(spark)}, 2030))
     assert found == [(2030, pytest.approx(1300), 1200000, False)]
 
 
+def test_share_counts_types_without_a_row_in_the_year(spark):
+    years = spark.createDataFrame([(2020, "p", 100, 5), (2020, "b", 10, 5), (2022, "b", 20, 400)],
+                                  "MODEL_YEAR int, EV_TYPE string, REGISTRATION_COUNT long, TARGET_EV_COUNT int")
+    assert rows(questions.goal_share_of_year({"agg_by_year": years}, 2022)) == [(2022, 130, 400, 32.5)]
+    assert rows(questions.goal_share_of_year({"agg_by_year": years}, 2021)) == []
+
+
 def test_busy_zips_count_a_vehicle_once_per_zip(spark):
     fact = spark.createDataFrame([("A", "g1"), ("B", "g1"), ("C", "g2")], "VIN string, GEO_KEY string")
     geo = spark.createDataFrame([("g1", "98101", "KING", 5, "43"), ("g1", "98101", "KING", 5, "44"), ("g2", "98101", "KING", 5, "43"),

@@ -1,3 +1,4 @@
+import json
 from datetime import date
 from decimal import Decimal
 
@@ -29,7 +30,7 @@ def test_full_run(spark, tmp_path):
     assert tables["quarantine"].count() == 3
     assert tables["silver"].where("APPLICATION_STATUS = 'APPROVED'").first()["VIN"] == "A1"
     history = run.load(spark, cfg, "metric_history")
-    assert history.count() == 6 and history.columns[-1] == "VALUE"
+    assert history.count() == 7 and history.columns[-1] == "VALUE"
     log = {r["TASK_NAME"]: (r["RUN_STATUS"], r["ROW_COUNT"]) for r in run.load(spark, cfg, "run_log").collect()}
     assert log == {"ingest": ("SUCCESS", 1), "bronze": ("SUCCESS", 8), "silver": ("SUCCESS", 4), "gold": ("SUCCESS", 4),
                    "metrics": ("SUCCESS", None), "check": ("SUCCESS", 0)}
@@ -38,12 +39,45 @@ def test_full_run(spark, tmp_path):
     outcome = run.refresh(spark, cfg)
     assert outcome["check"] == "FAILURE"  # the rows without VIN upset the reconciliation
     assert run.load(spark, cfg, "bronze").count() == 16 and run.load(spark, cfg, "raw").count() == 2
-    assert run.load(spark, cfg, "metric_history").count() == 12
+    assert run.load(spark, cfg, "metric_history").count() == 14
     status = {(r["TABLE_NAME"], r["METRIC_NAME"]): r["STATUS"] for r in quality.current_status(run.load(spark, cfg, "metric_history")).collect()}
     assert status[(quality.SILVER_NAME, quality.RECONCILIATION)] == "FAIL"
     assert status[(quality.QUARANTINE_NAME, quality.COMPLETENESS)] == "WARN"
 
 
+def test_one_bad_record_costs_one_record(spark, tmp_path):
+    body = json.loads(document([registration(f"A{k}") for k in range(1000)]))
+    body["data"][500] = "oops"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(body))
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"))
+    outcome = run.refresh(spark, cfg)
+    assert outcome["check"] == "FAILURE"  # one row without VIN upsets the reconciliation
+    assert run.load(spark, cfg, "silver").count() == 999
+    assert [r["record"] for r in run.load(spark, cfg, "rejected_records").collect()] == ["oops"]
+
+
+def test_broken_step_leaves_the_tables_before(spark, tmp_path, monkeypatch):
+    put(tmp_path / "in", "one.json", [registration("A1")])
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"))
+    run.refresh(spark, cfg)
+    put(tmp_path / "in", "two.json", [registration("A2")])
+    monkeypatch.setattr(run, "publish", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run.refresh(spark, cfg)
+    monkeypatch.undo()
+    assert run.load(spark, cfg, "bronze").count() == run.load(spark, cfg, "silver").count() == 1
+    run.refresh(spark, cfg)
+    assert run.load(spark, cfg, "bronze").count() == run.load(spark, cfg, "fact_registrations").count() == 2
+
+
+def test_fresh_layers_are_left_alone(spark, tmp_path):
+    put(tmp_path / "in", "one.json", [registration("A1")])
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"), silver_lag_minutes=60, gold_lag_minutes=0)
+    assert run.refresh(spark, cfg)["silver"] == "SUCCESS"
+    assert run.refresh(spark, cfg)["silver"] == "FRESH"
+
+
 def test_strict_run_reconciles(spark, tmp_path):
     put(tmp_path / "in", "all.json", mixed_registrations() + faulty_registrations())
     cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"), mode="strict", geography_grain="key")
@@ -82,9 +116,15 @@ def test_missing_field_policy(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     (folder / "short.json").write_text(document([registration("A1")], [f for f in FIELDS if f != "make"]))
-    stop = run.Config(str(folder), str(tmp_path / "a"))
+    stop = run.Config(str(folder), str(tmp_path / "a"), on_missing="abort")
     with pytest.raises(Exception, match="lacks make"):
         run.refresh(spark, stop, only=["ingest", "bronze"])
+    left_out = run.Config(str(folder), str(tmp_path / "c"))
+    (folder / "good.json").write_text(document([registration("A2")]))
+    run.refresh(spark, left_out, only=["ingest", "bronze"])
+    assert [r["VIN"] for r in run.load(spark, left_out, "bronze").collect()] == ["A2"]
+    assert [r["reason"] for r in run.load(spark, left_out, "document_faults").collect()] == ["lacks make"]
+    (folder / "good.json").unlink()
     go_on = run.Config(str(folder), str(tmp_path / "b"), on_missing="null")
     run.refresh(spark, go_on, only=["ingest", "bronze"])
     assert run.load(spark, go_on, "bronze").first()["MAKE"] is None
