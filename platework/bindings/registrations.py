@@ -9,7 +9,7 @@ from platework.bindings.feed import EVENT_CONTRACT, LINE_CONTRACT, Layers, event
 from platework.bindings.feed_sql import over_feed
 from platework.bindings.registry import percent_sql, query
 from platework.plans import gold, health, quality, questions
-from platework.plans.semantic import semantic_query
+from platework.plans.semantic import measures_over_time, semantic_query
 from platework.schemas import SILVER_COLUMNS
 from platework.sources import documents
 from platework.sources.tables import literal_table
@@ -348,6 +348,13 @@ def application_measures_by_date(spark, sf):
     return _amounts(semantic_query(tables, _APP_MEASURES, ["submitted_date"]))
 
 
+@query(over_feed("SELECT MODEL_YEAR, EV_TYPE, count(VIN) AS registration_count FROM silver GROUP BY ALL"))
+def registrations_over_time(spark, sf):
+    """By the fact's time dimension and another one."""
+    tables = Layers(spark, sf, stored=True).tables("fact_registrations", "dim_vehicle")
+    return measures_over_time(tables, ["registration_count"], ["EV_TYPE"])
+
+
 @query(over_feed("SELECT COUNTY, count(VIN) AS registration_count FROM silver GROUP BY COUNTY"))
 def measures_over_reference_grain(spark, sf):
     """A geography with several rows per key counts every registration once all the same."""

@@ -17,8 +17,10 @@ from platework.operators.latest import dedup_latest
 from platework.operators.lookups import left_lookup, spread_left_join
 from platework.operators.rules import Rule, judge, rejected_rows, valid_rows
 from platework.operators.scalars import labelled_counts, one_row
+from platework.plans.health import is_stale
+from platework.schemas import ZIP_DEMOGRAPHICS
 from platework.session import new_folder
-from platework.sources.tables import append_table, literal_table, read_table, register_views, write_table
+from platework.sources.tables import append_table, literal_table, load_reference, read_table, register_views, write_table
 
 MONEY = "decimal(18,2)"
 
@@ -366,6 +368,15 @@ def spread_join(spark, sf):
     return spread_left_join(rows, per_user.unionByName(browse), {"kind": "k"})
 
 
+@query("""SELECT o_orderkey, status, n FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderstatus END AS status FROM orders) o
+  LEFT JOIN (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) s ON o.status = s.o_orderstatus""")
+def spread_join_by_shuffle(spark, sf):
+    """The same without a broadcast: three keys hold all rows, a tenth has none; each key is dealt over many parts."""
+    orders = table(spark, sf, "orders")
+    rows = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderstatus")).alias("status"))
+    return spread_left_join(rows, count_by(orders, ["o_orderstatus"]), {"status": "o_orderstatus"}, rows_per_task=500, hint="merge")
+
+
 @query("SELECT o_orderkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < 0")
 def inner_join(spark, sf):
     debtors = table(spark, sf, "customer").where(F.col("c_acctbal") < 0).select("c_custkey", "c_mktsegment")
@@ -523,10 +534,31 @@ def top_brands(spark, sf):
     return top_k(grouped, 10, F.col("n").desc(), F.col("p_brand").asc())
 
 
-@query()
+@query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def sampled_rows(spark, sf):
-    """Any five rows: which ones is left open."""
-    return table(spark, sf, "orders").limit(5)
+    """Five rows, by their key, so that it is always the same ones."""
+    return top_k(table(spark, sf, "orders"), 5, F.col("o_orderkey").asc())
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS zip_code, n_regionkey AS population, NULLIF(n_nationkey, 7) AS median_income, 1 AS ev_charging_stations FROM nation")
+def csv_load(spark, sf):
+    """A typed load of a CSV with a header, one cell of it empty."""
+    key = F.col("n_nationkey")
+    rows = table(spark, sf, "nation").select(
+        key.cast("string").alias("zip_code"), F.col("n_regionkey").alias("population"),
+        F.when(key != 7, key).alias("median_income"), F.lit(1).alias("ev_charging_stations"))
+    folder = new_folder(spark, "csv")
+    rows.write.option("header", True).csv(folder)
+    return load_reference(spark, folder, ZIP_DEMOGRAPHICS)
+
+
+@query("""SELECT lag, newest IS NULL OR date_diff('minute', newest, TIMESTAMP '2024-02-01') > lag AS stale
+FROM (SELECT max(ts) AS newest FROM events), (VALUES (0), (1000), (100000000)) AS lags(lag)""")
+def stale_events(spark, sf):
+    """Whether the newest event is older than some lags allow."""
+    events, now = table(spark, sf, "events"), _moment("2024-02-01 00:00:00")
+    found = [(lag, is_stale(events, "ts", now, lag)) for lag in (0, 1_000, 100_000_000)]
+    return spark.createDataFrame(found, "lag int, stale boolean")
 
 
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]

@@ -13,6 +13,11 @@ def to_int(token) -> Column:
     return as_col(token).try_cast("int")
 
 
+def to_rounded_int(token) -> Column:
+    """Text to integer, fractions rounded half-up ('12.7' is 13, '-0.6' is -1); NULL when it is no number."""
+    return as_col(token).try_cast("decimal(38,0)").try_cast("int")
+
+
 def to_double(token) -> Column:
     """Text to double; NULL when it does not parse."""
     return as_col(token).try_cast("double")

@@ -44,13 +44,14 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFra
 
 
 def spread_left_join(
-    df: DataFrame, lookup: DataFrame, on: dict[str, str], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, lookup: DataFrame, on: dict[str, str], rows_per_task: int = ROWS_PER_TASK, hint: str | None = None
 ) -> DataFrame:
     """``left_lookup`` by shuffle in which no key sits in one task, however many rows it holds.
 
     Keys are counted once. The rows of a key with more than ``rows_per_task`` are dealt over as many parts as that
     takes, rows without a key over ever so many, and only the lookup rows of dealt keys are copied, to each of their
-    parts. How the counts meet rows and lookup is left to Spark. Nothing is dropped or sampled.
+    parts. How the counts meet rows and lookup is left to Spark, and so is the join unless ``hint`` names a strategy.
+    Nothing is dropped or sampled.
     """
     keyless = _any_of(F.col(left).isNull() for left in on)
     per_key = df.where(~keyless).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
@@ -68,6 +69,8 @@ def spread_left_join(
         .withColumn("__lookup_part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)))
         .drop(*names.values(), "__parts")
     )
+    if hint:
+        dealt = dealt.hint(hint)
     joined = left_lookup(rows.drop(*names.values(), "__parts"), dealt, {**on, "__part": "__lookup_part"})
     return joined.drop("__part")
 

@@ -138,6 +138,17 @@ def _join_link(df: DataFrame, tables: dict[str, DataFrame], column: str, link: L
     return df.join(side, df[column] == side["__link"], "left").drop("__link")
 
 
+def measures_over_time(
+    tables: dict[str, DataFrame], measures: list[str], dims: list[str] = (), filters: dict[str, Column] | None = None
+) -> DataFrame:
+    """``semantic_query`` by the time dimension of the first measure's table, and by ``dims``, in time order."""
+    table, _ = resolve_measure(measures[0])
+    times = list(MODEL[table].time_dimensions)
+    if not times:
+        raise ValueError(f"{table} has no time dimension")
+    return semantic_query(tables, measures, [*times, *dims], filters).orderBy(*times, *dims)
+
+
 def semantic_query(
     tables: dict[str, DataFrame],
     measures: list[str],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,10 +116,10 @@ def rejected_records(raw: DataFrame) -> DataFrame:
         "source_file", "loaded_at", F.col("position").cast("long").alias("RECORD_POSITION"), "record")
 
 
-def typed_cell(cell: Column, kind: str) -> Column:
+def typed_cell(cell: Column, kind: str, int_cast: Callable[[Column], Column] = to_int) -> Column:
     if kind == "string":
         return cell
-    return to_int(cell) if kind == "int" else cell.try_cast(kind)
+    return int_cast(cell) if kind == "int" else cell.try_cast(kind)
 
 
 def parse_documents(
@@ -126,6 +128,7 @@ def parse_documents(
     on_missing: str = "abort",
     load_ts: Column | None = None,
     partitions: int | None = None,
+    int_cast: Callable[[Column], Column] = to_int,
 ) -> DataFrame:
     """Explode landed documents into rows of the contract's columns, load time and lineage.
 
@@ -133,7 +136,8 @@ def parse_documents(
     document whose header lacks a required field, or whose records are no array, raises; with
     ``on_missing="reject"`` it is left out (``document_faults`` names it), with "null" a missing field
     is NULL. A record that is no array gives a row of NULLs (``rejected_records`` has its text), one
-    shorter than its header NULLs at the end. ``partitions`` spreads the rows when a few large files
+    shorter than its header NULLs at the end. ``int_cast`` reads integers: by default a fraction is none,
+    ``to_rounded_int`` rounds it. ``partitions`` spreads the rows when a few large files
     make few tasks.
     """
     if on_missing not in ("abort", "reject", "null"):
@@ -158,7 +162,7 @@ def parse_documents(
         rows = rows.repartition(partitions)
     rows = rows.select("loaded_at", "source_file", "at", "position", d.record_cells("record").alias("row"))
     cells = [
-        typed_cell(F.get(F.col("row"), F.col(f"at.p{i}")), kind).alias(column)
+        typed_cell(F.get(F.col("row"), F.col(f"at.p{i}")), kind, int_cast).alias(column)
         for i, (_, column, kind) in enumerate(contract)
     ]
     return rows.select(

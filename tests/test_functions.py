@@ -69,6 +69,11 @@ def test_minutes_count_boundaries(spark):
     assert value(spark, times.seconds_between("a", "b"), a=start, b=end) == 2
 
 
+def test_rounded_integers(spark):
+    for token, whole in (("12.7", 13), ("-0.6", -1), ("0.4", 0), ("7", 7), ("x", None), ("", None), ("99999999999", None)):
+        assert value(spark, text.to_rounded_int("t"), t=token) == whole
+
+
 def test_header_positions(spark):
     names = F.array(F.lit("a"), F.lit("b"), F.lit(None), F.lit("a"))
     assert value(spark, d.field_position(names, "a")) == 3

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from platework._columns import latest_first
 from platework.operators.grouped import count_by, top_k, with_share
 from platework.operators.latest import dedup_latest
-from platework.plans import gold, questions
+from platework.plans import gold, health, quality, questions
 from platework.plans.semantic import semantic_query
-from platework.plans.silver import build_silver
+from platework.plans.silver import build_quarantine, build_silver
 from platework.sources.tables import state_goals, zip_demographics
 from samples import bronze, registration
 
@@ -72,6 +72,28 @@ def test_places_are_grouped_before_the_geography_join(spark, stored):
     assert [tuple(r) for r in df.collect()] == [("KING", 200)]
 
 
+def test_health_and_metrics_read_bronze_once(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    bronze(spark, [registration(f"V{i % 50}") for i in range(200)]).repartition(12).write.parquet(path)
+    rows = spark.read.parquet(path)
+    for mode in ("reference", "strict"):
+        text = plan(quality.evaluate_bronze(rows, F.current_timestamp(), mode), run=True)
+        assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+    text = plan(health.bronze_health(rows.select("VIN"), rows), run=True)
+    assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_metrics_of_bronze_equal_those_of_its_layers(spark):
+    from samples import faulty_registrations, mixed_registrations
+
+    rows, now = bronze(spark, mixed_registrations() + faulty_registrations()), F.lit("2026-06-01").cast("timestamp")
+    apps = spark.createDataFrame([], "vin string, incentive_amount decimal(10,2), status string, updated_at timestamp, application_id long")
+    for mode in ("reference", "strict"):
+        clean = build_silver(rows, zip_demographics(spark), state_goals(spark), apps, mode)
+        built = quality.evaluate_metrics(rows, clean, build_quarantine(rows, mode), now, strict=mode == "strict")
+        assert sorted(map(tuple, built.collect()), key=repr) == sorted(map(tuple, quality.evaluate_bronze(rows, now, mode).collect()), key=repr)
+
+
 def test_dedup_shuffles_once(stored):
     text = plan(dedup_latest(stored, ["VIN"], latest_first("LOAD_TS")))
     assert text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 2
