@@ -68,10 +68,10 @@ def dropped_lines(
     keys = stored(lines.drop("tokens"), "line-keys")
     of = templates(lines, keys, min_docs, min_constant)
     named = stored(keys.join(of, ["leaf", "line"]).select("id", "text_hash", "pos", "leaf", "template"), "templates")
-    recurring = named.groupBy("leaf", "template", "id", "text_hash").agg(F.min("pos").alias("pos")).groupBy(
+    recurring = stored(named.groupBy("leaf", "template", "id", "text_hash").agg(F.min("pos").alias("pos")).groupBy(
         "leaf", "template").agg(
         F.count("*").alias("n_docs"), F.min(F.struct("id", "text_hash", "pos")).alias("first"),
-    ).where(F.col("n_docs") >= min_docs)
+    ).where(F.col("n_docs") >= min_docs), "recurring")
     found = named.join(recurring, ["leaf", "template"]).where(~F.struct("id", "text_hash", "pos").eqNullSafe(F.col("first")))
     return found.groupBy("id", "text_hash").agg(
         F.array_sort(F.array_distinct(F.collect_list("pos"))).alias("dropped"))
