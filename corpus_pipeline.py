@@ -43,9 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document its token ids, and whether they decode to its text."""
-    encoded = sentencepiece.encode(docs, tokenizer_path())
-    kept = ("doc_id", "text_hash", "n_chunks", "ids")
-    found = sentencepiece.decode(encoded, tokenizer_path(), keep=kept)
+    found = sentencepiece.encode(docs, tokenizer_path(), decoded=True)
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.xxhash64("decoded").eqNullSafe(F.col("text_hash")).alias("round_trip"))

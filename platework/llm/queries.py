@@ -23,13 +23,10 @@ def tokenizer_path(name: str = "piece_bpe_32k.model", folder: str = "/opt/tokeni
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number of tokens and chunks, a hash of the ids, and whether decoding gives the text back."""
     docs = read(spark, sf_dir, "documents")
-    encoded = sentencepiece.encode(docs, tokenizer_path())
-    kept = ("doc_id", "text_hash", "n_tokens", "ids_hash", "n_chunks")
-    decoded = sentencepiece.decode(
-        encoded.withColumns({"n_tokens": F.size("ids").cast("long"), "ids_hash": F.xxhash64("ids")}),
-        tokenizer_path(), keep=kept)
-    return decoded.select(
-        "doc_id", "n_tokens", "n_chunks", "ids_hash", F.xxhash64("decoded").alias("decoded_hash"),
+    encoded = sentencepiece.encode(docs, tokenizer_path(), decoded=True)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_chunks", F.xxhash64("ids").alias("ids_hash"),
+        F.xxhash64("decoded").alias("decoded_hash"),
         (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"))
 
 

@@ -12,8 +12,6 @@ numbers, so that of the largest text that Spark can hold (2 GiB) a few dozen MB
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +21,8 @@ from platework.llm.common import in_batches, row_hash, same, stored
 from platework.llm.unigram import SPACE, Remembered, Vocabulary, backward, forward, gathered, remembered
 
 CHUNK = 32_768
+#: Ids that are turned to bytes at once.
+STEP_IDS = 1 << 16
 
 
 class Encoder:
@@ -31,28 +31,36 @@ class Encoder:
     def __init__(self, known: Remembered):
         self.known, self.vocabulary, self.finder = known, known.vocabulary, known.vocabulary.finder()
 
-    def unit(self, text: str) -> tuple[list[int], float]:
-        """Ids and score of a stretch between which and its neighbours no piece reaches."""
-        known = self.known
-        row = known[known.key(text)]
-        return known.flat[known.starts[row] : known.starts[row] + known.sizes[row]].tolist(), known.scores[row]
-
     def ends(self, text: str) -> list:
         return self.vocabulary.matches(self.known.automaton, text)
 
-    def parts(self, text: str, size: int) -> tuple[str, list[str], int]:
+    def parts(self, text: str, size: int) -> tuple[str, str, int]:
         """A chunk of ``size`` characters with the characters after it: the stretch it begins in, the whole stretches
-        inside, and where the stretch that holds its end begins."""
-        spans = [m.span() for m in self.finder.finditer(text)]
-        last = max((k for k, (a, _) in enumerate(spans) if a <= size), default=0)
-        inside = [text[a:b] for a, b in spans[1:last]]
-        return text[: spans[0][1]], inside, spans[last][0] if last else 0
+        inside, and where the stretch that holds its end begins (0: the first one does)."""
+        first = self.finder.match(text).end()
+        if first > size:
+            return text, "", 0
+        at = text.rfind(" ", first, size + 1)
+        while at > first and text[at - 1] == " ":
+            at -= 1
+        last = max(at, first)  # a stretch begins here, and so do those found from here on
+        for m in self.finder.finditer(text, last):
+            if m.start() > size:
+                break
+            last = m.start()
+        return text[:first], text[first:last], last
+
+    def inside(self, text: str) -> tuple[np.ndarray, float]:
+        """Ids and score of whole stretches."""
+        rows = self.known.rows_inside(text) if text else np.zeros(0, np.int64)
+        flat, starts, sizes, scores = self.known.arrays()
+        return gathered(flat, starts[rows], sizes[rows]), float(scores[rows].sum())
 
     def matrix(self, text: str, size: int, first: bool) -> np.ndarray:
         """Best scores from each entry state (row) to each exit state (column); -inf where there is no path."""
         states = self.vocabulary.longest
         out = np.full((states, states), -np.inf)
-        head, inside, tail_at = self.parts(text, size)
+        head, middle, tail_at = self.parts(text, size)
         exits = range(min(states, len(text) - size + 1))
         entries = range(1 if first else min(states, size, len(head) + (tail_at > 0)))
         if tail_at == 0:  # one stretch reaches over the whole chunk
@@ -61,7 +69,7 @@ class Encoder:
                 best, _ = forward(self.vocabulary, ends, text, {i: 0.0}, size)
                 out[i, : len(exits)] = [-np.inf if best[size + j] is None else best[size + j] for j in exits]
             return out
-        through, tail = sum(self.unit(u)[1] for u in inside), text[tail_at:]
+        through, tail = self.inside(middle)[1], text[tail_at:]
         best, _ = forward(self.vocabulary, self.ends(tail), tail, {0: 0.0}, size - tail_at)
         right = np.array([-np.inf if best[size - tail_at + j] is None else best[size - tail_at + j] for j in exits])
         ends = self.ends(head)
@@ -76,7 +84,7 @@ class Encoder:
         of the best path to each exit state (-1: none)."""
         states = self.vocabulary.longest
         start = {i: float(s) for i, s in enumerate(entered) if s > -np.inf}
-        head, inside, tail_at = self.parts(text, size)
+        head, middle, tail_at = self.parts(text, size)
         exits = range(min(states, len(text) - size + 1))
         rest, entry, ids = [[] for _ in range(states)], [-1] * states, []
         if tail_at == 0:
@@ -87,7 +95,7 @@ class Encoder:
             return ids, rest, entry
         best, by = forward(self.vocabulary, self.ends(head), head, {k: v for k, v in start.items() if k <= len(head)}, len(head))
         ids, came = backward(self.vocabulary, head, by, len(head))
-        ids += chain.from_iterable(self.unit(u)[0] for u in inside)
+        ids += self.inside(middle)[0].tolist()
         tail = text[tail_at:]
         best, by = forward(self.vocabulary, self.ends(tail), tail, {0: 0.0}, size - tail_at)
         for j in exits:
@@ -114,8 +122,10 @@ def exit_states(entries: list[list[int]]) -> list[int]:
 
 def encode(
     df: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK,
+    decoded: bool = False,
 ) -> DataFrame:
-    """Per row: the id, ``text_hash``, ``ids`` (the pieces' ids, without begin and end marks) and ``n_chunks``.
+    """Per row: the id, ``text_hash``, ``ids`` (the pieces' ids, without begin and end marks), ``n_chunks`` and, with
+    ``decoded``, the text that decoding the ids gives.
 
     Null texts have null ids, empty texts none. Rows equal in id and text are encoded alike, each in a row of its own;
     rows that only share an id are told apart by ``text_hash``. Ties between segmentations go as in the C++ library
@@ -140,8 +150,9 @@ def encode(
         offsets = np.concatenate([[0], np.cumsum(sizes)])[bounds].astype(np.int32)
         lists = pa.ListArray.from_arrays(
             pa.array(offsets), pa.array(gathered(flat, starts[rows], sizes)), mask=pa.array([t is None for t in texts]))
-        return {
+        found = {
             "id": batch["id"], "text_hash": batch["text_hash"], "ids": lists, "n_chunks": np.ones(len(texts), np.int32)}
+        return found | ({"decoded": texts_of(lists, shared)} if decoded else {})
 
     def cut(batch):
         out = {"id": [], "text_hash": [], "k": [], "size": [], "last": [], "part": []}
@@ -175,7 +186,7 @@ def encode(
         group = group.sort_values("k")
         return group[["id", "text_hash", "k"]].assign(left=exit_states([list(x) for x in group["entry"]]))
 
-    out = f"id {kind}, text_hash long, ids array<int>, n_chunks int"
+    out = f"id {kind}, text_hash long, ids array<int>, n_chunks int" + ", decoded string" * decoded
     short = F.col("text").isNull() | (F.length("text") < chunk)
     one = in_batches(rows.where(short), whole, out)
 
@@ -199,6 +210,8 @@ def encode(
     many = many.join(copies, same(many, copies, "id", "text_hash")).select(
         many["id"], many["text_hash"], many["ids"], many["n_chunks"],
         F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    if decoded:
+        many = decode(many, model, keep=("id", "text_hash", "ids", "n_chunks"))
     return one.unionByName(many).withColumnRenamed("id", id_column)
 
 
@@ -211,10 +224,28 @@ def piece_bytes(shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if vocabulary.fingerprint not in _BYTES:
         sizes = np.array([len(t) for t in vocabulary.texts])
         _BYTES[vocabulary.fingerprint] = (
-            np.frombuffer(b"".join(vocabulary.texts), np.uint8), np.cumsum(sizes) - sizes, sizes)
+            np.frombuffer(b"".join(vocabulary.texts), np.uint8), (np.cumsum(sizes) - sizes).astype(np.int32), sizes.astype(np.int32))
     return _BYTES[vocabulary.fingerprint]
 
 
+def texts_of(lists: pa.ListArray, shared) -> list[str | None]:
+    """The texts of lists of ids, some ten thousand ids at a time."""
+    flat, starts, sizes = piece_bytes(shared)
+    ids, offsets, known = lists.values.to_numpy(), lists.offsets.to_numpy(), lists.is_valid().to_pylist()
+    out: list[str | None] = []
+    at = 0
+    while at < len(known):
+        to = max(int(np.searchsorted(offsets, offsets[at] + STEP_IDS, side="right")) - 1, at + 1)
+        part = ids[offsets[at] : offsets[to]]
+        joined = gathered(flat, starts[part], sizes[part]).tobytes()
+        bounds = np.concatenate([[0], np.cumsum(sizes[part], dtype=np.int64)])[offsets[at : to + 1] - offsets[at]].tolist()
+        out += [
+            joined[a:b].removeprefix(b" ").decode(errors="replace") if k else None
+            for a, b, k in zip(bounds[:-1], bounds[1:], known[at:to], strict=True)]
+        at = to
+    return out
+
+
 def decode(df: DataFrame, model: str, ids_column: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``decoded``: the text of the ids, without the blank that encoding puts first.
 
@@ -224,16 +255,7 @@ def decode(df: DataFrame, model: str, ids_column: str = "ids", keep: tuple[str,
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
 
     def run(batch):
-        flat, starts, sizes = piece_bytes(shared)
-        lists = batch[ids_column]
-        ids, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-        ids = ids[offsets[0] : offsets[-1]]
-        joined = gathered(flat, starts[ids], sizes[ids]).tobytes()
-        bounds = np.concatenate([[0], np.cumsum(sizes[ids], dtype=np.int64)])[offsets - offsets[0]].tolist()
-        found = [
-            joined[a:b].removeprefix(b" ").decode(errors="replace") if known else None
-            for a, b, known in zip(bounds[:-1], bounds[1:], lists.is_valid().to_pylist(), strict=True)]
-        return {c: batch[c] for c in keep} | {"decoded": found}
+        return {c: batch[c] for c in keep} | {"decoded": texts_of(batch[ids_column], shared)}
 
     kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     return in_batches(df.select(ids_column, *[c for c in keep if c != ids_column]), run, f"{kept}, decoded string")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -19,7 +20,9 @@ import numpy as np
 #: Fixed values of the format.
 SPACE, UNKNOWN_PENALTY = "▁", 10.0
 #: So many stretches, and ids of them, are remembered by a worker at most.
-REMEMBERED, REMEMBERED_IDS = 600_000, 1 << 23
+REMEMBERED, REMEMBERED_IDS = 400_000, 1 << 22
+#: Characters whose stretches are held as strings at once.
+SLICE = 1 << 18
 
 
 @dataclass
@@ -89,29 +92,21 @@ class Vocabulary:
         """The pieces by which each place of the best path is reached, and its score.
 
         The automaton gives matches by ascending end and, of one end, the longest first: a later one must be strictly
-        better. Only where no one-character piece ends can an unknown character do so.
+        better. That is all where every character is a piece; else unknown ones are looked at too.
         """
-        size, lost = len(text), -float("inf")
-        best, by, single = [lost] * (size + 1), [None] * (size + 1), bytearray(size + 1)
-        best[0], unknown, done = 0.0, (1, self.unknown_score, -1), 0
-
-        def finish(stop: int) -> None:
-            for end in range(done + 1, stop):
-                if not single[end] and best[end - 1] + self.unknown_score > best[end]:
-                    best[end], by[end] = best[end - 1] + self.unknown_score, unknown
-
+        size, lost, single = len(text), -float("inf"), 0
+        best, by = [lost] * (size + 1), [None] * (size + 1)
+        best[0] = 0.0
         for last, match in automaton.iter(text) if self.pieces else ():
-            end = last + 1
-            if end > done + 1:
-                finish(end)
-                done = last
             length, score, _ = match
+            last += 1
+            score += best[last - length]
             if length == 1:
-                single[end] = 1
-            score += best[end - length]
-            if score > best[end]:
-                best[end], by[end] = score, match
-        finish(size + 1)
+                single += 1
+            if score > best[last]:
+                best[last], by[last] = score, match
+        if single < size:
+            best, by = forward(self, self.matches(automaton, text), text, {0: 0.0}, size)
         return by, best[size]
 
     def unknown_count(self, character: str) -> int:
@@ -152,11 +147,17 @@ def forward(vocabulary: Vocabulary, ends: list, text: str, start: dict[int, floa
 def backward(vocabulary: Vocabulary, text: str, by: list, end: int) -> tuple[list[int], int]:
     """Ids of the best path to ``end`` and the place it starts from."""
     ids: list[int] = []
-    while by[end] is not None:
-        length, _, i = by[end]
-        ids += reversed(vocabulary.unknown_ids(text[end - length : end])) if i < 0 else [i]
+    match = by[end]
+    while match is not None:
+        length, _, i = match
+        if i < 0:
+            ids.extend(reversed(vocabulary.unknown_ids(text[end - 1])))
+        else:
+            ids.append(i)
         end -= length
-    return ids[::-1], end
+        match = by[end]
+    ids.reverse()
+    return ids, end
 
 
 class Remembered(dict):
@@ -204,18 +205,53 @@ class Remembered(dict):
     def key(unit: str) -> str:
         return unit[1:] if unit[0] == " " and " " not in unit[1:] else " " + unit
 
+    def slices(self, text: str) -> Iterator[str]:
+        """Parts of a text, each without the blank before it; a part ends where a stretch does."""
+        at = 0
+        while len(text) - at > SLICE and not self.whole:
+            end = text.find(" ", at + SLICE)
+            while end > 0 and text[end - 1] == " ":
+                end = text.find(" ", end + 1)
+            if end < 0:
+                break
+            yield text[at:end]
+            at = end + 1
+        yield text[at:]
+
     def rows_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Rows of all stretches of the texts, and where each text's begin and end."""
         if len(self) > REMEMBERED or len(self.flat) > REMEMBERED_IDS:
             self.forget()
-        keys = [self.keys_of(t) if t else [] for t in texts]
-        bounds = np.cumsum([0, *map(len, keys)])
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(keys)), np.int64, int(bounds[-1])), bounds
+        rows, counts, held, size = [], [], [], 0
+
+        def settle() -> None:
+            nonlocal held, size
+            rows.append(np.fromiter(map(self.__getitem__, chain.from_iterable(held)), np.int64, sum(map(len, held))))
+            held, size = [], 0
+
+        for text in texts:
+            n = 0
+            for part in self.slices(text) if text else ():
+                held.append(self.keys_of(part) if part else [""])
+                n += len(held[-1])
+                size += len(part)
+                if size > SLICE:
+                    settle()
+            counts.append(n)
+        settle()
+        return np.concatenate(rows), np.cumsum([0, *counts])
+
+    def rows_inside(self, text: str) -> np.ndarray:
+        """Rows of the stretches of a part of a text that begins and ends where a stretch does."""
+        if text.startswith(" ") and len(text) > 1 and text[1] != " ":
+            return self.rows_of([text[1:]])[0]
+        keys = [self.key(u) for u in self.find(text)]
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, starts, sizes and scores by row (copies, as the originals grow)."""
+        """Ids, starts, sizes and scores by row: views, to be let go before further stretches are looked up."""
         kinds = ((self.flat, np.int32), (self.starts, np.int64), (self.sizes, np.int32), (self.scores, np.float64))
-        return tuple(np.frombuffer(x, kind).copy() if len(x) else np.zeros(0, kind) for x, kind in kinds)
+        return tuple(np.frombuffer(x, kind) if len(x) else np.zeros(0, kind) for x, kind in kinds)
 
 
 _KNOWN: dict[tuple[int, bool], Remembered] = {}

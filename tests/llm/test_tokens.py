@@ -39,7 +39,7 @@ def texts() -> list[str | None]:
 
 
 def rows(spark, values):
-    data = [(None if k == 7 else k % 45, t, "x", "y") for k, t in enumerate(values)]
+    data = [(None if k in (7, 20) else k % 45, t, "x", "y") for k, t in enumerate(values)]
     return spark.createDataFrame(data, "doc_id long, text string, ids string, n_tokens string")
 
 
@@ -67,6 +67,9 @@ def test_round_trip(spark):
     encoded = sentencepiece.encode(rows(spark, values), tokenizer_path(), chunk=50)
     found = sentencepiece.decode(encoded, tokenizer_path(), keep=("text_hash",))
     assert found.where(~F.xxhash64("decoded").eqNullSafe(F.col("text_hash"))).count() == 0
+    both = sentencepiece.encode(rows(spark, values), tokenizer_path(), chunk=50, decoded=True)
+    assert both.count() == len(values)
+    assert both.where(~F.xxhash64("decoded").eqNullSafe(F.col("text_hash"))).count() == 0
 
 
 def test_counts_equal_library(spark, model, library):
