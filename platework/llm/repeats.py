@@ -16,7 +16,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platework.llm.common import as_bytes, in_batches, mixed, row_hash, same, sent_if_small, stored
@@ -90,15 +90,18 @@ def repeated_runs(
         return {k: pa.array(v) for k, v in names.items()} | {c: batch[c].take(which) for c in ("id", "text_hash")}
 
     found = in_batches(rows, run, f"anchor long, run long, id {kind}, text_hash long, place long")
-    return stored(
-        found.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1").drop("n"), "runs")
+    # Counted before the shuffle, then joined: unlike a window, Spark can split a join at a gram that many texts hold.
+    often = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+    return stored(found.join(often, "anchor"), "runs")
 
 
 def first_places(repeated: DataFrame) -> DataFrame:
     """Per anchor and run its first place, how often it occurs, and how many contents its anchor has."""
-    found = repeated.groupBy("anchor", "run").agg(
-        F.min(F.struct("id", "text_hash", "place")).alias("first"), F.count("*").alias("times"))
-    return stored(found.withColumn("contents", F.count("*").over(Window.partitionBy("anchor"))), "contents")
+    found = stored(repeated.groupBy("anchor", "run").agg(
+        F.min(F.struct("id", "text_hash", "place")).alias("first"), F.count("*").alias("times")), "firsts")
+    several = stored(found.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1"), "several")
+    return stored(
+        found.join(several, "anchor", "left").withColumn("contents", F.coalesce("contents", F.lit(1))), "contents")
 
 
 def with_content(
@@ -218,6 +221,7 @@ def covered(repeated: DataFrame, firsts: DataFrame, answers: DataFrame, by_docum
     last, ...), of the windows that also start earlier."""
     told = firsts.join(answers, ["anchor", "run"], "left").where("times > 1 or mask is not null")
     told = told.select("anchor", "run", "first", F.coalesce("mask", F.lit(0)).cast("long").alias("mask"))
+    told = stored(told, "told")  # so that both sides of the next join are shuffled for it, and hot keys can be split
     kind = repeated.schema["id"].dataType.simpleString()
     here = F.col("id").eqNullSafe(F.col("first.id"))
     if not by_document:
