@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platework.llm.common import (
@@ -187,9 +187,11 @@ def components(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.select(F.col("high").alias("u"), F.col("low").alias("v")).unionByName(
             edges.select(F.col("low").alias("u"), F.col("high").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Stored, so that both sides of the join are shuffled for it, and a node with very many links can be split.
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("high"), F.col("m").alias("low")).distinct()
-        lowest = large.groupBy("high").agg(F.min("low").alias("m"))
+        large = stored(large, "large")
+        lowest = stored(large.groupBy("high").agg(F.min("low").alias("m")), "lowest")
         small = large.join(lowest, "high").where("low != m").select(F.col("low").alias("high"), F.col("m").alias("low"))
         edges = stored(small.unionByName(lowest.withColumnRenamed("m", "low")).distinct(), "links")
         before, state = state, fingerprint(edges)
@@ -217,15 +219,16 @@ def near_duplicates(
             F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
             F.first("signature").alias("signature")), "classes")
 
-    bucket = Window.partitionBy("band", "key")
-    in_bands = classes.select("node", F.posexplode("bands").alias("band", "key")).withColumn(
-        "n", F.count("*").over(bucket)).where("n > 1")
-    members = stored(in_bands, "buckets")
+    # Counted before the shuffle, then joined: a bucket that a third of the classes share can be split.
+    in_bands = classes.select("node", F.posexplode("bands").alias("band", "key"))
+    busy = stored(in_bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "busy")
+    members = stored(in_bands.join(busy, ["band", "key"]).select("node", "band", "key", "n"), "buckets")
     groups = members.count() // GROUP_ROWS + 1
     signed = dealt(members, ["band", "key"], groups).join(classes.select("node", "signature"), "node")
     clusters = components(_linked(signed, ["band", "key"], False, percent))
 
-    counted = clusters.withColumn("n", F.count("*").over(Window.partitionBy("component")))
+    clusters = stored(clusters, "components")
+    counted = clusters.join(stored(clusters.groupBy("component").agg(F.count("*").alias("n")), "sizes"), "component")
     known = stored(counted.join(classes.drop("bands", "low"), "node"), "clusters")
     held = WordHashes()
     wanted = known.select("node", F.col("example.id").alias("id"), F.col("example.text_hash").alias("text_hash"))
