@@ -9,11 +9,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from platework.session import new_folder
 
 #: Rows and bytes that a Python worker gets at once, so that its memory does not grow with long texts.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 #: Added to the words of a window by their place (odd multiples of one number, modulo 2**64).
 _PLACES = [np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in range(1, 65)]
@@ -28,11 +30,8 @@ def in_batches(df: DataFrame, function: Callable[[dict[str, pa.Array]], dict], s
 
     Batches are bounded in rows and bytes; a result may have more or fewer rows than its batch.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    empty = spark.createDataFrame([], schema)
-    arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in empty.schema])
+    bound_batches(df.sparkSession)
+    kinds, arrow = schemas(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -43,13 +42,18 @@ def in_batches(df: DataFrame, function: Callable[[dict[str, pa.Array]], dict], s
                     schema=arrow,
                 )
 
-    return df.mapInArrow(run, empty.schema)
+    return df.mapInArrow(run, kinds)
+
 
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
-def _arrow_type(kind) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    return to_arrow_type(kind)
+def schemas(ddl: str) -> tuple[T.StructType, pa.Schema]:
+    """Spark's and Arrow's schema of a DDL text."""
+    kinds = T.StructType.fromDDL(ddl)
+    return kinds, pa.schema([(f.name, to_arrow_type(f.dataType)) for f in kinds])
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:
@@ -114,10 +118,12 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
 BROADCAST_BYTES = 16 << 20
 
 
-def sent_if_small(df: DataFrame, *sized: str) -> DataFrame:
-    """A stored table, marked for broadcast if its rows (64 bytes each, and 16 for each element of the columns
-    ``sized``) are proven to be few bytes; else as it is, for a shuffled join."""
+def sent_if_small(df: DataFrame, *sized: str, text: str | None = None) -> DataFrame:
+    """A stored table, marked for broadcast if its rows (64 bytes each, 16 for each element of the columns ``sized``,
+    and the bytes of the column ``text``) are proven to be few bytes; else as it is, for a shuffled join."""
     size = F.lit(64)
+    if text is not None:
+        size = size + F.lit(128) + F.coalesce(F.octet_length(text), F.lit(0))
     for c in sized:
         size = size + 16 * F.coalesce(F.size(c), F.lit(0))
     total = df.agg(F.sum(size.cast("long"))).first()[0] or 0

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platework.llm.common import BATCH_BYTES, _arrow_type, in_batches
+from platework.llm.common import BATCH_BYTES, bound_batches, schemas, sent_if_small, stored
 
 #: Payloads of at least so many bytes are written once; equal ones are revisits.
 MIN_REVISIT_BYTES = 100
@@ -62,14 +62,14 @@ def _written(df: DataFrame, begin: Callable[[], bytes], record: Callable[[dict],
 
         yield from _batches(records(), schema)
 
-    in_batches(df.limit(0), lambda b: b, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema))  # sets the batch bounds
+    bound_batches(df.sparkSession)
     out = df.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
     out.write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def _read(spark: SparkSession, path: str, parse: Callable[[io.BufferedIOBase, str], Iterator[tuple]], schema: str) -> DataFrame:
-    empty = spark.createDataFrame([], schema)
-    arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in empty.schema])
+    bound_batches(spark)
+    kinds, arrow = schemas(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,7 +79,7 @@ def _read(spark: SparkSession, path: str, parse: Callable[[io.BufferedIOBase, st
                     yield from _batches(parse(io.BufferedReader(stream, 1 << 20), name.rsplit("/", 1)[-1]), arrow)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    return files.mapInArrow(run, empty.schema)
+    return files.mapInArrow(run, kinds)
 
 
 # --- ARC
@@ -176,6 +176,8 @@ def with_types(records: DataFrame, order) -> DataFrame:
     first = rows.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES).groupBy("payload_digest").agg(
         F.count("*").alias("n"), F.min(F.struct("order", "record_id", "url", "date")).alias("first"),
     ).where("n > 1").select(F.col("payload_digest").alias("digest"), "first")
+    # Only digests that occur twice are looked up; while they are few, no payload is shuffled.
+    first = sent_if_small(stored(first, "first-captures"), text="first.url")
     found = rows.join(first, rows["payload_digest"] == first["digest"], "left")
     again = F.col("first").isNotNull() & ~F.col("order").eqNullSafe(F.col("first.order"))
     plain = F.when(F.length("http") > 0, "response").otherwise("resource")
