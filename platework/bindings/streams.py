@@ -208,7 +208,7 @@ def refreshed_layers(spark, sf):
     write_table(bronze(spark, sf), cfg.path("bronze"))
     write_table(applications(spark, sf), f"{root}/applications")
     run.refresh(spark, cfg, only=["silver", "gold", "metrics", "check"])
-    tables = {n: run.load(spark, cfg, n) for n in [*_COUNTED, "metric_history"]}
+    tables = run.load_all(spark, cfg, [*_COUNTED, "metric_history"])
     return health.row_counts(tables)
 
 

@@ -71,11 +71,15 @@ def versions(spark: SparkSession, cfg: Config) -> DataFrame:
         raise
 
 
-def folders(spark: SparkSession, cfg: Config, name: str) -> list[str]:
-    """Where a table lies: its last full write and what was added since; without one, the folder of its name."""
-    rows = versions(spark, cfg).where(F.col("name") == name).orderBy("written_at").collect()  # a row per run
-    whole = max((k for k, r in enumerate(rows) if not r["adds"]), default=0)
-    return [cfg.path(r["folder"]) for r in rows[whole:]] or [cfg.path(name)]
+def folders(spark: SparkSession, cfg: Config) -> dict[str, list[str]]:
+    """Where the written tables lie: each one's last full write and what was added since."""
+    found: dict[str, list[str]] = {}
+    for row in versions(spark, cfg).orderBy("written_at").collect():  # a row per run and table
+        known = found.setdefault(row["name"], [])
+        if not row["adds"]:
+            known.clear()
+        known.append(cfg.path(row["folder"]))
+    return found
 
 
 def publish(spark: SparkSession, cfg: Config, written: dict[str, str], now: datetime, adds: bool = False) -> None:
@@ -89,7 +93,8 @@ def _new_folder(name: str) -> str:
     return f"{name}/{uuid.uuid4().hex}"
 
 
-def load(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
+def load(spark: SparkSession, cfg: Config, name: str, at: dict[str, list[str]] | None = None) -> DataFrame:
+    """A table as it is now, or as of the ``folders`` given; one that no run has written lies under its name."""
     if name == "raw":
         return landed(spark, cfg.path("raw"))
     if name == "zip_demographics":
@@ -107,12 +112,15 @@ def load(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
     fmt = cfg.gold_format if name in GOLD else "parquet"
     if name in LOGS:
         return tables.read_table(spark, cfg.path(name), fmt)
-    return spark.read.format(fmt).load(folders(spark, cfg, name))
+    at = folders(spark, cfg) if at is None else at
+    return spark.read.format(fmt).load(at.get(name, [cfg.path(name)]))
 
 
-def load_all(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    names = ["raw", "bronze", "silver", "quarantine", *GOLD, "incentive_applications", "zip_demographics", "state_goals"]
-    return {name: load(spark, cfg, name) for name in names}
+def load_all(spark: SparkSession, cfg: Config, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """All tables, or those named, as of one moment."""
+    at = folders(spark, cfg)
+    names = names or ["raw", "bronze", "silver", "quarantine", *GOLD, "incentive_applications", "zip_demographics", "state_goals"]
+    return {name: load(spark, cfg, name, at) for name in names}
 
 
 def _ingest(spark: SparkSession, cfg: Config, now: datetime) -> None:
@@ -125,7 +133,7 @@ def _latest(cfg: Config) -> Keyed:
 
 def _bronze(spark: SparkSession, cfg: Config, now: datetime) -> None:
     """Parse the documents that no earlier run has parsed, and add their rows to bronze and to the latest per VIN."""
-    raw, batch = load(spark, cfg, "raw"), versions(spark, cfg).where("name = 'bronze'").count()
+    raw, batch = load(spark, cfg, "raw"), len(folders(spark, cfg).get("bronze", []))
     if batch:
         raw = raw.join(load(spark, cfg, "parsed_documents"), "source_file", "left_anti")
         if raw.isEmpty():
@@ -147,8 +155,9 @@ def _bronze(spark: SparkSession, cfg: Config, now: datetime) -> None:
 
 
 def _silver(spark: SparkSession, cfg: Config, now: datetime) -> None:
-    inputs = [load(spark, cfg, n) for n in ("bronze", "zip_demographics", "state_goals", "incentive_applications")]
-    kept = versions(spark, cfg).where("name = 'bronze'").count() > 0  # else bronze was written by other means
+    at = folders(spark, cfg)
+    inputs = [load(spark, cfg, n, at) for n in ("bronze", "zip_demographics", "state_goals", "incentive_applications")]
+    kept = "bronze" in at  # else bronze was written by other means
     written = {name: _new_folder(name) for name in ("silver", "quarantine")}
     silver.store_silver(
         *inputs, cfg.path(written["silver"]), cfg.path(written["quarantine"]), cfg.mode,
@@ -172,7 +181,7 @@ def _gold(spark: SparkSession, cfg: Config, now: datetime) -> None:
 
 
 def _metrics(spark: SparkSession, cfg: Config, now: datetime) -> None:
-    layers = [load(spark, cfg, n) for n in ("bronze", "silver", "quarantine")]
+    layers = load_all(spark, cfg, ["bronze", "silver", "quarantine"]).values()
     measured = quality.evaluate_metrics(*layers, F.lit(now), strict=cfg.mode == "strict")
     tables.append_table(measured, cfg.path("metric_history"))
 
