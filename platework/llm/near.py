@@ -30,7 +30,7 @@ BANDS, ROWS = 28, 6
 #: Share of equal signature bytes from which a pair is compared on its sets; at a similarity of 0.85 the share lies
 #: below with a chance of one in a million.
 LIKELY = 0.72
-BLOCK, GROUP_ROWS, GROUP_BYTES = 4_096, 5_000, 2 << 20
+BLOCK, GROUP_ROWS, GROUP_BYTES, LEAST_GROUPS = 4_096, 5_000, 2 << 20, 32
 #: Shingles hashed at once: small enough for the processor's cache.
 SLICE = 1 << 15
 
@@ -223,7 +223,7 @@ def near_duplicates(
     in_bands = classes.select("node", F.posexplode("bands").alias("band", "key"))
     busy = stored(in_bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "busy")
     members = stored(in_bands.join(busy, ["band", "key"]).select("node", "band", "key", "n"), "buckets")
-    groups = members.count() // GROUP_ROWS + 1
+    groups = members.count() // GROUP_ROWS + LEAST_GROUPS
     signed = dealt(members, ["band", "key"], groups).join(classes.select("node", "signature"), "node")
     clusters = components(_linked(signed, ["band", "key"], False, percent))
 
@@ -241,7 +241,7 @@ def near_duplicates(
             "members": [shingle_set(t or b"", held).tobytes() for t in as_bytes(batch["text"])]},
         "node binary, members binary").groupBy("node").agg(F.first("members").alias("members"))
     size = known.agg(F.sum("n_shingles")).first()[0] or 0
-    grouped = dealt(known.select("node", "component", "n", "signature"), ["component"], 8 * size // GROUP_BYTES + 1)
+    grouped = dealt(known.select("node", "component", "n", "signature"), ["component"], 8 * size // GROUP_BYTES + LEAST_GROUPS)
     links = _linked(grouped.join(sets, "node"), ["component"], True, percent)
     found = components(links)
 
