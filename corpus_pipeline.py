@@ -13,6 +13,8 @@ from platework.llm.common import read, stored
 from platework.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Similarity of word shingles from which documents are near-duplicates here; ``op5_near_duplicates`` has its own.
+NEAR_PERCENT = 80
 
 
 def _documents(df: DataFrame) -> DataFrame:
@@ -33,7 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that with the smallest id."""
-    return _documents(near.one_of_each(docs))
+    return _documents(near.one_of_each(docs, percent=NEAR_PERCENT))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """Near-duplicate documents by MinHash.
 
-1. A text's set of word shingles gives ``BANDS * ROWS`` universal hash minima. Equal sets are one class.
-2. Classes that agree in all minima of a band are candidates; with these figures a pair of similarity 0.85 meets in
-   some band but for a chance of two in a million, and 0.8 but for three in a hundred thousand.
-3. Within a band's bucket, signatures are compared (one byte of each minimum). Of the pairs above ``LIKELY`` only as
-   many are emitted as keep them connected, so a bucket emits fewer links than it has members. Their connected
-   components are clusters: all links lie inside clusters.
+1. A text's set of word shingles gives universal hash minima, in bands of ``ROWS``. Equal sets are one class.
+2. Classes that agree in all minima of a band are candidates. There are as many bands as it takes for a pair at the
+   threshold to meet in one but for a chance of ``MISS``: 28 at a similarity of 0.85, 44 at 0.8.
+3. Within a band's bucket, signatures are compared (one byte of each minimum). Of the pairs with enough equal bytes (a
+   pair at the threshold has fewer with a chance of ``MISS`` at most) only as many are emitted as keep them connected,
+   so a bucket emits fewer links than it has members. Their connected components are clusters: all links lie inside
+   clusters.
 4. Within a cluster, pairs are confirmed on the full sets, again emitting only what keeps members connected.
 5. Components of the confirmed links, by alternating large-star and small-star.
 
@@ -15,6 +16,9 @@ blocks, and each two blocks meet in a group of their own: no group grows with th
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,17 +30,40 @@ from platework.llm.common import (
 )
 
 SHINGLE, PERCENT = 5, 85
-BANDS, ROWS = 28, 6
-#: Share of equal signature bytes from which a pair is compared on its sets; at a similarity of 0.85 the share lies
-#: below with a chance of one in a million.
-LIKELY = 0.72
+ROWS = 6
+#: Chance that a pair at the threshold shares no band, and that its signatures have too few equal bytes.
+MISS = 2e-6
 BLOCK, GROUP_ROWS, GROUP_BYTES, LEAST_GROUPS = 4_096, 5_000, 2 << 20, 32
 #: Shingles hashed at once: small enough for the processor's cache.
 SLICE = 1 << 15
 
-_RANDOM = np.random.default_rng(20_240_229)
-_FACTORS = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
-_SHIFTS = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+
+@functools.lru_cache(maxsize=16)
+def shape(percent: int) -> tuple[int, int]:
+    """Number of bands, and of equal signature bytes from which a pair is compared on its sets."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is {percent}, not in 1 to 100")
+    share = percent / 100
+    bands = 1 if percent == 100 else math.ceil(math.log(MISS) / math.log1p(-(share**ROWS)))
+    size, equal = bands * ROWS, share + (1 - share) / 256
+    if percent == 100:
+        return bands, size
+    below, least = 0.0, 0
+    while True:  # the binomial distribution of equal bytes, in logarithms
+        below += math.exp(
+            math.lgamma(size + 1) - math.lgamma(least + 1) - math.lgamma(size - least + 1)
+            + least * math.log(equal) + (size - least) * math.log1p(-equal))
+        if below > MISS:
+            return bands, least
+        least += 1
+
+
+@functools.lru_cache(maxsize=16)
+def _family(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of so many hash functions."""
+    rng = np.random.default_rng(20_240_229)
+    factors = rng.integers(0, 1 << 32, size, dtype=np.uint32) | np.uint32(1)
+    return factors, rng.integers(0, 1 << 32, size, dtype=np.uint32)
 
 
 def shingle_set(text: bytes, known: WordHashes, width: int = SHINGLE) -> np.ndarray:
@@ -47,9 +74,10 @@ def shingle_set(text: bytes, known: WordHashes, width: int = SHINGLE) -> np.ndar
     return np.unique(window_hashes(known.of(words), min(width, len(words))))
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of hash minima for each non-empty set."""
-    out = np.empty((len(sets), BANDS * ROWS), np.uint32)
+def minima(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """A row of hash minima for each non-empty set, as many as the threshold takes."""
+    factors, shifts = _family(shape(percent)[0] * ROWS)
+    out = np.empty((len(sets), len(factors)), np.uint32)
     at = 0
     while at < len(sets):
         to, size = at, 0
@@ -58,13 +86,13 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
             to += 1
         x = (np.concatenate(sets[at:to]) >> np.uint64(32)).astype(np.uint32)
         starts = np.cumsum([0, *map(len, sets[at : to - 1])])
-        for k in range(BANDS * ROWS):
-            out[at:to, k] = np.minimum.reduceat(x * _FACTORS[k] + _SHIFTS[k], starts)
+        for k in range(len(factors)):
+            out[at:to, k] = np.minimum.reduceat(x * factors[k] + shifts[k], starts)
         at = to
     return out
 
 
-def sketches(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def sketches(df: DataFrame, id_column: str, text_column: str, percent: int = PERCENT) -> DataFrame:
     """Per row: id, ``text_hash``, ``n_shingles`` and, for a set that isn't empty, its digest, bands and signature."""
     kind = df.schema[id_column].dataType.simpleString()
     rows = df.select(
@@ -74,8 +102,8 @@ def sketches(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     def run(batch):
         sets = [shingle_set(t or b"", known) for t in as_bytes(batch["text"])]
         full = [k for k, s in enumerate(sets) if len(s)]
-        low = minima([sets[k] for k in full])
-        keys = np.zeros((len(full), BANDS), np.uint64)
+        low = minima([sets[k] for k in full], percent)
+        keys = np.zeros((len(full), low.shape[1] // ROWS), np.uint64)
         for r in range(ROWS):
             keys = mixed(keys * np.uint64(31) + low[:, r::ROWS].astype(np.uint64) + np.uint64(r + 1))
         signature = ((low ^ (low >> 11) ^ (low >> 21)) & 0xFF).astype(np.uint8)
@@ -93,21 +121,23 @@ def sketches(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
         f"id {kind}, text_hash long, n_shingles long, node binary, bands array<long>, signature binary")
 
 
-def spanning(signatures: np.ndarray, confirm=None, left: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect whatever likely pairs (that ``confirm`` holds true for) connect.
+def spanning(
+    signatures: np.ndarray, least: int, confirm=None, left: np.ndarray | None = None,
+) -> list[tuple[int, int]]:
+    """Links that connect whatever pairs with ``least`` equal bytes (that ``confirm`` holds true for) connect.
 
     ``left`` tells of which of two blocks each member is; then only pairs across the blocks count.
     """
     size, out = len(signatures), []
     if size == 2 and left is None:
-        likely = (signatures[0] == signatures[1]).mean() >= LIKELY
+        likely = (signatures[0] == signatures[1]).sum() >= least
         return [(0, 1)] if likely and (confirm is None or confirm(0, 1)) else []
     unseen = np.arange(size)
     while len(unseen) > 1:
         queue, unseen = [int(unseen[0])], unseen[1:]
         while queue and len(unseen):
             u = queue.pop()
-            near = (signatures[unseen] == signatures[u]).mean(axis=1) >= LIKELY
+            near = (signatures[unseen] == signatures[u]).sum(axis=1) >= least
             if left is not None:
                 near &= left[unseen] != left[u]
             if confirm is not None and near.any():
@@ -136,6 +166,7 @@ def dealt(members: DataFrame, keys: list[str], groups: int) -> DataFrame:
 
 def _linked(rows: DataFrame, keys: list[str], with_sets: bool, percent: int) -> DataFrame:
     """Links within each key of the rows that meet in a group."""
+    bands, least = shape(percent)
 
     def run(table: pa.Table) -> pa.Table:
         places = table.select([*keys, "one", "two"]).to_pandas()
@@ -144,7 +175,7 @@ def _linked(rows: DataFrame, keys: list[str], with_sets: bool, percent: int) ->
         new = (places != places.shift()).any(axis=1).to_numpy()
         starts = np.append(np.flatnonzero(new), len(order))
         nodes, found = table["node"].to_pylist(), set()
-        width = BANDS * ROWS
+        width = bands * ROWS
         signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, width)
         block = table["block"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in table["members"].to_pylist()] if with_sets else None
@@ -162,7 +193,7 @@ def _linked(rows: DataFrame, keys: list[str], with_sets: bool, percent: int) ->
                 continue
             crossing = int(places["one"].iloc[a]) != int(places["two"].iloc[a])
             links = spanning(
-                signatures[at], (lambda i, j, at=at: confirmed(at, i, j)) if with_sets else None,
+                signatures[at], least, (lambda i, j, at=at: confirmed(at, i, j)) if with_sets else None,
                 block[at] if crossing else None)
             found.update(tuple(sorted((nodes[at[i]], nodes[at[j]]))) for i, j in links)
         pairs = list(found)
@@ -211,7 +242,7 @@ def near_duplicates(
     has the smallest id reachable, if any; it is kept only if there is none. Rows that share an id are judged each by
     its text. Repeated rows each come back. An empty table gives an empty result; other columns are not read.
     """
-    all_rows = stored(sketches(df, id_column, text_column), "sketches")
+    all_rows = stored(sketches(df, id_column, text_column, percent), "sketches")
     kind = df.schema[id_column].dataType.simpleString()
     classes = stored(
         all_rows.where("node is not null").groupBy("node").agg(

@@ -4,6 +4,7 @@ import brute
 import numpy as np
 from texts import columns, documents, frame
 
+import corpus_pipeline
 from platework.llm import near
 
 
@@ -25,6 +26,30 @@ def test_components(spark):
     assert columns(found, "doc_id", "n_shingles", "component_id", "kept") == expected(docs)
 
 
+def test_threshold_of_the_pipeline(spark):
+    """Pairs of similarity 0.80 to 0.85: the stage takes them, op5's default does not."""
+    rng = random.Random(5)
+    docs = []
+    for k in range(40):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+        docs.append((2 * k, " ".join(w)))
+        docs.append((2 * k + 1, " ".join(["x", *w[: 52], f"n{k}", *w[53:], "y"]) if k % 2 else " ".join([*w[:97], *"abcdefghijk"])))
+    want = {docs[k][0] for k, x in brute.near(docs, 80).items() if x[2]}
+    assert len(want) < len({docs[k][0] for k, x in brute.near(docs).items() if x[2]})
+    kept = corpus_pipeline.near_dedup(spark, frame(spark, docs), "")
+    assert {r.doc_id for r in kept.collect()} == want
+
+
+def test_miss_chance_follows_the_threshold():
+    for percent in (50, 80, 85, 95):
+        bands, least = near.shape(percent)
+        assert (1 - (percent / 100) ** near.ROWS) ** bands <= near.MISS
+        rng = np.random.default_rng(percent)
+        share = percent / 100 + (1 - percent / 100) / 256
+        assert (rng.binomial(bands * near.ROWS, share, 100_000) < least).sum() <= 3
+    assert near.shape(85)[0] == 28 and near.shape(80)[0] == 44 and near.shape(100) == (1, near.ROWS)
+
+
 def test_large_buckets_are_dealt_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 10)
     test_components(spark)
