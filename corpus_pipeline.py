@@ -27,15 +27,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _documents(quality.kept_rows(docs))
 
 
+def _with_words(found: DataFrame) -> DataFrame:
+    """Without documents that have lost all their words with lines."""
+    return found.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go but for their first place; a document that loses all its words goes."""
-    found = lines.without_recurring_lines(docs)
-    return _documents(found.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
+    return _documents(_with_words(lines.without_recurring_lines(docs)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that with the smallest id."""
-    return _documents(near.one_of_each(docs, percent=NEAR_PERCENT))
+    """One document of each group of near-duplicates stays: that with the smallest id. Of the long lines that otherwise
+    different documents still share, one copy stays."""
+    kept = stored(near.one_of_each(docs, percent=NEAR_PERCENT), "one-of-each")
+    return _documents(_with_words(lines.without_long_lines(kept)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

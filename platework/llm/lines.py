@@ -8,6 +8,9 @@ leaf's template, if enough of its places are constant; every other line is a tem
 
 Lines are counted per leaf and distinct line before tokens are looked at, so a line that a third of all documents hold
 is one row by then; joins on leaves and lines are plain equi-joins that Spark can split.
+
+``without_long_lines`` is for passages: a line of ``LONG_WORDS`` words or more, taken literally, is dropped from its
+second document on. It belongs after near-duplicates are gone: before, it would leave the short lines of copies behind.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 from platework.llm.common import row_hash, same, stored
 
 DEPTH, MIN_DOCS, MIN_CONSTANT = 3, 10, 0.6
+#: Words from which a line is a passage, and documents from which that recurs.
+LONG_WORDS, LONG_MIN_DOCS = 8, 2
 VARIABLE = "<*>"
 _BLANKS = " \t\r\f\x0b"
 
@@ -68,6 +73,27 @@ def dropped_lines(
     keys = stored(lines.drop("tokens"), "line-keys")
     of = templates(lines, keys, min_docs, min_constant)
     named = stored(keys.join(of, ["leaf", "line"]).select("id", "text_hash", "pos", "leaf", "template"), "templates")
+    return _recurring_places(named, min_docs)
+
+
+def dropped_long_lines(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = LONG_WORDS,
+    min_docs: int = LONG_MIN_DOCS,
+) -> DataFrame:
+    """As ``dropped_lines``, of literal lines: those that agree in all tokens, digits too, ``words`` of them at least."""
+    rows = df.select(
+        F.col(id_column).alias("id"), row_hash(text_column).alias("text_hash"),
+        F.posexplode(F.split(F.col(text_column), "\n")).alias("pos", "line"))
+    tokens = F.split(F.btrim("line", F.lit(_BLANKS)), r"\s+")
+    found = rows.select("id", "text_hash", "pos", tokens.alias("tokens")).where(F.size("tokens") >= words)
+    return _recurring_places(stored(found.select(
+        "id", "text_hash", "pos", F.xxhash64(F.lit(1), "tokens").alias("leaf"), F.xxhash64("tokens").alias("template")),
+        "long-lines"), min_docs)
+
+
+def _recurring_places(named: DataFrame, min_docs: int) -> DataFrame:
+    """Per document the places of lines (``leaf``, ``template``) that stand in ``min_docs`` documents, but for the first
+    place of each."""
     recurring = stored(named.groupBy("leaf", "template", "id", "text_hash").agg(F.min("pos").alias("pos")).groupBy(
         "leaf", "template").agg(
         F.count("*").alias("n_docs"), F.min(F.struct("id", "text_hash", "pos")).alias("first"),
@@ -84,7 +110,15 @@ def without_recurring_lines(df: DataFrame, id_column: str = "doc_id", text_colum
     equal in id and text are one document that repeats: each copy is treated alike. Rows that only share an id are
     documents of their own. An empty table gives an empty result. A column named like a result is replaced by it.
     """
-    found = dropped_lines(df, id_column, text_column, **options)
+    return _without(df, dropped_lines(df, id_column, text_column, **options), id_column, text_column)
+
+
+def without_long_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """As ``without_recurring_lines``, by ``dropped_long_lines``."""
+    return _without(df, dropped_long_lines(df, id_column, text_column, **options), id_column, text_column)
+
+
+def _without(df: DataFrame, found: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = df.withColumns({"__id": F.col(id_column), "__hash": row_hash(text_column)})
     joined = rows.join(
         found, rows["__id"].eqNullSafe(found["id"]) & (rows["__hash"] == found["text_hash"]), "left",

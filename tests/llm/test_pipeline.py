@@ -57,6 +57,20 @@ def test_near(stages):
     assert {r[0] for r in stages[3]} == kept and len(kept) < len(docs)
 
 
+def test_long_lines_of_different_documents(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, short = words(30), "just a short line"
+    docs = [(k, f"{words(70)}\n{short}\n {passage}\n{words(60)}") for k in range(4)]
+    docs += [(10, f"{docs[0][1]} and more"), (11, docs[1][1]), (12, passage), (13, f"{words(9)}\n{words(9)}"), (14, None)]
+    rows = [(i, t, "en", "src", None) for i, t in docs]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lined = stored(corpus_pipeline.line_dedup(spark, df, ""), "lined")
+    found = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, lined, "").collect()}
+    kept = {k: docs[k][1].replace(f"\n {passage}", "") if k else docs[0][1] for k in range(4)}
+    assert found == kept | {13: docs[7][1], 14: None}  # copies go whole: no rest of theirs stays
+
+
 def test_decontamination(stages):
     left = [(r[0], r[1]) for r in stages[4]]
     items = [(1, " ".join(f"i{k}" for k in range(20)))]
