@@ -1,5 +1,6 @@
-"""HTML to leaf blocks: text between block tags with the path of open elements. Scripts, styles and comments are no
-text; character references are decoded; white space inside a block becomes one space."""
+"""HTML to leaf blocks: text between block tags with the path of open elements. Scripts, styles, iframes and comments
+are no text; all else is, be it of formulas, drawings or fallbacks: the path tells what it is. Character references are
+decoded; white space inside a block becomes one space."""
 
 from __future__ import annotations
 
@@ -9,10 +10,16 @@ from dataclasses import dataclass, field
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object".split())
+RAW = frozenset("script style iframe".split())
+#: Inside these, ``/>`` ends any element.
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split())
+    "span strike strong sub sup time tt u var wbr "
+    # formulas are part of their sentence
+    "annotation annotation-xml maction math menclose merror mfenced mfrac mglyph mi mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+    "none semantics".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol p pre section table ul".split())
@@ -102,7 +109,7 @@ def split(source: str, known: dict | None = None) -> list[Block]:
                         break
                     if stack[place][0] not in INLINE and stack[place][0] != "p":
                         break
-            if tag in RAW:
+            if tag in RAW and not (m[2].endswith("/") and any(t in FOREIGN for t, _ in stack)):
                 end = re.compile(f"</{tag}[^>]*>", re.I).search(source, at)
                 at = end.end() if end else size
             elif tag not in VOID and not m[2].endswith("/"):

@@ -59,6 +59,26 @@ def test_blocks():
     assert found[1].linked == 3 and blocks.split("<p") == [] and blocks.split("") == []
 
 
+def test_blocks_lose_no_formulas_and_fallbacks():
+    texts = lambda source: [b.text for b in blocks.split(source)]
+    assert texts("<p>a</p><svg width=1 /><p>b</p><math/><p>c</p><object data=x><p>d</p><noscript><p>e</p>") == list("abcde")
+    assert texts("<p>So <math><mi>E</mi><mo>=</mo><msup><mi>c</mi><mn>2</mn></msup></math> holds.") == ["So E=c2 holds."]
+    assert texts("<svg><style/><script href=x /><text>label</text></svg><p>after</p>") == ["label", "after"]
+    assert texts("<script src=x /><p>no</p></script><p>b</p><iframe><p>no</p></iframe>c<style>no") == ["b", "c"]
+    found = blocks.split("<template><p>one</p></template><noscript>two</noscript><p>three")
+    assert [(b.path, b.text) for b in found] == [(("template", "p"), "one"), (("noscript",), "two"), (("p",), "three")]
+
+
+def test_main_text_keeps_formulas(spark):
+    prose = "So it is, and so it was, in all of the years that we have looked at here."
+    source = (
+        '<html><body><nav><ul><li><a href="/x">Menu</a></li><li><a href="/y">More</a></li></ul></nav><article><h1>A title.</h1>'
+        f"<p>{prose}</p><svg class=icon /><p>We know that <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is small.</p><p>{prose}</p>"
+        "<object data=x><p>The figure shows how it grew over the years.</p></object></article><footer>&copy; a &middot; All of it.</footer></body></html>")
+    found = extraction.main_text(pages(spark, [(1, "u", source)])).first().text
+    assert found == f"A title. {prose} We know that a+b is small. {prose} The figure shows how it grew over the years."
+
+
 def test_gradients():
     network = extraction.Network(1)
     rng = np.random.default_rng(0)
