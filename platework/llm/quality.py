@@ -2,8 +2,9 @@
 
 Each text gives a vector of transformed statistics. Location and scatter per (language, source) are those of the
 minimum-covariance-determinant estimate: from the coordinatewise medians and spreads on, the ``SHARE`` of the rows
-that lie nearest give the next mean and covariance, until these settle (concentration steps, which never raise the
-determinant). A text is rejected if its squared Mahalanobis distance exceeds ``CUTOFF``.
+that lie nearest give the next mean and covariance, until the sums come back to what they were (concentration steps).
+A text is rejected if its squared Mahalanobis distance exceeds ``CUTOFF``, which a normal text does with a chance of
+``TAIL``. The least spreads of ``FEATURES`` are floors: they count only where a group has hardly any spread itself.
 
 Everything is sums per group over vectors in whole multiples of 1/``UNIT``, so results do not depend on the order of
 rows, no group is gathered anywhere, and a hot group is summed where its rows are. The estimate of a group is drawn
@@ -12,20 +13,36 @@ towards that of all rows with the weight of ``PRIOR_ROWS`` rows, so that small g
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platework.llm.common import WordHashes, as_bytes, in_batches, row_hash, same, stored, window_hashes
 
-SHARE, STEPS, CUTOFF, PRIOR_ROWS = 0.75, 4, 60.0, 200
+SHARE, STEPS, TAIL, PRIOR_ROWS = 0.75, 40, 1e-6, 200
 UNIT = 256
 #: What counts as white space and as a symbol, and the base rules.
 SPACES, SYMBOLS = b" \t\n\r\x0b\f", b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
-#: The transformed statistics, and the least spread of each that counts (in its own units).
-FEATURES = {"length": 1.0, "word_length": 0.5, "symbols": 0.03, "repeated_lines": 0.2, "repeated_words": 0.2}
+#: The transformed statistics, and the least spread of each that counts (in its own units): about what chance makes of
+#: texts of 50 words, so that a corpus without repeats does not reject a text for a single one.
+FEATURES = {"length": 0.25, "word_length": 0.25, "symbols": 0.03, "repeated_lines": 0.15, "repeated_words": 0.11}
 DIMS = len(FEATURES)
+
+
+def _quantile(tail: float) -> float:
+    """The value that chi-square with five degrees of freedom exceeds with a chance of ``tail``."""
+    low, high = 0.0, 1_000.0
+    for _ in range(100):
+        x = (low + high) / 2
+        above = math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+        low, high = (x, high) if above > tail else (low, x)
+    return low
+
+
+CUTOFF = _quantile(TAIL)
 #: Squared distances are counted in bins of a 16th of a power of two.
 BINS = 16
 
@@ -117,6 +134,14 @@ def _consistency(share: float) -> float:
     return DIMS / d2[: int(share * len(d2))].mean()
 
 
+def _floored(cov: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The covariance with no spread, in any direction, below the least ones; unchanged where there is none."""
+    values, axes = np.linalg.eigh(cov / np.outer(least, least))
+    if values[0] >= 1:
+        return cov
+    return (axes * np.maximum(values, 1)) @ axes.T * np.outer(least, least)
+
+
 def estimates(sums: DataFrame, pooled: DataFrame, share: float, prior: float = PRIOR_ROWS) -> DataFrame:
     """Per group its mean and inverse covariance, drawn towards the pooled ones. ``pooled`` is one row."""
     row = pooled.first()
@@ -124,7 +149,7 @@ def estimates(sums: DataFrame, pooled: DataFrame, share: float, prior: float = P
         all_mean, all_cov = np.zeros(DIMS), np.eye(DIMS)
     else:
         all_mean, all_cov = _estimate(row.n, np.array(row.s), np.array(row.q), share)
-    least = np.diag(np.square(list(FEATURES.values())))
+    least = np.array(list(FEATURES.values()))
 
     def run(batch):
         means, inverses = [], []
@@ -132,7 +157,7 @@ def estimates(sums: DataFrame, pooled: DataFrame, share: float, prior: float = P
             mean, cov = _estimate(n, np.array(s), np.array(q), share)
             w = n / (n + prior)
             means.append((w * mean + (1 - w) * all_mean).tolist())
-            inverses.append(np.linalg.inv(w * cov + (1 - w) * all_cov + least).ravel().tolist())
+            inverses.append(np.linalg.inv(_floored(w * cov + (1 - w) * all_cov, least)).ravel().tolist())
         return {"lang": batch["lang"], "source": batch["source"], "mean": means, "inverse": inverses}
 
     return in_batches(sums, run, "lang string, source string, mean array<double>, inverse array<double>")
@@ -196,6 +221,7 @@ def judged(
     vectors = rows.where(~F.col("base_failed")).select("lang", "source", *[f"x{k}" for k in range(DIMS)])
     found = stored(_middle(vectors), "estimates")
     each = Window.partitionBy("lang", "source")
+    seen = set()
     for _ in range(steps):
         near = _with_distance(vectors, found).withColumn("bin", _bin())
         bins = near.groupBy("lang", "source", "bin").count().withColumns({
@@ -204,6 +230,11 @@ def judged(
             F.min(F.when(F.col("before") >= F.col("all") * share, F.col("bin"))).alias("last"))
         held = near.join(last, same(near, last, "lang", "source")).where(near["bin"] <= last["last"]).select(near["*"])
         sums = stored(_sums(held), "sums")
+        state = tuple(sums.agg(
+            F.count("*"), F.sum(F.xxhash64("lang", "source", "n", "s", "q").cast("decimal(20,0)"))).first())
+        if state in seen:  # the same, or a round of rows at the edge
+            break
+        seen.add(state)
         pooled = sums.agg(
             F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[k]) for k in range(DIMS)]).alias("s"),
             F.array(*[F.sum(F.col("q")[k]) for k in range(len(_pairs()))]).alias("q"))

@@ -3,6 +3,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from texts import columns, documents, frame
@@ -31,6 +32,36 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert found.where("doc_id >= 1000 and kept").count() == 0
 
 
+def test_outliers_of_each_statistic(spark):
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("etaoinshr", k=rng.randint(2, 9))) for _ in range(5_000)]
+    words = lambda n: rng.choices(vocabulary, k=n)
+    docs = [(k, " ".join(words(rng.randint(150, 450)))) for k in range(400)]
+    half = words(150)
+    out = {
+        "length": " ".join(words(20_000)),
+        "word_length": " ".join(3 * w for w in words(250)),
+        "symbols": " ".join([*words(200), *["#|#"] * 30]),
+        "repeated_lines": "\n".join([*["of it"] * 60, *[" ".join(words(3)) for _ in range(60)]]),
+        "repeated_words": " ".join([*words(155), *half[:60], *words(1), *half[:60]]),
+    }
+    docs += [(1_000 + k, t) for k, t in enumerate(out.values())]
+    found = {r.doc_id: r for r in quality.judged(frame(spark, docs)).collect()}
+    assert all(found[k].kept for k in range(400))
+    names = list(quality.FEATURES)
+    assert {names[k] for k in range(5) if found[1_000 + k].base_failed} <= {"repeated_lines"}
+    assert not any(found[1_000 + k].kept for k in range(5)), {n: found[1_000 + k].d2 for k, n in enumerate(names)}
+
+
+def test_cutoff_and_floor():
+    draws = np.random.default_rng(0).chisquare(5, 200_000)
+    assert abs((draws > quality._quantile(0.025)).mean() - 0.025) < 0.002 and abs(quality.CUTOFF - 35.89) < 0.01
+    least = np.array(list(quality.FEATURES.values()))
+    wide = np.diag(least**2 * 4)
+    assert (quality._floored(wide, least) == wide).all()
+    assert np.allclose(quality._floored(np.zeros((5, 5)), least), np.diag(least**2))
+
+
 def test_quality_of_odd_tables(spark):
     assert quality.judged(frame(spark, [])).count() == 0
     one = frame(spark, [(1, "word " * 3), (None, None)]).withColumn("lang", F.lit(None).cast("string"))
