@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platework.llm import (
-    extraction, leaks, lines, near, oracles, quality, sentencepiece, substrings, suffix_arrays, token_counts, warc,
+    extraction, leaks, lines, near, oracles, quality, secret_spans, sentencepiece, substrings, suffix_arrays, token_counts,
+    turns, variants, warc,
 )
 from platework.llm.common import read
 from platework.session import new_folder
@@ -85,9 +86,31 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation, after damage: its faults and the cheapest repair."""
+    conversations = read(spark, sf_dir, "conversations")
+    return turns.repaired(turns.damaged(conversations), conversations)
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: secrets by kind, and where they stand."""
+    found = secret_spans.scan(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secret_spans.KINDS],
+        F.sha2(secret_spans.written("spans", "assign", "access", "hex"), 256).alias("base_sha256"),
+        secret_spans.written("spans").alias("spans"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per word: its occurrences, near words, usual form and the last of the forms."""
+    return variants.variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sentencepiece, op2_warc, op3_line_dedup, op4_token_counts, op5_near_duplicates, op6_main_text,
-    op7_suffix_arrays, op8_quality_rules, op9_decontamination, op10_substrings)}
+    op7_suffix_arrays, op8_quality_rules, op9_decontamination, op10_substrings, op11_conversation_repair,
+    op12_secret_scans, op13_spelling_variants)}
 ORACLES: dict[str, str] = {
     "op2_warc": oracles.WARC, "op3_line_dedup": oracles.LINES, "op5_near_duplicates": oracles.NEAR,
     "op7_suffix_arrays": oracles.BYTES, "op9_decontamination": oracles.LEAKS, "op10_substrings": oracles.WORDS}
