@@ -1,6 +1,6 @@
 """All registered queries: importing the modules registers them."""
 
-from platework.bindings import registrations, relational, streams
+from platework.bindings import registrations, relational, runs, streams
 from platework.bindings.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "registrations", "relational", "streams"]
+__all__ = ["ORACLES", "QUERIES", "registrations", "relational", "runs", "streams"]

@@ -23,9 +23,9 @@ FACT_COLUMNS = [
 ]
 
 
-def dim_vehicle(silver: DataFrame, unique: bool = False) -> DataFrame:
+def dim_vehicle(silver: DataFrame, unique: bool = False, *more: str) -> DataFrame:
     """Distinct vehicles. ``unique=True`` (silver holds one row per VIN) saves the shuffle of DISTINCT."""
-    vehicles = silver.select(*VEHICLE_COLUMNS)
+    vehicles = silver.select(*VEHICLE_COLUMNS, *more)
     return vehicles if unique else vehicles.distinct()
 
 
@@ -43,8 +43,8 @@ def dim_geography(silver: DataFrame, grain: str = "reference") -> DataFrame:
     return dedup_latest(places, ["GEO_KEY"], [F.col(c).asc_nulls_last() for c in GEOGRAPHY_COLUMNS])
 
 
-def fact_registrations(silver: DataFrame) -> DataFrame:
-    return silver.withColumns({"GEO_KEY": geo_key(), "LOAD_TS": wall_clock("LOAD_TS")}).select(*FACT_COLUMNS)
+def fact_registrations(silver: DataFrame, *more: str) -> DataFrame:
+    return silver.withColumns({"GEO_KEY": geo_key(), "LOAD_TS": wall_clock("LOAD_TS")}).select(*FACT_COLUMNS, *more)
 
 
 def agg_by_county(silver: DataFrame) -> DataFrame:
@@ -62,12 +62,56 @@ def agg_by_year(silver: DataFrame) -> DataFrame:
     grouped = silver.groupBy("MODEL_YEAR", "EV_TYPE").agg(
         F.count(F.lit(1)).alias("REGISTRATION_COUNT"), F.max("TARGET_EV_COUNT").alias("TARGET_EV_COUNT")
     )
+    return _with_goal(grouped)
+
+
+def _with_goal(grouped: DataFrame) -> DataFrame:
     totals = running_total(grouped, "REGISTRATION_COUNT", ["EV_TYPE"], "MODEL_YEAR", "CUMULATIVE_COUNT")
     return totals.withColumn("PCT_OF_GOAL", guarded_ratio("CUMULATIVE_COUNT", "TARGET_EV_COUNT")).select(
         "MODEL_YEAR", "EV_TYPE", "REGISTRATION_COUNT", "CUMULATIVE_COUNT", "TARGET_EV_COUNT", "PCT_OF_GOAL"
     )
 
 
+#: What the aggregates and the geography are made of. Population and goal are among the columns that tell cells apart, so
+#: that a maximum is taken over what is left when rows go: nothing has to be counted anew.
+CELL_COLUMNS = [*GEOGRAPHY_COLUMNS, "EV_TYPE", "MODEL_YEAR", "TARGET_EV_COUNT"]
+_SUMS = ("n", "range_sum", "range_n")
+
+
+def signed_cells(came: DataFrame, went: DataFrame | None = None) -> DataFrame:
+    """Registrations that came less those that went, summed by cell; what is in both is no row. One read of each, and
+    one shuffle of a row per task and cell."""
+    columns = [*CELL_COLUMNS, "ELECTRIC_RANGE"]
+    rows = came.select(*columns, F.lit(1).alias("sign"))
+    if went is not None:
+        rows = rows.unionByName(went.select(*columns, F.lit(-1).alias("sign")))
+    sums = rows.groupBy(*CELL_COLUMNS).agg(
+        F.sum("sign").alias("n"), F.coalesce(F.sum(F.col("sign") * F.col("ELECTRIC_RANGE")), F.lit(0)).alias("range_sum"),
+        F.coalesce(F.sum(F.when(F.col("ELECTRIC_RANGE").isNotNull(), F.col("sign"))), F.lit(0)).alias("range_n"))
+    return sums.where("n <> 0 OR range_sum <> 0 OR range_n <> 0")
+
+
+def merged_cells(deltas: DataFrame) -> DataFrame:
+    """All signed cells added up: a row for each cell that holds registrations."""
+    return deltas.groupBy(*CELL_COLUMNS).agg(*[F.sum(c).alias(c) for c in _SUMS]).where("n <> 0")
+
+
+def agg_by_county_of(cells: DataFrame) -> DataFrame:
+    """``agg_by_county`` from merged cells."""
+    grouped = cells.groupBy("COUNTY", "EV_TYPE").agg(
+        F.sum("n").alias("REGISTRATION_COUNT"),
+        guarded_ratio(F.sum("range_sum"), F.sum("range_n")).alias("AVG_ELECTRIC_RANGE"),
+        F.max("POPULATION").alias("POPULATION"),
+    )
+    return grouped.withColumn("REGISTRATIONS_PER_CAPITA", guarded_ratio("REGISTRATION_COUNT", "POPULATION"))
+
+
+def agg_by_year_of(cells: DataFrame) -> DataFrame:
+    """``agg_by_year`` from merged cells."""
+    return _with_goal(cells.groupBy("MODEL_YEAR", "EV_TYPE").agg(
+        F.sum("n").alias("REGISTRATION_COUNT"), F.max("TARGET_EV_COUNT").alias("TARGET_EV_COUNT")))
+
+
 def shared_registrations(
     fact: DataFrame, vehicles: DataFrame, geography: DataFrame, spread: bool = False
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platework.functions.times import minutes_between
@@ -35,16 +35,29 @@ def layer_health(
     return _with_outcome(counts)
 
 
-def _with_outcome(counts: DataFrame) -> DataFrame:
+def _with_outcome(counts: DataFrame, unkeyed: int = 0) -> DataFrame:
     both = F.col("silver") + F.col("quarantine")
     return counts.withColumns({
         "silver_plus_quarantine": both,
-        "reconciliation_status": F.when(F.col("bronze_distinct_vins") == both, F.lit(PASS_TEXT)).otherwise(
+        "reconciliation_status": F.when(F.col("bronze_distinct_vins") + unkeyed == both, F.lit(PASS_TEXT)).otherwise(
             F.lit(INVESTIGATE_TEXT)
         ),
     })
 
 
+def written_health(
+    spark: SparkSession, raw: int, bronze: int, vins: int, silver: int, quarantine: int, fact: int, unkeyed: int = 0
+) -> DataFrame:
+    """``layer_health`` from counts that were taken while the layers were written. ``unkeyed``: bronze rows without a VIN
+    that quarantine has to hold, each of them. A fact that has not silver's rows is a mismatch too."""
+    names = "raw_variant", "bronze_parsed", "bronze_distinct_vins", "silver", "quarantine", "gold_fact"
+    counts = spark.createDataFrame([(raw, bronze, vins, silver, quarantine, fact)], ", ".join(f"{n} long" for n in names))
+    found = _with_outcome(counts, unkeyed)
+    whole = F.col("silver") == F.col("gold_fact")
+    return found.withColumn(
+        "reconciliation_status", F.when(whole, F.col("reconciliation_status")).otherwise(F.lit(INVESTIGATE_TEXT)))
+
+
 def bronze_health(raw: DataFrame, bronze: DataFrame, mode: str = "reference") -> DataFrame:
     """``layer_health`` of the layers that follow from bronze, which is read once; the fact has silver's rows."""
     counts = one_row([raw.agg(F.count(F.lit(1)).alias("raw_variant")), quality.judged_profile(bronze, mode)])

@@ -133,12 +133,19 @@ def judged_profile(bronze: DataFrame, mode: str = "reference") -> DataFrame:
 
 
 def landing_metric(landed: DataFrame, bronze: DataFrame, now: Column, database: str = DATABASE_NAME) -> DataFrame:
-    """Records of parsable documents less bronze rows, as a row of the metric history; 0 unless records were lost."""
-    facts = one_row([landed.select("parsable"), bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))])
-    value = F.col("parsable") - F.col("bronze_rows")
+    """Records that have landed less bronze rows, as a row of the metric history; 0 unless records were lost. Those of
+    rejected documents are."""
+    facts = one_row([landed.select("records"), bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))])
+    value = F.col("records") - F.col("bronze_rows")
     return _entries(facts, [(BRONZE_NAME, LANDING, value)], now, database)
 
 
+def landing_entry(spark: SparkSession, lost: int, now: Column, database: str = DATABASE_NAME) -> DataFrame:
+    """``landing_metric`` where the records that were lost have been counted."""
+    facts = spark.createDataFrame([(lost,)], "lost long")
+    return _entries(facts, [(BRONZE_NAME, LANDING, F.col("lost"))], now, database)
+
+
 def _key_profile(bronze: DataFrame, column: str) -> DataFrame:
     # Grouping first: NULL keys meet as one partial count per task, not as rows.
     per_key = bronze.groupBy(column).agg(F.count(F.lit(1)).alias("n"))

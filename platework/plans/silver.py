@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +11,6 @@ from platework.operators.latest import dedup_latest
 from platework.operators.lookups import left_lookup, unique_lookup
 from platework.operators.rules import Rule, judge, rejected_rows, valid_rows
 from platework.schemas import LINEAGE, QUARANTINE_COLUMNS, SILVER_COLUMNS, VALID_EV_TYPES
-from platework.sources.tables import write_table
 
 MODES = ("reference", "strict")
 
@@ -95,6 +93,14 @@ def enrich(
     whether they are broadcast. The application join comes first and is by VIN, on which the rows
     already lie after the dedup.
     """
+    return with_lookups(with_applications(rows, applications), zips, goals, check_lookups)
+
+
+def with_applications(rows: DataFrame, applications: DataFrame) -> DataFrame:
+    return left_lookup(rows, latest_applications(applications), {"VIN": "INC_VIN"})
+
+
+def with_lookups(rows: DataFrame, zips: DataFrame, goals: DataFrame, check_lookups: bool = True) -> DataFrame:
     zips = zips.select(
         "zip_code",
         F.col("population").alias("POPULATION"),
@@ -107,7 +113,6 @@ def enrich(
         F.col("target_ev_count").alias("TARGET_EV_COUNT"),
         F.col("policy_name").alias("POLICY_NAME"),
     )
-    rows = left_lookup(rows, latest_applications(applications), {"VIN": "INC_VIN"})
     join = unique_lookup if check_lookups else left_lookup
     rows = join(rows, zips, {"POSTAL_CODE": "zip_code"})
     return join(rows, goals, {"STATE": "goal_state", "MODEL_YEAR": "goal_year"})
@@ -124,36 +129,20 @@ def quarantine_from(judged: DataFrame) -> DataFrame:
     return rejected_rows(judged).select(*QUARANTINE_COLUMNS)
 
 
-def store_silver(
-    bronze: DataFrame,
-    zips: DataFrame,
-    goals: DataFrame,
-    applications: DataFrame,
-    silver_path: str,
-    quarantine_path: str,
-    mode: str = "reference",
-    check_lookups: bool = True,
-    latest: DataFrame | None = None,
-) -> None:
-    """Write silver and quarantine from one dedup, or from ``latest`` rows per VIN that are kept current.
+def latest_state(rows: DataFrame, applications: DataFrame, mode: str = "reference") -> DataFrame:
+    """The latest row per vehicle with its verdict and its latest application: all of silver and quarantine follows from
+    it row by row. One shuffle of the rows by VIN, which the application join reuses. Rows without a VIN are as in
+    ``judged_registrations``."""
+    return with_applications(judged_registrations(rows, mode), applications)
 
-    The judged rows are kept, partitioned by VIN, while both tables are written; should an executor be
-    lost, Spark computes its share again.
-    """
-    if latest is None:
-        judged = judged_registrations(bronze, mode)
-    else:
-        keyed = latest.where(F.col("VIN").isNotNull()) if mode == "strict" else latest
-        judged = judge(keyed, registration_rules(), mode == "strict")
-    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_table(silver_from(judged, zips, goals, applications, check_lookups), silver_path)
-        rejected = quarantine_from(judged)
-        if mode == "strict":
-            rejected = rejected.unionByName(unkeyed_rejects(bronze))
-        write_table(rejected, quarantine_path)
-    finally:
-        judged.unpersist()
+
+def silver_of(state: DataFrame, zips: DataFrame, goals: DataFrame, check_lookups: bool = True, *more: str) -> DataFrame:
+    """Silver rows of a ``latest_state``, with the columns ``more``."""
+    return with_lookups(standardize(valid_rows(state)), zips, goals, check_lookups).select(*SILVER_COLUMNS, *more)
+
+
+def quarantine_of(state: DataFrame, *more: str) -> DataFrame:
+    return rejected_rows(state).select(*QUARANTINE_COLUMNS, *more)
 
 
 def build_silver(

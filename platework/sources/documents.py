@@ -89,6 +89,17 @@ def _decoded(raw: DataFrame, *columns: str, good: Column | None = None) -> DataF
     return raw.select(*columns, F.inline_outer(F.array(F.struct(doc.alias("doc")))))
 
 
+def decoded_documents(raw: DataFrame, contract=CONTRACT) -> DataFrame:
+    """Landed documents, decoded: load time, file, ``accepted``, the header's ``names``, the texts of the records (``data``)
+    and the ``fault``. To be stored where several tables are made of it. Rows of ``raw`` may be marked ``accepted``; the
+    text of others is not looked at."""
+    raw = raw if "accepted" in raw.columns else raw.withColumn("accepted", F.lit(True))
+    docs = _decoded(raw, "loaded_at", "source_file", "accepted", good=F.col("accepted"))
+    return docs.select(
+        "loaded_at", "source_file", "accepted", d.field_names(F.col("doc")).alias("names"), F.col("doc.data").alias("data"),
+        _fault(contract).alias("fault"))
+
+
 def _fault(contract) -> Column:
     missing = d.missing_fields(d.field_names(F.col("doc")), [field for field, _, _ in contract])
     return (
@@ -110,8 +121,12 @@ def landed_records(raw: DataFrame, contract=CONTRACT) -> DataFrame:
 
 def rejected_records(raw: DataFrame) -> DataFrame:
     """Records that are no arrays: their text, document and place. Bronze has a row without values for each."""
-    docs = _decoded(raw, "source_file", "loaded_at")
-    rows = docs.select("source_file", "loaded_at", F.posexplode_outer("doc.data").alias("position", "record"))
+    return records_without_cells(_decoded(raw, "source_file", "loaded_at").withColumn("data", F.col("doc.data")))
+
+
+def records_without_cells(docs: DataFrame) -> DataFrame:
+    """``rejected_records`` of decoded documents."""
+    rows = docs.select("source_file", "loaded_at", F.posexplode_outer("data").alias("position", "record"))
     return rows.where(F.col("position").isNotNull() & d.record_cells("record").isNull()).select(
         "source_file", "loaded_at", F.col("position").cast("long").alias("RECORD_POSITION"), "record")
 
@@ -140,19 +155,30 @@ def parse_documents(
     ``to_rounded_int`` rounds it. ``partitions`` spreads the rows when a few large files
     make few tasks.
     """
+    docs = _decoded(raw, "loaded_at", "source_file").select(
+        "loaded_at", "source_file", d.field_names(F.col("doc")).alias("names"), F.col("doc.data").alias("data"),
+        *([] if on_missing == "null" else [_fault(contract).alias("fault")]))
+    return document_rows(docs, contract, on_missing, load_ts, partitions, int_cast)
+
+
+def document_rows(
+    docs: DataFrame,
+    contract=CONTRACT,
+    on_missing: str = "abort",
+    load_ts: Column | None = None,
+    partitions: int | None = None,
+    int_cast: Callable[[Column], Column] = to_int,
+) -> DataFrame:
+    """``parse_documents`` of decoded documents."""
     if on_missing not in ("abort", "reject", "null"):
         raise ValueError(f"on_missing must be 'abort', 'reject' or 'null', not {on_missing!r}")
     fields = [field for field, _, _ in contract]
-    names = d.field_names(F.col("doc"))
-    docs = _decoded(raw, "loaded_at", "source_file")
     if on_missing != "null":
-        docs = docs.withColumn("fault", _fault(contract))
         message = F.concat(F.col("source_file"), F.lit(" "), F.col("fault"))
         docs = docs.where("fault is null") if on_missing == "reject" else _only(docs, F.col("fault").isNull(), message)
     positions = F.struct(*[d.field_position(F.col("names"), f).alias(f"p{i}") for i, f in enumerate(fields)])
     rows = (
-        docs.select("loaded_at", "source_file", names.alias("names"), F.col("doc.data").alias("data"))
-        .select("loaded_at", "source_file", positions.alias("at"), "data")
+        docs.select("loaded_at", "source_file", positions.alias("at"), "data")
         # The outer form, then a filter: the plain one makes Spark test the array below the decoding,
         # which decodes every document twice.
         .select("loaded_at", "source_file", "at", F.posexplode_outer("data").alias("position", "record"))

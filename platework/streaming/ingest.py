@@ -48,5 +48,10 @@ def landed(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(out_dir).where("accepted").select(*LANDED)
 
 
+def landed_with_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All that has landed, with ``accepted``."""
+    return spark.read.parquet(out_dir).select(*LANDED, "accepted")
+
+
 def landing_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(out_dir).where(~F.col("accepted")).select("source_file", "loaded_at")
