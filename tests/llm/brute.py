@@ -119,3 +119,62 @@ def base(text):
     n = len(w)
     return (
         n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit), n < 50 or 100 * len(hit) > 50 * n)
+
+
+def robust(rows, q):
+    """{place in rows: squared distance}; rows: (group, vector of whole numbers or None). ``q`` holds the constants."""
+    import numpy as np
+
+    least = np.array(list(q.FEATURES.values()))
+    groups = defaultdict(list)
+    for group, x in rows:
+        if x is not None:
+            groups[group].append(x)
+
+    def floored(cov):
+        values, axes = np.linalg.eigh(cov / np.outer(least, least))
+        return cov if values[0] >= 1 else (axes * np.maximum(values, 1)) @ axes.T * np.outer(least, least)
+
+    def distances(x, mean, cov):
+        gap = x / q.UNIT - mean
+        return np.maximum(np.einsum("ni,ij,nj->n", gap, np.linalg.inv(cov), gap), 0)
+
+    def weighted(x, w, share):
+        mean = w @ x / w.sum()
+        cov = (x * w[:, None]).T @ x / w.sum() - np.outer(mean, mean)
+        return mean / q.UNIT, cov / q.UNIT**2 * q._consistency(share)
+
+    def concentrate(x, mean, cov, share):
+        last = np.inf
+        while True:
+            bins = np.floor(np.log2(np.maximum(distances(x, mean, cov), q.LEAST_DISTANCE)) * q.BINS)
+            want, w = share * len(x), np.zeros(len(x))
+            for b in np.unique(bins):
+                here = bins == b
+                w[here] = min(1, max(0, want / here.sum()))
+                want -= min(want, here.sum())
+            new_mean, new_cov = weighted(x, w, share)
+            new_cov = floored(new_cov)
+            new = np.linalg.slogdet(new_cov)[1]
+            if not new < last - q.MIN_FALL:
+                return last, mean, cov
+            mean, cov, last = new_mean, new_cov, new if share == q.SHARE else np.inf
+            share = q.SHARE
+
+    ends, sums = {}, {}
+    for group, vectors in groups.items():
+        x = np.array(vectors, float)
+        low, mid, high = (np.sort(x, axis=0)[max(0, int(np.ceil(len(x) * p)) - 1)] / q.UNIT for p in (0.25, 0.5, 0.75))
+        wide = np.diag(np.maximum((high - low) / 1.349, least) ** 2)
+        plain = weighted(x, np.ones(len(x)), 1.0)
+        starts = [(mid, wide, q.SHARE), (mid, wide, 0.5), (plain[0], floored(plain[1]), q.SHARE)]
+        _, mean, cov = min((concentrate(x, *s) for s in starts), key=lambda e: e[0])
+        sums[group] = x[distances(x, mean, cov) <= q._quantile(1 - q.WITHIN)]
+    held = np.concatenate(list(sums.values()))
+    all_mean, all_cov = weighted(held, np.ones(len(held)), q.WITHIN)
+    for group, x in sums.items():
+        mean, cov = weighted(x, np.ones(len(x)), q.WITHIN)
+        w = len(x) / (len(x) + q.PRIOR_ROWS)
+        ends[group] = (w * mean + (1 - w) * all_mean, floored(w * cov + (1 - w) * all_cov))
+    return {
+        k: float(distances(np.array([x], float), *ends[group])[0]) for k, (group, x) in enumerate(rows) if x is not None}

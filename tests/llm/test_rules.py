@@ -53,6 +53,69 @@ def test_outliers_of_each_statistic(spark):
     assert not any(found[1_000 + k].kept for k in range(5)), {n: found[1_000 + k].d2 for k, n in enumerate(names)}
 
 
+def _against_numpy(spark, df):
+    import math
+
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in df.select("doc_id", "text", "lang", "source").collect()]
+
+    def half_up(v):
+        return math.floor(v * quality.UNIT + 0.5)
+
+    vectors = []
+    for _, text, lang, source in rows:
+        n, chars, symbols, dup, repeated, failed = brute.base(text)
+        lines = sum(bool(brute.WORD.search(x)) for x in (text or "").split("\n"))
+        x = [half_up(v) for v in (
+            math.log1p(n), chars / max(n, 1), math.sqrt(symbols / max(chars, 1)), math.sqrt(dup / max(lines, 1)),
+            math.sqrt(repeated / max(n, 1)))]
+        vectors.append(((lang, source), None if failed else x))
+    want = brute.robust(vectors, quality)
+    got = {(r.doc_id, r.lang, r.source, r.n_words): r for r in quality.judged(df).collect()}
+    assert len(got) == len({(i, la, so, brute.base(t)[0]) for i, t, la, so in rows})
+    differ = 0
+    for k, (i, text, lang, source) in enumerate(rows):
+        row = got[i, lang, source, brute.base(text)[0]]
+        if k in want:
+            assert row.d2 == pytest.approx(want[k], rel=1e-6, abs=1e-6)
+            assert row.kept == (want[k] <= quality.CUTOFF)
+            differ += not row.kept
+        else:
+            assert not row.kept
+    return differ
+
+
+def test_verdicts_are_those_of_numpy(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("etaoinshr", k=rng.randint(2, 9))) for _ in range(800)]
+    docs = []
+    for k in range(700):
+        text = " ".join(rng.choices(vocabulary, k=rng.randint(40, 600)))
+        if k % 50 == 0:
+            text = " ".join(w + "#$" for w in text.split())
+        lang, source = rng.choice([("en", "web"), ("en", "web"), ("en", "books"), ("de", None), (None, "x")])
+        docs += [(k, text, lang, source)] * (40 if k == 3 else 1)
+    docs += [(2_000, "so " * 70, "xx", "alone"), (2_001, " ".join(vocabulary[:200]), "yy", "alone"), (2_002, None, "en", "web")]
+    docs = [(i, t, la, so) for i, (_, t, la, so) in enumerate(docs)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    assert _against_numpy(spark, df) >= 10
+
+
+def test_verdicts_on_the_drivers_documents_are_those_of_numpy(spark):
+    from pathlib import Path
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not Path(path).exists():
+        pytest.skip("no driver tables")
+    assert _against_numpy(spark, spark.read.parquet(path)) > 0
+
+
+def test_steps_end_where_rows_lie_at_the_edge(spark):
+    """Two shapes of equal weight: no step count is set, and the end comes."""
+    docs = [(k, " ".join(["ab"] * (60 + k % 2 * 300 + j))) for k in range(40) for j in range(5)]
+    docs = [(i, " ".join(f"{w}{n}" for n, w in enumerate(t.split()))) for i, (_, t) in enumerate(docs)]
+    assert quality.judged(frame(spark, docs)).where("kept").count() == 200
+
+
 def test_cutoff_and_floor():
     draws = np.random.default_rng(0).chisquare(5, 200_000)
     assert abs((draws > quality._quantile(0.025)).mean() - 0.025) < 0.002 and abs(quality.CUTOFF - 35.89) < 0.01
