@@ -6,13 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platework.bindings.feed import applications, bronze
+from platework.bindings.feed import EVENT_CONTRACT, LINE_CONTRACT, Layers, applications, bronze, event_documents, text_documents
 from platework.bindings.feed_sql import over_feed
-from platework.bindings.registrations import _SILVER, _amounts, _metrics_sql, _moment
+from platework.bindings.registrations import _SHARED, _SILVER, _amounts, _metrics_sql, _moment
 from platework.bindings.registry import query
 from platework.bindings.streams import _supplier_documents, _write_files
-from platework.plans import health, quality, run, store
+from platework.operators.lookups import hot_keys
+from platework.plans import distinct, gold, health, quality, run, store
+from platework.plans.semantic import drill_across
 from platework.schemas import CONTRACT
+from platework.sources import documents
 from platework.session import new_folder
 from platework.sources.tables import write_table
 
@@ -176,3 +179,76 @@ def written_metrics_strict(spark, sf):
 def written_reconciliation(spark, sf):
     layers = run.load_all(spark, _in_waves(spark, sf, "written-reconciliation"), ["bronze", "silver", "quarantine"])
     return quality.reconciliation_metric(*layers.values())
+
+
+# Distinct counts, hot places, drill-across and drift
+
+def _bitmaps(spark, sf, label: str, by: list[str]) -> str:
+    """Three runs, each with a part of the rows; most vehicles are in several."""
+    root, rows = new_folder(spark, label), bronze(spark, sf)
+    for wave in range(3):
+        mine = rows.where(F.col("RECORD_POSITION") % 10 % 3 == wave)
+        distinct.add_distinct(spark, root, mine, "VIN", by, run.utc_now())
+    return root
+
+
+@query(over_feed("SELECT MAKE, STATE, count(DISTINCT VIN) AS vehicles FROM bronze WHERE VIN IS NOT NULL GROUP BY 1, 2"))
+def distinct_vins_by_make(spark, sf):
+    """Exact distinct vehicles per make and state, merged from the bitmaps of three runs."""
+    return distinct.distinct_kept(spark, _bitmaps(spark, sf, "bitmaps", ["MAKE", "STATE"]), ["MAKE", "STATE"], "vehicles")
+
+
+@query(over_feed("SELECT count(DISTINCT VIN) AS vehicles FROM bronze"))
+def distinct_vins_over_runs(spark, sf):
+    """The same bitmaps rolled up: vehicles are not counted twice for having changed their make."""
+    return distinct.distinct_in_all(spark, _bitmaps(spark, sf, "rolled-up", ["MAKE"]), "vehicles")
+
+
+@query(over_feed(_SHARED.format(geo="geo_by_key")))
+def shared_view_hot_places(spark, sf):
+    """The flat view where frequent places were observed as the fact was written: the fact is read once."""
+    layers, root = Layers(spark, sf, grain="key", stored=True), new_folder(spark, "hot-places")
+    batch = store.begin(spark, root, "gold", ["fact"], run.utc_now())
+    entry = store.write(layers.fact(), root, "fact", batch, measures={"hot": hot_keys("GEO_KEY")})
+    fact = store.load(spark, root, "fact", store.Table([entry], [entry]))
+    return _amounts(gold.shared_registrations(fact, layers.dim_vehicle(), layers.dim_geography(), hot=entry.facts["hot"]))
+
+
+@query(over_feed("""SELECT EV_TYPE, CAST(y.n AS BIGINT) AS agg_by_year_total_registrations, latest_cumulative, CAST(c.n AS BIGINT) AS agg_by_county_total_registrations,
+  registration_count, total_applications
+FROM (SELECT EV_TYPE, sum(REGISTRATION_COUNT) AS n, max(CUMULATIVE_COUNT) AS latest_cumulative FROM by_year GROUP BY 1) y
+FULL JOIN (SELECT EV_TYPE, sum(REGISTRATION_COUNT) AS n FROM by_county GROUP BY 1) c USING (EV_TYPE)
+FULL JOIN (SELECT EV_TYPE, count(*) AS registration_count FROM silver GROUP BY 1) f USING (EV_TYPE)
+FULL JOIN (SELECT EV_TYPE, count(*) AS total_applications FROM silver JOIN apps ON silver.VIN = apps.vin GROUP BY 1) a USING (EV_TYPE)"""))
+def measures_across_grains(spark, sf):
+    """Year, county, registration and application measures in one answer, each table at its own grain."""
+    tables = Layers(spark, sf, grain="key", stored=True).tables(
+        "agg_by_year", "agg_by_county", "fact_registrations", "dim_vehicle", "dim_geography", "incentive_applications")
+    return drill_across(tables, [
+        "agg_by_year.total_registrations", "latest_cumulative", "agg_by_county.total_registrations", "registration_count"], ["EV_TYPE"]).join(
+        drill_across(tables, ["registration_count", "total_applications"], ["EV_TYPE"]).select("EV_TYPE", "total_applications"), "EV_TYPE", "left")
+
+
+@query(over_feed("""SELECT coalesce(y.d, m.d, s.d) AS MODEL_YEAR, CAST(y.n AS BIGINT) AS agg_by_year_total_registrations, registration_count, avg_electric_range
+FROM (SELECT MODEL_YEAR AS d, sum(REGISTRATION_COUNT) AS n FROM by_year GROUP BY 1) y
+FULL JOIN (SELECT MODEL_YEAR AS d, count(*) AS registration_count, avg(ELECTRIC_RANGE) AS avg_electric_range FROM silver GROUP BY 1) s ON y.d IS NOT DISTINCT FROM s.d
+LEFT JOIN (SELECT NULL::INTEGER AS d) m ON false"""))
+def year_measures_across_grains(spark, sf):
+    """By a dimension with a null: its group is matched like any other."""
+    tables = Layers(spark, sf, grain="key", stored=True).tables("agg_by_year", "fact_registrations", "dim_vehicle", "dim_geography")
+    found = drill_across(tables, ["agg_by_year.total_registrations", "registration_count", "avg_electric_range"], ["MODEL_YEAR"])
+    return found.withColumnRenamed("total_registrations", "agg_by_year_total_registrations")
+
+
+_LINES = """SELECT '{0}' AS field, {1} AS in_contract, (SELECT count(*) FROM documents WHERE text IS NOT NULL) - {2} AS documents, {2} AS lacking,
+  (SELECT coalesce(sum(len(string_split(text, chr(10)))), 0)::BIGINT FROM documents WHERE {3}) AS cells,
+  (SELECT coalesce(sum(len(string_split(text, chr(10)))), 0)::BIGINT FROM documents WHERE {3}{4}) AS filled, 'STRING' AS cell_type"""
+_NOT_FR, _FR = "(SELECT count(*) FROM documents WHERE lang = 'fr')", "(SELECT count(*) FROM documents WHERE lang <> 'fr')"
+
+
+@query(" UNION ALL ".join(_LINES.format(*row) for row in (
+    ("line_no", True, "0::BIGINT", "true", ""), ("line", True, "0::BIGINT", "true", ""), ("source", True, "0::BIGINT", "true", ""),
+    (":sid", False, _NOT_FR, "lang <> 'fr'", ""), (":x", False, _FR, "lang = 'fr'", ""))))
+def header_drift(spark, sf):
+    """Per field: documents that have it and lack it, cells and their type; two headers in different order."""
+    return documents.field_report(text_documents(spark, sf), LINE_CONTRACT)

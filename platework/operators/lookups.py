@@ -75,6 +75,34 @@ def spread_left_join(
     return joined.drop("__part")
 
 
+#: Keys that are told apart as hot, at most; the sketch tracks many more, so that counts are off by a small share only.
+HOT_KEYS, TRACKED = 64, 4096
+
+
+def hot_keys(column: str) -> Column:
+    """An aggregate to observe while a table is written: its most frequent keys with their approximate counts."""
+    return F.expr(f"approx_top_k(`{column}`, {HOT_KEYS}, {TRACKED})")
+
+
+def dealt_left_join(
+    df: DataFrame, lookup: DataFrame, left: str, right: str, hot: list[tuple[object, int]], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``spread_left_join`` on one key whose frequent values are known, as from ``hot_keys``: ``df`` is read once, and only
+    the rows of values with more than ``rows_per_task`` rows, and those without a key, are dealt out.
+
+    The counts only say how many parts a value is dealt over, so rows are right whatever the sketch has missed.
+    """
+    parts = {k: -(-n // rows_per_task) for k, n in hot if k is not None and n > rows_per_task}
+    deal = F.when(F.col(left).isNull(), F.lit(_KEYLESS_PARTS))
+    copies = F.lit(1)
+    for value, n in parts.items():
+        deal = deal.when(F.col(left) == F.lit(value), F.lit(n))
+        copies = F.when(F.col(right) == F.lit(value), F.lit(n)).otherwise(copies)
+    rows = df.withColumn("__part", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), deal.otherwise(1).cast("long")).cast("int"))
+    dealt = lookup.withColumn("__lookup_part", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return left_lookup(rows, dealt, {left: right, "__part": "__lookup_part"}).drop("__part")
+
+
 def unique_lookup(df: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFrame:
     """Left join against a lookup whose keys are counted first: a repeated one would multiply rows, so it raises.
 

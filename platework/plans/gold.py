@@ -10,7 +10,7 @@ from platework.functions.text import geo_key
 from platework.functions.times import wall_clock
 from platework.operators.grouped import running_total
 from platework.operators.latest import dedup_latest
-from platework.operators.lookups import left_lookup, spread_left_join
+from platework.operators.lookups import dealt_left_join, left_lookup, spread_left_join
 
 VEHICLE_COLUMNS = ["VIN", "MAKE", "MODEL", "MODEL_YEAR", "EV_TYPE", "ELECTRIC_RANGE", "BASE_MSRP"]
 GEOGRAPHY_COLUMNS = [
@@ -113,19 +113,24 @@ def agg_by_year_of(cells: DataFrame) -> DataFrame:
 
 
 def shared_registrations(
-    fact: DataFrame, vehicles: DataFrame, geography: DataFrame, spread: bool = False
+    fact: DataFrame, vehicles: DataFrame, geography: DataFrame, spread: bool = False,
+    hot: list[tuple[str, int]] | None = None,
 ) -> DataFrame:
     """The star as one flat table.
 
     VIN is unique on both sides, but a place may hold any share of the fact. By default the join is left
     to Spark, which broadcasts a geography of few bytes and else splits skewed places as it runs;
-    ``spread`` counts the places first and deals those with many rows over many tasks.
+    ``spread`` counts the places first and deals those with many rows over many tasks; ``hot`` places that were observed
+    while the fact was written (``hot_keys``) are dealt out without counting.
     """
     facts = fact.withColumnRenamed("MODEL_YEAR", "FACT_YEAR")
     vehicles = vehicles.drop("MODEL_YEAR").withColumnRenamed("VIN", "V_VIN")
     places = geography.withColumnRenamed("GEO_KEY", "G_KEY")
     # Geography first: finding the hot places then reads one column of the fact and nothing else.
-    flat = (spread_left_join if spread else left_lookup)(facts, places, {"GEO_KEY": "G_KEY"})
+    if hot is not None:
+        flat = dealt_left_join(facts, places, "GEO_KEY", "G_KEY", hot)
+    else:
+        flat = (spread_left_join if spread else left_lookup)(facts, places, {"GEO_KEY": "G_KEY"})
     flat = left_lookup(flat, vehicles, {"VIN": "V_VIN"}).withColumnRenamed("FACT_YEAR", "MODEL_YEAR")
     own = [c for c in FACT_COLUMNS if c != "GEO_KEY"]
     return flat.select(*own, *[c for c in VEHICLE_COLUMNS if c not in own], *GEOGRAPHY_COLUMNS)

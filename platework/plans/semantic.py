@@ -225,3 +225,39 @@ def semantic_query(
     everything = {**own, **nested}
     merged = grouped.withColumnsRenamed({f"__{p}": p for m in everything.values() for p in m.partials})
     return merged.select(*dims, *[F.expr(everything[resolve_measure(n)[1]].final).alias(n.split(".")[-1]) for n in measures])
+
+
+def drill_across(
+    tables: dict[str, DataFrame],
+    measures: list[str],
+    dims: list[str] = (),
+    filters: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Measures of tables of different grain in one answer: each table is grouped by itself, by the dimensions that all of
+    them reach, and the groups are put side by side. No table's rows are multiplied by another's, so totals are those of
+    each table alone; a group that one table lacks has NULL in its measures. Filters must be on columns that all reach.
+    Measures of one name come as ``table_measure``.
+    """
+    short = [n.split(".")[-1] for n in measures]
+    names = {n: n.replace(".", "_") if short.count(s) > 1 else s for n, s in zip(measures, short, strict=True)}
+    by_table: dict[str, list[str]] = {}
+    for name in measures:
+        by_table.setdefault(resolve_measure(name)[0], []).append(name)
+    merged = None
+    for own in by_table.values():
+        one = semantic_query(tables, own, dims, filters).withColumnsRenamed({n.split(".")[-1]: names[n] for n in own})
+        merged = one if merged is None else _side_by_side(merged, one, list(dims))
+    return merged.select(*dims, *names.values())
+
+
+def _side_by_side(left: DataFrame, right: DataFrame, dims: list[str]) -> DataFrame:
+    """Full outer join of grouped rows; nulls are dimensions like any other, so that the side decides whose are taken."""
+    keys = {d: f"__{d}" for d in dims}
+    right = right.withColumnsRenamed(keys).withColumn("__right", F.lit(1))
+    left = left.withColumn("__left", F.lit(1))
+    same = left["__left"] == right["__right"]
+    for d, k in keys.items():
+        same = same & left[d].eqNullSafe(right[k])
+    measured = [c for c in [*left.columns, *right.columns] if c not in {*dims, *keys.values(), "__left", "__right"}]
+    return left.join(right, same, "full").select(
+        *[F.when(F.col("__left").isNotNull(), F.col(d)).otherwise(F.col(k)).alias(d) for d, k in keys.items()], *measured)

@@ -104,7 +104,8 @@ def bucket_of(key: str, buckets: int) -> Column:
 
 
 def per_bucket(bucket: Column, buckets: int) -> Column:
-    """Rows per bucket, as an aggregate that can be observed: a histogram with a bin for every bucket there may be."""
+    """Rows per bucket, as an aggregate that can be observed: a histogram with a bin for every bucket there may be, so that
+    only bins of one and the same bucket are ever merged."""
     return F.histogram_numeric(bucket.cast("double"), F.lit(max(2, buckets)))
 
 
@@ -151,13 +152,22 @@ def write(
         writer = writer.partitionBy(BUCKET)
     writer.save(f"{_path(root, name)}/{RUN}={batch.run}")
     found = observed.get
-    counts = {int(x["x"]): int(x["y"]) for x in found.get("by_bucket") or ()}
-    found = {n: [int(x["x"]) for x in v] if isinstance(v, list) else v for n, v in found.items()}
+    counts: dict[int, int] = {}
+    for x in found.get("by_bucket") or ():
+        # bins of a bucket may stand side by side, and merged ones lie where the division of their mean left them
+        bucket = round(x["x"])
+        counts[bucket] = counts.get(bucket, 0) + round(x["y"])
+    found = {n: [_plain(x) for x in v] if isinstance(v, list) else v for n, v in found.items()}
     return Entry(
         name, batch.run, batch.number, df.schema, found["rows"], adds, whole and not adds, buckets, counts,
         {**(facts or {}), **{n: found[n] for n in measures}})
 
 
+def _plain(row):
+    """A bin of a histogram as its bucket, a frequent key with its count as a pair."""
+    return round(row["x"]) if "x" in row else (row["item"], row["count"])
+
+
 def publish(spark: SparkSession, root: str, entries: list[Entry], now: datetime) -> None:
     """Make folders that were written whole count, all at once."""
     rows = [

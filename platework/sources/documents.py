@@ -198,3 +198,40 @@ def document_rows(
         F.col("source_file").alias("SOURCE_FILE"),
         F.col("position").cast("long").alias("RECORD_POSITION"),
     )
+
+
+def field_report(raw: DataFrame, contract=CONTRACT) -> DataFrame:
+    """Drift of headers and cells against the contract, a row per field: ``in_contract``, ``documents`` whose header has it,
+    ``lacking`` (documents with a header that have not), ``cells`` (records that reach it), ``filled`` and ``cell_type``, the
+    type that all its cells fit.
+
+    Each text is parsed once, into a variant; header and records are read from that. Texts that are no JSON or have no
+    header are not counted. Of fields that a header names twice the last counts, as in parsing.
+    """
+    contract_names = [field for field, _, _ in contract]
+    parsed = raw.select("source_file", F.inline_outer(F.array(F.struct(F.try_parse_json("raw_data").alias("doc")))))
+    heads = parsed.select(
+        "source_file", "doc", F.transform(
+            F.try_variant_get("doc", "$.meta.view.columns", "array<struct<fieldName string>>"), lambda c: c["fieldName"]).alias("names"),
+    ).where("names IS NOT NULL")
+    spark = raw.sparkSession
+    records = heads.lateralJoin(
+        spark.tvf.variant_explode(F.try_variant_get(F.col("doc"), "$.data", "variant").outer()).toDF("record_pos", "record_key", "record"))
+    cells = records.select("names", "record").lateralJoin(
+        spark.tvf.variant_explode(F.col("record").outer()).toDF("cell_pos", "cell_key", "cell"))
+    name = F.get("names", F.col("cell_pos"))
+    last = F.size("names") - F.array_position(F.reverse("names"), name)
+    by_field = cells.where((F.col("cell_pos") == last) & F.col("cell_key").isNull()).groupBy(name.alias("field")).agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(~F.is_variant_null("cell")).alias("filled"),
+        F.schema_of_variant_agg("cell").alias("cell_type"))
+    # a document is one row here; its fields and those that it lacks are counted together
+    wanted = F.array(*[F.lit(c) for c in contract_names])
+    seen = heads.select(F.explode(F.concat(
+        F.transform(F.array_distinct("names"), lambda n: F.struct(n.alias("field"), F.lit(True).alias("has"))),
+        F.transform(F.array_except(wanted, "names"), lambda n: F.struct(n.alias("field"), F.lit(False).alias("has"))))).alias("f"))
+    counted = seen.groupBy("f.field").agg(F.count_if("f.has").alias("documents"))
+    total = heads.agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(by_field, "field", "left").select(
+        "field", F.col("field").isin(contract_names).alias("in_contract"), "documents",
+        (total.scalar() - F.col("documents")).alias("lacking"), F.coalesce("cells", F.lit(0)).cast("long").alias("cells"),
+        F.coalesce("filled", F.lit(0)).cast("long").alias("filled"), "cell_type")

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 from datetime import date
 from decimal import Decimal
@@ -5,7 +6,7 @@ from decimal import Decimal
 import pytest
 from samples import FIELDS, T0, document, faulty_registrations, mixed_registrations, registration
 
-from platework.plans import quality, run
+from platework.plans import quality, run, store
 from platework.schemas import INCENTIVE_APPLICATIONS
 from platework.session import new_folder, shared_folder
 
@@ -71,6 +72,89 @@ def test_broken_step_leaves_the_tables_before(spark, tmp_path, monkeypatch):
     assert run.load(spark, cfg, "bronze").count() == run.load(spark, cfg, "fact_registrations").count() == 2
 
 
+class Stopped(Exception):
+    pass
+
+
+def stopping(cfg, at):
+    def stop(step):
+        if step == at:
+            raise Stopped
+    return dataclasses.replace(cfg, before_publish=stop)
+
+
+@pytest.mark.parametrize("step", ["bronze", "silver", "gold"])
+def test_a_run_that_ends_before_it_publishes_loses_nothing(spark, tmp_path, step):
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"), buckets=4)
+    put(tmp_path / "in", "one.json", [registration("A1"), registration("A2", COUNTY="Pierce")])
+    run.refresh(spark, cfg)
+    put(tmp_path / "in", "two.json", [registration("B1"), registration("A2", COUNTY="Kitsap")])
+    with pytest.raises(Stopped):
+        run.refresh(spark, stopping(cfg, step))
+    assert {r["VIN"] for r in run.load(spark, cfg, "fact_registrations").collect()} == {"A1", "A2"}
+    put(tmp_path / "in", "three.json", [registration("C1")])
+    run.refresh(spark, cfg)
+    found = run.load_all(spark, cfg)
+    assert found["bronze"].count() == 5
+    for name in ("silver", "fact_registrations", "dim_vehicle"):
+        assert sorted(r["VIN"] for r in found[name].collect()) == ["A1", "A2", "B1", "C1"]
+    assert {(r["COUNTY"], r["REGISTRATION_COUNT"]) for r in found["agg_by_county"].collect()} == {("KING", 3), ("KITSAP", 1)}
+    assert {r["COUNTY"] for r in found["dim_geography"].collect()} == {"KING", "KITSAP"}
+
+
+def test_rejected_documents_fail_the_check(spark, tmp_path):
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"))
+    put(tmp_path / "in", "good.json", [registration("A1")])
+    short = document([registration(f"B{k}") for k in range(5)], [f for f in FIELDS if f != "make"])
+    (tmp_path / "in" / "short.json").write_text(short)
+    (tmp_path / "in" / "none.json").write_text("{cut off")
+    assert run.refresh(spark, cfg)["check"] == "FAILURE"
+    lost = run.load(spark, cfg, "metric_history").where("METRIC_NAME = 'RECORDS_LANDED_NOT_PARSED'").first()
+    assert lost["VALUE"] == 6  # five records, and a document whose records cannot be counted
+    assert {r["reason"] for r in run.load(spark, cfg, "document_faults").collect()} == {"lacks make", "not a JSON document"}
+    put(tmp_path / "in", "more.json", [registration("A2")])
+    run.refresh(spark, cfg)
+    assert run.load(spark, cfg, "document_faults").count() == 2 and run.load(spark, cfg, "bronze").count() == 2
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    applications = str(tmp_path / "applications")
+    app = lambda k, vin: (k, vin, date(2026, 1, 1), "98101", "BEV", "T", "3", 2026, Decimal(7500), "APPROVED", None, None, T0)
+    spark.createDataFrame([app(1, "V1")], INCENTIVE_APPLICATIONS).write.parquet(applications)
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"), applications, buckets=16)
+    put(tmp_path / "in", "one.json", [registration(f"V{k}") for k in range(64)])
+    run.refresh(spark, cfg)
+    put(tmp_path / "in", "two.json", [registration("V5", COUNTY="Pierce")])
+    run.refresh(spark, cfg)
+    at = store.published(spark, cfg.root)
+    assert all(len(at[n].last.buckets) == 1 for n in ("latest", "silver", "quarantine", "dim_vehicle", "fact_registrations"))
+    assert at["silver"].rows == 64 and run.load(spark, cfg, "silver").where("COUNTY = 'PIERCE'").count() == 1
+    # a changed application touches its vehicle's bucket, without new bronze rows
+    spark.createDataFrame([app(2, "V9")], INCENTIVE_APPLICATIONS).write.mode("append").parquet(applications)
+    spark.catalog.refreshByPath(applications)
+    run.refresh(spark, cfg)
+    again = store.published(spark, cfg.root)
+    assert len(again["silver"].last.buckets) == 1 and again["silver"].batch > at["silver"].batch
+    assert {r["VIN"] for r in run.load(spark, cfg, "silver").where("APPLICATION_STATUS = 'APPROVED'").collect()} == {"V1", "V9"}
+    # nothing new, nothing written
+    run.refresh(spark, cfg)
+    assert store.published(spark, cfg.root)["silver"].batch == again["silver"].batch
+    health = run.written_health(spark, cfg).first()
+    assert (health["bronze_parsed"], health["bronze_distinct_vins"], health["silver"], health["gold_fact"]) == (65, 64, 64, 64)
+    assert health["reconciliation_status"].startswith("PASS") and health["raw_variant"] == 2
+
+
+def test_cells_are_added_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(run, "COMPACT_EVERY", 2)
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"), buckets=4)
+    for k in range(5):
+        put(tmp_path / "in", f"{k}.json", [registration("A1", COUNTY=f"C{k}"), registration(f"B{k}")])
+        run.refresh(spark, cfg)
+    assert len(store.published(spark, cfg.root)["cells"].plain) <= 2
+    found = {(r["COUNTY"], r["REGISTRATION_COUNT"]) for r in run.load(spark, cfg, "agg_by_county").collect()}
+    assert found == {("KING", 5), ("C4", 1)}
+
+
 def test_fresh_layers_are_left_alone(spark, tmp_path):
     put(tmp_path / "in", "one.json", [registration("A1")])
     cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"), silver_lag_minutes=60, gold_lag_minutes=0)
