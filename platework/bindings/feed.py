@@ -43,8 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt out by their keys before costly work on each: a table may lie in one file, or in few."""
-    return df.repartition(*keys)
+    """Rows dealt out by their keys before costly work on each, where the table lies in fewer files than there are cores;
+    else the files deal it out, and nothing is shuffled."""
+    return df.repartition(*keys) if len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism else df
 
 
 def _text(column) -> Column:
