@@ -5,8 +5,9 @@ Training words are streamed through the automaton, which gives the longest match
 the items, and stretches without as many consecutive word pairs of the items as the shortest window has, cannot end a
 window and are skipped at once.
 
-The items are taken in blocks of bounded size, so that what is sent to the executors is bounded however many items
-there are: an automaton has at most two states per word, and every document meets every block.
+The items are taken in blocks of bounded size, one at a time, so that what the driver holds and sends to the executors is
+bounded however many items there are, and however long: an automaton has at most two states per word, and every document
+meets every block.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platework.llm.common import as_bytes, in_batches, row_hash, same
+from platework.llm.common import as_bytes, in_batches, row_hash, same, stored
 
 WINDOW = 10
 #: Words of the items in a block; with the bytes of their texts this bounds the driver's and the executors' memory.
@@ -28,6 +29,8 @@ MAX_COVERAGE = 0.5
 #: Lower case for A-Z; every other ASCII character that is no digit or letter parts words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _WORD = re.compile(rb"[^\x20]+")
+#: The same for texts in lower case, as a pattern.
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PAIRS = 1 << 20
 
 
@@ -158,12 +161,32 @@ def spans(hit: np.ndarray) -> list[list[int]]:
     return np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).reshape(-1, 2).tolist()
 
 
-def blocks(benchmark: DataFrame, item_column: str, text_column: str, limit: int) -> list:
-    """The items dealt by hash into blocks of about ``limit`` words, each read by itself."""
-    rows = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text")).where("text is not null")
-    size = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = -(-size // limit) or 1
-    return [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
+def pieces(benchmark: DataFrame, item_column: str, text_column: str, window: int, limit: int) -> DataFrame:
+    """(item, words) of the distinct items; one of more than ``limit`` words in pieces that overlap by all but a word of a
+    window, so that they have its windows and no others."""
+    lower = F.translate(F.col(text_column), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = benchmark.select(
+        F.col(item_column).alias("item"), F.regexp_extract_all(lower, F.lit(f"({_ITEM_WORD})"), F.lit(1)).alias("words"))
+    rows = rows.where(F.size("words") > 0).distinct()
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(limit))
+    return rows.select("item", "words", F.explode(starts).alias("start")).select(
+        "item", F.slice("words", F.col("start") + 1, F.lit(limit + window - 1)).alias("words"))
+
+
+def blocks(found: DataFrame, limit: int) -> list[DataFrame]:
+    """Stored pieces dealt into blocks. They are counted by many small hash buckets, and as many of these make a block as
+    stay below ``limit`` words; at most one bucket's words more."""
+    total = found.agg(F.sum(F.size("words"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("item", "words"), F.lit(max(1, 16 * total // limit)))
+    sizes = found.groupBy(bucket.alias("bucket")).agg(F.sum(F.size("words")).alias("n")).orderBy("bucket").collect()
+    dealt, size = [[]], 0
+    for row in sizes:
+        if size and size + row["n"] > limit:
+            dealt.append([])
+            size = 0
+        dealt[-1].append(row["bucket"])
+        size += row["n"]
+    return [found] if len(dealt) == 1 else [found.where(bucket.isin(b)) for b in dealt]
 
 
 def matches(
@@ -173,18 +196,22 @@ def matches(
     """Per row: the id, ``text_hash``, ``n_words``, ``spans`` (runs of hit words: first, one after the last), ``items``
     (sorted ids of items with occurring windows) and ``longest`` (words of the longest match).
 
-    A null text has no words, like an empty one. Items with null or wordless texts have no windows; equal items count
-    each. Rows equal in id and text give one row with ``copies``; rows that only share an id are told apart by
-    ``text_hash``. An empty benchmark hits nothing. Other columns are not read.
+    A null text has no words, like an empty one. Items with null or wordless texts have no windows. Item ids may be of any
+    type; items that share an id, a null one too, count as one. Rows equal in id and text each give a row; rows that only
+    share an id are told apart by ``text_hash``. An empty benchmark hits nothing. Other columns are not read.
+
+    The driver holds one block of items at a time: its automaton goes to the executors, and is given up once the block's
+    matches are stored.
     """
     spark = df.sparkSession
     kind = df.schema[id_column].dataType.simpleString()
     rows = df.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), row_hash(text_column).alias("text_hash"))
+    item_kind = benchmark.schema[item_column].dataType.simpleString()
     found = []
-    dealt = blocks(benchmark, item_column, item_text, block_words)
+    dealt = blocks(stored(pieces(benchmark, item_column, item_text, window, block_words), "items"), block_words)
     for block in dealt:
-        items = [(r.item, words_of(r.text.encode())) for r in block.collect()]  # bounded by block_words
+        items = [(r.item, [w.encode() for w in r.words]) for r in block.collect()]  # bounded by block_words
         shared = spark.sparkContext.broadcast(Automaton(items, window))
 
         def run(batch, shared=shared):
@@ -193,16 +220,18 @@ def matches(
             for text in as_bytes(batch["text"]):
                 words = words_of(text or b"")
                 hit, items, longest = automaton.match(words)
-                each.append((len(words), spans(hit) if longest else [], [x for x in items if x is not None], longest))
+                each.append((len(words), spans(hit) if longest else [], list(items), longest))
             for name, values in zip(("n_words", "spans", "items", "longest"), zip(*each, strict=True), strict=True):
                 out[name] = list(values)
             return out
 
-        found.append(in_batches(
+        matched = in_batches(
             rows, run,
-            f"id {kind}, text_hash long, n_words long, spans array<array<int>>, items array<long>, longest int"))
-    if len(found) == 1:
-        return found[0].withColumn("items", F.sort_array("items")).withColumnRenamed("id", id_column)
+            f"id {kind}, text_hash long, n_words long, spans array<array<int>>, items array<{item_kind}>, longest int")
+        if len(dealt) == 1:
+            return matched.withColumn("items", F.array_sort("items")).withColumnRenamed("id", id_column)
+        found.append(stored(matched, "matches"))
+        shared.destroy()
     every = found[0]
     for other in found[1:]:
         every = every.unionByName(other)

@@ -99,7 +99,7 @@ def leaks(docs, items, window=10):
                 if x in shapes:
                     hit[at : at + n] = [True] * n
                     found |= shapes[x]
-        names = ",".join(sorted(str(x) for x in found))
+        names = ",".join(sorted(str(x) for x in found if x is not None))
         out[k] = (len(w), sum(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), any(hit))
     return out
 
