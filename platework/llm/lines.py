@@ -1,10 +1,12 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
 A line goes down a tree of fixed depth: number of tokens, then its leading tokens, with tokens that hold a digit read
-as variable. The lines that meet in a leaf share a template where they agree: a token that most documents' lines have
-at a place is constant there, any other place is a variable field. A line that has all constant tokens belongs to the
-leaf's template, if enough of its places are constant; every other line is a template of its own. Templates found in
-``min_docs`` documents or more are dropped everywhere but where they stand first (smallest document, first line).
+as variable. Where too few documents share the leading tokens for a template to recur, one of them may be a variable
+field, and the line goes down by its trailing tokens instead. The lines that meet in a leaf share templates where they
+agree: a token that ``min_docs`` documents' lines, and a share of the leaf's, have at a place is constant there, any other
+is the value of a variable field. What is left of a line with its values masked is its template, so that a leaf has as
+many as its lines agree on, if enough of the places are constant; else the line is a template of its own. Templates found
+in ``min_docs`` documents or more are dropped everywhere but where they stand first (smallest document, first line).
 
 Lines are counted per leaf and distinct line before tokens are looked at, so a line that a third of all documents hold
 is one row by then; joins on leaves and lines are plain equi-joins that Spark can split.
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from platework.llm.common import row_hash, same, stored
 
 DEPTH, MIN_DOCS, MIN_CONSTANT = 3, 10, 0.6
+#: Part of a leaf's documents that have a constant token at least: a leaf holds up to as many templates as fit.
+MIN_SHARE = 0.05
 #: Words from which a line is a passage, and documents from which that recurs.
 LONG_WORDS, LONG_MIN_DOCS = 8, 2
 VARIABLE = "<*>"
@@ -28,7 +32,8 @@ _BLANKS = " \t\r\f\x0b"
 
 
 def parsed_lines(df: DataFrame, id_column: str, text_column: str, depth: int) -> DataFrame:
-    """A row per line with a token: document, place, tokens with variable fields, leaf and line."""
+    """A row per line with a token: document, place, tokens with variable fields, leaves by leading and by trailing tokens,
+    and line."""
     rows = df.select(
         F.col(id_column).alias("id"), row_hash(text_column).alias("text_hash"),
         F.posexplode(F.split(F.col(text_column), "\n")).alias("pos", "line"))
@@ -39,40 +44,48 @@ def parsed_lines(df: DataFrame, id_column: str, text_column: str, depth: int) ->
     found = rows.withColumn("line", line).where("line != ''").withColumn("tokens", F.split(masked, r"\s+"))
     return found.select(
         "id", "text_hash", "pos", "tokens",
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("line"))
-
-
-def templates(lines: DataFrame, keys: DataFrame, min_docs: int, min_constant: float) -> DataFrame:
-    """Per distinct line of a leaf that may hold a recurring template: (leaf, line, template)."""
-    counted = keys.select("id", "text_hash", "leaf", "line").distinct().groupBy("leaf", "line").agg(
-        F.count("*").alias("n_docs"))
-    busy = counted.groupBy("leaf").agg(F.sum("n_docs").alias("all_docs")).where(F.col("all_docs") >= min_docs)
-    wanted = stored(counted.join(busy, "leaf"), "lines")
-    tokens = lines.select("leaf", "line", "tokens").join(
-        wanted.select("leaf", "line"), ["leaf", "line"]).groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
-    known = stored(tokens.join(wanted, ["leaf", "line"]), "tokens")
+        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("lead"),
+        F.xxhash64(F.size("tokens"), F.slice(F.reverse("tokens"), 1, depth), F.lit("trailing")).alias("trail"),
+        F.xxhash64("tokens").alias("line"))
+
+
+def templates(lines: DataFrame, keys: DataFrame, min_docs: int, min_constant: float, min_share: float) -> DataFrame:
+    """Per distinct line of a leaf that may hold a recurring template: (line, leaf, template)."""
+    counted = stored(keys.select("id", "text_hash", "lead", "trail", "line").distinct().groupBy("lead", "trail", "line").agg(
+        F.count("*").alias("n_docs")), "distinct-lines")
+    leading = stored(counted.groupBy("lead").agg(F.sum("n_docs").alias("lead_docs")).where(F.col("lead_docs") >= min_docs), "leads")
+    placed = stored(counted.join(leading, "lead", "left").select(
+        "line", "n_docs", F.when(F.col("lead_docs").isNull(), F.col("trail")).otherwise(F.col("lead")).alias("leaf")), "leaves")
+    busy = stored(placed.groupBy("leaf").agg(F.sum("n_docs").alias("all_docs")).where(F.col("all_docs") >= min_docs), "busy")
+    wanted = stored(placed.join(busy, "leaf"), "lines")
+    tokens = lines.select("line", "tokens").join(wanted.select("line"), "line").groupBy("line").agg(F.first("tokens").alias("tokens"))
+    known = stored(tokens.join(wanted, "line"), "tokens")
     each = known.select("leaf", "all_docs", "n_docs", F.posexplode("tokens").alias("place", "token"))
     constant = each.groupBy("leaf", "place", "token").agg(
-        F.sum("n_docs").alias("n"), F.first("all_docs").alias("all_docs")).where(2 * F.col("n") > F.col("all_docs"))
-    shape = constant.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("shape"))
+        F.sum("n_docs").alias("n"), F.first("all_docs").alias("all_docs"),
+    ).where((F.col("n") >= min_docs) & (F.col("n") >= min_share * F.col("all_docs")))
+    # at most 1 / min_share tokens a place
+    shape = stored(constant.groupBy("leaf").agg(F.collect_set(F.struct("place", "token")).alias("shape")), "shapes")
     matched = known.join(shape, "leaf", "left")
-    agreed = F.size(F.filter(
-        F.transform("tokens", lambda t, k: F.col("shape")[k] == t), lambda same_token: same_token))
-    belongs = (F.size("shape") >= min_constant * F.size("tokens")) & (agreed == F.size("shape"))
-    return matched.select(
-        "leaf", "line",
-        F.when(F.coalesce(belongs, F.lit(False)), F.lit(0).cast("long")).otherwise(F.col("line")).alias("template"))
+    masked = F.transform("tokens", lambda t, k: F.when(
+        F.array_contains("shape", F.struct(k.alias("place"), t.alias("token"))), t))
+    constants = F.size(F.filter("masked", lambda t: t.isNotNull()))
+    of = matched.withColumn("masked", masked)
+    belongs = F.col("shape").isNotNull() & (constants >= min_constant * F.size("tokens"))
+    return of.select(
+        "line", "leaf", F.when(belongs, F.xxhash64(F.lit(0), "masked")).otherwise(F.col("line")).alias("template"))
 
 
 def dropped_lines(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS,
-    min_constant: float = MIN_CONSTANT,
+    min_constant: float = MIN_CONSTANT, min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """Per document with dropped lines: id, ``text_hash`` and ``dropped`` (places of lines, from 0, ascending)."""
     lines = parsed_lines(df, id_column, text_column, depth)
     keys = stored(lines.drop("tokens"), "line-keys")
-    of = templates(lines, keys, min_docs, min_constant)
-    named = stored(keys.join(of, ["leaf", "line"]).select("id", "text_hash", "pos", "leaf", "template"), "templates")
+    of = stored(templates(lines, keys, min_docs, min_constant, min_share), "line-templates")
+    named = stored(keys.select("id", "text_hash", "pos", "line").join(of, "line").select(
+        "id", "text_hash", "pos", "leaf", "template"), "templates")
     return _recurring_places(named, min_docs)
 
 

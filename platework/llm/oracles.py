@@ -20,16 +20,19 @@ WITH l AS (SELECT doc_id, k AS pos, string_split(text, chr(10))[k] AS raw FROM d
 t AS (SELECT doc_id, pos, list_transform(regexp_split_to_array(trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\x0B\f\r]+'),
     lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lines.VARIABLE}' ELSE x END) AS tokens
   FROM l WHERE trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
-keyed AS (SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:{lines.DEPTH}], ' ') AS leaf FROM t),
+cut AS (SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:{lines.DEPTH}], ' ') AS lead,
+  'trailing ' || len(tokens) || ' ' || array_to_string(tokens[-{lines.DEPTH}:], ' ') AS trail FROM t),
+leads AS (SELECT lead, sum(n) AS lead_docs FROM (SELECT lead, tokens, count(DISTINCT doc_id) AS n FROM cut GROUP BY ALL) GROUP BY lead),
+keyed AS (SELECT doc_id, pos, tokens, CASE WHEN lead_docs >= {lines.MIN_DOCS} THEN cut.lead ELSE trail END AS leaf FROM cut JOIN leads ON cut.lead = leads.lead),
 counted AS (SELECT leaf, tokens, count(DISTINCT doc_id) AS n_docs FROM keyed GROUP BY ALL),
 busy AS (SELECT leaf, sum(n_docs) AS all_docs FROM counted GROUP BY leaf HAVING sum(n_docs) >= {lines.MIN_DOCS}),
 known AS (SELECT c.*, all_docs FROM counted c JOIN busy b ON c.leaf = b.leaf),
-constant AS (SELECT leaf, place, token FROM (SELECT leaf, all_docs, n_docs, unnest(range(1, len(tokens) + 1)) AS place, unnest(tokens) AS token FROM known)
-  GROUP BY ALL HAVING 2 * sum(n_docs) > any_value(all_docs)),
-agreed AS (SELECT k.leaf, k.tokens, count(*) AS places, count(*) FILTER (k.tokens[place] = token) AS same
-  FROM known k JOIN constant c ON k.leaf = c.leaf GROUP BY 1, 2),
-of AS (SELECT k.leaf, k.tokens, CASE WHEN places >= {lines.MIN_CONSTANT} * len(k.tokens) AND same = places THEN '' ELSE array_to_string(k.tokens, ' ') END AS template
-  FROM known k LEFT JOIN agreed a ON k.leaf = a.leaf AND k.tokens = a.tokens),
+each AS (SELECT leaf, tokens, all_docs, n_docs, unnest(range(1, len(tokens) + 1)) AS place, unnest(tokens) AS token FROM known),
+constant AS (SELECT leaf, place, token FROM each GROUP BY ALL HAVING sum(n_docs) >= {lines.MIN_DOCS} AND sum(n_docs) >= {lines.MIN_SHARE} * any_value(all_docs)),
+masked AS (SELECT e.leaf, e.tokens, count(c.token) AS places,
+    string_agg(CASE WHEN c.token IS NULL THEN 'x' ELSE '=' || c.token END, ' ' ORDER BY e.place) AS mask
+  FROM each e LEFT JOIN constant c ON e.leaf = c.leaf AND e.place = c.place AND e.token = c.token GROUP BY 1, 2),
+of AS (SELECT leaf, tokens, CASE WHEN places >= {lines.MIN_CONSTANT} * len(tokens) THEN mask ELSE 'line ' || array_to_string(tokens, ' ') END AS template FROM masked),
 named AS (SELECT doc_id, pos, x.leaf, template FROM keyed x JOIN of ON x.leaf = of.leaf AND x.tokens = of.tokens),
 recurring AS (SELECT leaf, template, min((doc_id, pos)) AS first FROM named GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
 gone AS (SELECT doc_id, pos FROM named n JOIN recurring r ON n.leaf = r.leaf AND n.template = r.template WHERE (doc_id, pos) <> first),

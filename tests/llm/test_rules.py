@@ -139,6 +139,7 @@ def items(seed):
     rng = random.Random(seed)
     docs = [t for _, t in documents(seed) if t]
     found = [(k, " ".join(rng.choice(docs).split()[5 : 5 + rng.randint(9, 40)])) for k in range(25)]
+    found += [(None, found[1][1]), (None, " ".join(docs[5].split()[:12])), found[2]]
     return [*found, (90, None), (91, " ,.! "), (92, "zzz"), (93, "Never, Seen-Before"), (3, found[0][1])]
 
 
@@ -154,6 +155,22 @@ def test_leaks(spark, seed, block):
     assert columns(found, *found.columns) == sorted(((docs[k][0], *x) for k, x in brute.leaks(docs, tests).items()), key=repr)
 
 
+@pytest.mark.parametrize("block", [10**6, 40])
+def test_leaks_of_items_with_text_ids_in_blocks(spark, block):
+    """A long item is cut into pieces, equal rows of the benchmark count once, and each block is small."""
+    docs = documents(4)
+    long = " ".join(t for _, t in docs[:6] if t)
+    tests = [("long", long), ("b,c", docs[2][1]), (None, docs[3][1]), ("zz", "zzz"), *[("many", docs[4][1])] * 300]
+    benchmark = spark.createDataFrame(tests, "item_id string, text string")
+    found = leaks.matches(frame(spark, docs), benchmark, block_words=block).select(
+        "doc_id", "n_words", leaks.hit_words().alias("n_hit"), F.size("items").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("sha"), (F.size("spans") > 0).alias("hit"))
+    assert columns(found, *found.columns) == sorted(((docs[k][0], *x) for k, x in brute.leaks(docs, tests).items()), key=repr)
+    parts = leaks.blocks(leaks.pieces(benchmark, "item_id", "text", leaks.WINDOW, block).persist(), block)
+    sizes = [b.agg(F.sum(F.size("words"))).first()[0] for b in parts]
+    assert (len(sizes) == 1 if block > 1000 else len(sizes) > 5) and max(sizes) <= max(2 * block + 20, 10**6 * (block > 1000))
+
+
 def test_spans_are_cut_out(spark):
     item = "one two three four five six seven eight nine ten"
     docs = [(1, f"Before it: {item.upper()}! And after, quite some more words to go on with than there were."),
@@ -176,10 +193,10 @@ def test_recurring_templates_go(spark):
     found = lines.without_recurring_lines(frame(spark, docs), min_docs=5)
     texts = dict(columns(found, "doc_id", "text"))
     assert texts[0] == docs[0][1]  # first place of each template
-    assert texts[4] == "Text numberxxxx of its own\n\nEndyyyy"
+    assert texts[4] == "\nEndyyyy"  # "Text <field> of its own" meets by its trailing tokens
     assert (texts[50], texts[51], texts[52], texts[53]) == (None, "", "", "\n \n")
     counts = {r.doc_id: (r.n_lines, r.n_dropped) for r in found.collect()}
-    assert counts[4] == (5, 2) and counts[51] == (0, 0) and counts[50] == (0, 0) and counts[53] == (3, 0)
+    assert counts[4] == (5, 3) and counts[51] == (0, 0) and counts[50] == (0, 0) and counts[53] == (3, 0)
 
 
 def test_templates_generalise_places_without_digits(spark):
@@ -189,7 +206,22 @@ def test_templates_generalise_places_without_digits(spark):
     found = lines.without_recurring_lines(frame(spark, docs), min_docs=5, depth=1)
     kept = dict(columns(found, "doc_id", "text"))
     assert kept[0] == docs[0][1] and all(kept[k] == "" for k in range(1, 10))
-    assert all(kept[20 + k] for k in range(10))  # lead by different tokens: leaves of their own
+    assert kept[20] == docs[10][1] and all(kept[20 + k] == "" for k in range(1, 10))  # meet by their trailing tokens
+
+
+def test_a_leaf_holds_several_templates(spark):
+    """Two templates with the same leading tokens, one whose first token is a field, and lines that agree in little."""
+    word = lambda k: "w" + "abcdefghij"[k % 10] * (1 + k // 10)
+    docs = [(k, f"see also the {word(k)} page for details now\nown {word(k)} {word(k + 1)} {word(3 * k + 2)} text") for k in range(50)]
+    docs += [(100 + k, f"see also the list of {word(k)} topics here") for k in range(50)]
+    docs += [(200 + k, f"{word(k)} wrote this on our page today") for k in range(50)]
+    found = lines.without_recurring_lines(frame(spark, docs))
+    texts = dict(columns(found, "doc_id", "text"))
+    first = {0: "see also the wa page for details now", 100: docs[50][1], 200: docs[100][1]}
+    for at, text in first.items():
+        assert texts[at].split("\n")[0] == text
+    assert all(texts[100 + k] == "" and texts[200 + k] == "" for k in range(1, 50))
+    assert all(texts[k].startswith("own ") for k in range(1, 50))
 
 
 def test_lines_stay_native(spark):
