@@ -1,6 +1,6 @@
 """Token counts without tokens: an Aho-Corasick automaton finds the vocabulary's pieces in one walk, and a dynamic
-programme carries the best score of each prefix, and only the number of pieces is kept. Stretches of text between
-which no piece reaches are counted once and remembered."""
+programme carries the best score of each prefix and the number of its pieces; no path is kept or walked back. Stretches of
+text between which no piece reaches are counted once and remembered."""
 
 from __future__ import annotations
 

@@ -109,6 +109,34 @@ class Vocabulary:
             best, by = forward(self, self.matches(automaton, text), text, {0: 0.0}, size)
         return by, best[size]
 
+    def counted(self, automaton, text: str) -> tuple[int, float]:
+        """Number of pieces of the best path and its score, by the rules of ``segment``: both are carried from place to
+        place, and no path is kept."""
+        size, lost, single = len(text), -float("inf"), 0
+        best, pieces = [lost] * (size + 1), [0] * (size + 1)
+        best[0] = 0.0
+        for last, (length, score, _) in automaton.iter(text) if self.pieces else ():
+            last += 1
+            score += best[last - length]
+            if length == 1:
+                single += 1
+            if score > best[last]:
+                best[last], pieces[last] = score, pieces[last - length] + 1
+        if single == size:
+            return pieces[size], best[size]
+        ends = self.matches(automaton, text)
+        best = [0.0] + [lost] * size
+        for end in range(1, size + 1):
+            single = False
+            for length, score, _ in ends[end]:
+                single |= length == 1
+                if best[end - length] + score > best[end]:
+                    best[end], pieces[end] = best[end - length] + score, pieces[end - length] + 1
+            if not single and best[end - 1] + self.unknown_score > best[end]:
+                best[end] = best[end - 1] + self.unknown_score
+                pieces[end] = pieces[end - 1] + self.unknown_count(text[end - 1])
+        return pieces[size], best[size]
+
     def unknown_count(self, character: str) -> int:
         return 1 if self.bytes_from is None else len(character.encode())
 
@@ -178,17 +206,14 @@ class Remembered(dict):
 
     def __missing__(self, key: str) -> int:
         text = key[1:] if key.startswith(" ") else " " + key
-        by, score = self.vocabulary.segment(self.automaton, text)
         self.starts.append(len(self.flat))
         if self.with_ids:
+            by, score = self.vocabulary.segment(self.automaton, text)
             ids, _ = backward(self.vocabulary, text, by, len(text))
             self.flat.extend(ids)
             self.sizes.append(len(ids))
         else:
-            n, end = 0, len(text)
-            while by[end] is not None:
-                n += self.vocabulary.unknown_count(text[end - 1]) if by[end][2] < 0 else 1
-                end -= by[end][0]
+            n, score = self.vocabulary.counted(self.automaton, text)
             self.sizes.append(n)
         self.scores.append(score)
         row = self[key] = len(self.sizes) - 1
