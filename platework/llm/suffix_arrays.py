@@ -114,24 +114,33 @@ def suffix_array(data: np.ndarray, symbols: int) -> np.ndarray:
     return induced(s, smaller, leftmost[np.argsort(names, kind="stable")], symbols)[1:]
 
 
-def shares_prefix(data: np.ndarray, array: np.ndarray, window: int) -> np.ndarray:
-    """Whether each suffix shares ``window`` symbols with the one before it in the array: by place in the array.
+def common_prefixes(data: np.ndarray, array: np.ndarray, longest: int) -> np.ndarray:
+    """Symbols, up to ``longest``, that each suffix shares with the one before it in the array: by place in the text.
 
-    The comparison runs in text order (permuted), eight bytes at a time, over what still agrees.
+    The comparison runs in text order (permuted), seven symbols at a time over what still agrees; the symbol that differs
+    is then found within the seven.
     """
     n = len(data)
-    words = np.zeros(n + window + 8, np.uint64)
-    padded = np.append(data, np.zeros(window + 16, data.dtype)).astype(np.uint64)
+    words = np.zeros(n + longest + 8, np.uint64)
+    padded = np.append(data, np.zeros(longest + 16, data.dtype)).astype(np.uint64)
     for k in range(7):
         words |= padded[k : k + len(words)] << np.uint64(9 * k)
     previous = np.full(n, -1, np.int64)
     previous[array[1:]] = array[:-1]
+    shared = np.zeros(n, np.int64)
     alive = np.flatnonzero(previous >= 0)
-    for at in [*range(0, window - 7, 7), window - 7]:
-        alive = alive[words[alive + at] == words[previous[alive] + at]]
-    shared = np.zeros(n, bool)
-    shared[alive] = True
-    return shared[array]
+    for at in range(0, longest, 7):
+        differ = words[alive + at] ^ words[previous[alive] + at]
+        same = differ == 0
+        ended, differ = alive[~same], differ[~same]
+        shared[ended] = at
+        for k in range(1, 7):
+            shared[ended[differ & np.uint64((1 << 9 * k) - 1) == 0]] = at + k
+        alive = alive[same]
+        if not len(alive):
+            break
+    shared[alive] = longest
+    return np.minimum(shared, longest)
 
 
 def masks(contents: list[bytes], rank: np.ndarray, start: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -144,7 +153,7 @@ def masks(contents: list[bytes], rank: np.ndarray, start: np.ndarray, window: in
     owner = np.repeat(np.arange(len(contents)), sizes + 1)
     within = np.arange(len(joined)) - begins[owner]
     whole = (within + window <= sizes[owner])[array]
-    follows = shares_prefix(joined, array, window) & whole
+    follows = (common_prefixes(joined, array, int(sizes.max()))[array] >= window) & whole
     key = (rank[owner].astype(np.int64) << 40) + start[owner] + within
     # Classes of equal windows are neighbours in the array; a suffix with fewer bytes is a class by itself.
     starts = np.flatnonzero(~follows)
