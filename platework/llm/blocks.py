@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,13 +35,31 @@ _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^
 _SPLIT = re.compile(r"[^a-z]+")
 
 
+class Node:
+    """An open element: its own marks, and the element around it. Blocks share their way up, so that memory grows with the
+    number of elements and not with their depth."""
+
+    __slots__ = ("parent", "marks", "vector")
+
+    def __init__(self, parent: Node | None, marks: tuple[str, ...]):
+        self.parent, self.marks, self.vector = parent, marks, None
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]  # marks of the open elements: tag names and words of class, id and role
+    node: Node | None  # the innermost open element
     text: str = ""
     linked: int = 0  # characters inside links
     at: int = 0  # where its text begins in the source
-    parts: list[str] = field(default_factory=list, repr=False)
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Marks of the open elements, outermost first: tag names and words of class, id and role."""
+        found, node = [], self.node
+        while node is not None:
+            found.append(node.marks)
+            node = node.parent
+        return tuple(m for marks in reversed(found) for m in marks)
 
 
 def marks(tag: str, attributes: str, known: dict[tuple[str, str], tuple[str, ...]]) -> tuple[str, ...]:
@@ -61,7 +79,7 @@ def split(source: str, known: dict | None = None) -> list[Block]:
     """The leaf blocks in page order. An unfinished tag at the end is no text."""
     known = {} if known is None else known
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # tag, path down to it
+    stack: list[tuple[str, Node | None]] = []  # tag, innermost element that is no inline one
     links, at, parts, linked, begin = 0, 0, [], 0, 0
 
     def close_block():
@@ -69,7 +87,7 @@ def split(source: str, known: dict | None = None) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(stack[-1][1] if stack else (), text, linked, begin))
+                out.append(Block(stack[-1][1] if stack else None, text, linked, begin))
             parts, linked = [], 0
 
     def pop_to(place: int):
@@ -113,8 +131,8 @@ def split(source: str, known: dict | None = None) -> list[Block]:
                 end = re.compile(f"</{tag}[^>]*>", re.I).search(source, at)
                 at = end.end() if end else size
             elif tag not in VOID and not m[2].endswith("/"):
-                path = stack[-1][1] if stack else ()
-                stack.append((tag, path if tag in INLINE else path + marks(tag, m[2], known)))
+                around = stack[-1][1] if stack else None
+                stack.append((tag, around if tag in INLINE else Node(around, marks(tag, m[2], known))))
                 links += tag == "a"
         elif m[3]:
             tag = m[3].lower()
