@@ -6,18 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platework.bindings.feed import EVENT_CONTRACT, LINE_CONTRACT, Layers, applications, bronze, event_documents, text_documents
+from platework.bindings.feed import LINE_CONTRACT, Layers, applications, bronze, table, text_documents
 from platework.bindings.feed_sql import over_feed
 from platework.bindings.registrations import _SHARED, _SILVER, _amounts, _metrics_sql, _moment
 from platework.bindings.registry import query
 from platework.bindings.streams import _supplier_documents, _write_files
+from platework.operators.grouped import top_k
 from platework.operators.lookups import hot_keys
 from platework.plans import distinct, gold, health, quality, run, store
 from platework.plans.semantic import drill_across
 from platework.schemas import CONTRACT
 from platework.sources import documents
 from platework.session import new_folder
-from platework.sources.tables import write_table
+from platework.sources.tables import small_result, write_table
 
 
 def _config(spark, sf, label: str, mode: str = "reference", **more) -> run.Config:
@@ -181,6 +182,15 @@ def written_reconciliation(spark, sf):
     return quality.reconciliation_metric(*layers.values())
 
 
+@query("SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS ordered FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def small_top_rows(spark, sf):
+    """A top-k brought to the driver for display, by way of the sink that refuses more than it is told to take."""
+    top = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("ordered"))
+    shown = small_result(top_k(top, 20, F.col("o_totalprice").desc(), F.col("o_orderkey").asc()), max_rows=20)
+    return spark.createDataFrame(shown, top.schema)
+
+
 # Distinct counts, hot places, drill-across and drift
 
 def _bitmaps(spark, sf, label: str, by: list[str]) -> str:
