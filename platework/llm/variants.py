@@ -1,16 +1,19 @@
 """Spelling variants: words that differ in one code point, found by grams of variable length, and their usual forms.
 
 The gram dictionary holds what is frequent among the words. A word is taken apart into grams that grow until they are
-rare, so that the lists of words per gram stay short. For each word the bounds on what one edit can touch name one gram
-left and one right of its middle of which at least one is a gram of any near word too; the lists of these are merged
-and every pair is verified.
+rare, so that the lists of words per gram stay short. For each word and each part of it the bounds on what one edit can
+touch name the grams that stay whatever is edited there; a near word has all of them for the part in which the two first
+differ. So the lists of these grams are merged to the words that are in all of them, split by the text outside that part,
+and every pair left is verified.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ MIN_LENGTH, MIN_COUNT, TIMES = 7, 2, 10
 DAMAGED = 31
 #: Lengths of grams; the longest are cut further for short words. Grams of up to ``LONGEST - 1`` may be in the dictionary.
 SHORTEST, LONGEST = 2, 8
+#: Parts of a word, in one of which a pair first differs.
+ZONES = 4
 #: A gram is frequent above so many places, or above a share of all places that leaves at most so many frequent grams of a
 #: length: that bounds the dictionary, which goes through the driver, whatever the size of the table.
 MIN_LIST, FREQUENT = 32, 100_000
@@ -64,10 +69,15 @@ class Grams:
         self.frequent = frequent
 
     @staticmethod
-    def bounds(size: int) -> tuple[int, int]:
-        """The longest gram, and the middle of the padded word: an edit right of it leaves the first gram as it is, any
-        other the last one, as no gram is longer than either half."""
-        return min(LONGEST, (size + 2) // 2), (size + 2) // 2
+    def longest(size: int) -> int:
+        """No gram is longer than half of the padded word, so that the first gram or the last is beyond any one edit."""
+        return min(LONGEST, (size + 2) // 2)
+
+    @staticmethod
+    def zones(size: int) -> list[tuple[int, int]]:
+        """The places of the padded word in ``ZONES`` parts: first, one after the last."""
+        ends = [(size + 2) * k // ZONES for k in range(ZONES + 1)]
+        return list(zip(ends, ends[1:], strict=False))
 
     def _grows(self, gram: str, longest: int) -> bool:
         return len(gram) < longest and (len(gram) < SHORTEST or gram in self.frequent)
@@ -84,77 +94,69 @@ class Grams:
                 reach = end
         return out
 
-    def sides(self, word: str, size: int) -> tuple[list, list]:
-        """Grams that may stand for the word: those in the first half with their place from the start, those in the
-        second with their place from the end."""
-        longest, middle = self.bounds(size)
-        padded = _BEGIN + word + _END
-        grams, n = self.of(padded, longest), len(padded)
-        left = [(at, g) for at, g in grams if at + len(g) <= middle]
-        # counted from the end, so that the words of both lengths hold the same places
-        right = [(n - at - len(g), g) for at, g in grams if size + 2 - (n - at) >= middle]
-        return left, right
-
-    def safe(self, word: str) -> tuple[tuple[int, str], tuple[int, str]]:
-        """The rarest gram that no edit behind the middle can touch, and the rarest that none up to the middle can.
+    def keys(self, word: str, size: int) -> list[tuple[str, str, str]]:
+        """Of the pairs whose shorter word has ``size`` code points, for each zone: the grams, with their places, that no
+        edit in that zone can touch, and what stands before and behind it. Two near words share all of these for the zone
+        in which they first differ.
 
         An edit changes grams that hold it, those to its left that could grow over it, with all that lie inside such, and
-        those to its right that could be inside one grown from its left.
+        those to its right that could be inside one grown from its left. No zone leaves a word without grams.
         """
-        size = len(word)
-        longest, middle = self.bounds(size)
-        padded = _BEGIN + word + _END
-        left, right = self.sides(word, size)
-        grown = next((p for p in range(max(0, middle - longest + 1), middle) if self._grows(padded[p:middle], longest)), middle)
-        left = [(at, g) for at, g in left if at < grown]
-        swallowed = middle + 1
-        while swallowed < len(padded) and swallowed + 1 - middle + 1 <= longest and self._part(padded[middle : swallowed]):
-            swallowed += 1
-        right = [(back, g) for back, g in right if len(padded) - back > swallowed]
-        return min(left, key=self._rank), min(right, key=self._rank)
+        longest, padded = self.longest(size), _BEGIN + word + _END
+        grams, n, out = self.of(padded, longest), len(padded), []
+        for first, end in self.zones(size):
+            grown = next(
+                (p for p in range(max(0, first - longest + 1), first) if self._grows(padded[p:first], longest)), first)
+            # places behind the zone are counted from the end
+            behind = n - (size + 2 - end)
+            swallowed = behind + 1
+            while swallowed < n and swallowed - behind + 2 <= longest and self._part(padded[behind:swallowed]):
+                swallowed += 1
+            stay = "|".join([
+                *[f"{at}<{g}" for at, g in grams if at < grown],
+                *[f"{n - at - len(g)}>{g}" for at, g in grams if at >= behind and at + len(g) > swallowed]])
+            out.append((stay, padded[:first], padded[behind:]))
+        return out
 
     def _part(self, gram: str) -> bool:
         return len(gram) < SHORTEST or gram in self.frequent
 
-    def _rank(self, placed: tuple[int, str]):
-        return placed[1] in self.frequent, -len(placed[1]), placed
-
 
 def _index(found: DataFrame) -> DataFrame:
-    """(size, gram, word, n, asks): a word under each gram that a near word may ask for, ``asks`` where it asks itself.
-    ``gram`` holds the side and the place as well."""
+    """(size, zone, list, word, n): a word in the merged list of each zone's grams, among words of its own length and of
+    one less. A list is split by the text outside the zone, so that verifying begins with the join and no list is gone
+    through pair by pair; lists go by hashes, and what else falls into one is verified like the rest."""
     grams = found.sparkSession.sparkContext.broadcast(frequent_grams(found))
     known = {}
 
     def run(batch):
         takes = known.get(0) or known.setdefault(0, Grams(grams.value))
-        sizes, keys, of, asks, bounds = [], [], [], [], [0]
-        for k, word in enumerate(batch["word"].to_pylist()):
-            chosen = takes.safe(word)
+        sizes, lists = [], []
+        words = batch["word"].to_pylist()
+        for word in words:
             for size in (len(word), len(word) - 1):
-                for side, placed in zip("<>", takes.sides(word, size), strict=True):
-                    for at, gram in placed:
-                        sizes.append(size)
-                        keys.append(f"{side}{at}{gram}")
-                        asks.append(size == len(word) and chosen[side == ">"] == (at, gram))
-                        of.append(k)
-        rows = pa.array(of, pa.int32())
-        return {"size": sizes, "gram": keys, "word": batch["word"].take(rows), "n": batch["n"].take(rows), "asks": asks}
+                sizes.append(size)
+                lists += [xxhash.xxh3_64_intdigest(f"{size} {' '.join(k)}") for k in takes.keys(word, size)]
+        rows = pa.array(np.repeat(np.arange(len(words), dtype=np.int32), 2 * ZONES))
+        return {
+            "size": np.repeat(np.array(sizes, np.int32), ZONES), "zone": np.tile(np.arange(ZONES, dtype=np.int32), len(sizes)),
+            "list": np.array(lists, np.uint64).view(np.int64), "word": batch["word"].take(rows), "n": batch["n"].take(rows)}
 
-    return in_batches(found, run, "size int, gram string, word string, n long, asks boolean")
+    return in_batches(found, run, "size int, zone int, list long, word string, n long")
 
 
 def links(found: DataFrame) -> DataFrame:
     """(word, near, near_n): all pairs of words one edit apart, both ways. ``found`` is a stored table."""
     index = stored(_index(found), "grams")
-    # both sides are stored, so that the join can be split at a gram with many words
-    asking = index.where("asks").select("size", "gram", F.col("word").alias("a"), F.col("n").alias("a_n"))
-    listed = index.select("size", "gram", F.col("word").alias("b"), F.col("n").alias("b_n"))
-    same_start = F.expr("substring(a, 1, int((size + 2) / 2) - 1) = substring(b, 1, int((size + 2) / 2) - 1)")
-    # a pair whose first difference lies behind the middle comes by its left gram only, any other by its right one
-    by_side = F.when(F.col("gram").startswith("<"), same_start).otherwise(~same_start)
-    pairs = asking.join(listed, ["size", "gram"]).where(
-        (F.col("a") != F.col("b")) & by_side & (F.levenshtein("a", "b", 1) == 1))
+    # both sides are stored, so that the join can be split at grams with many words
+    asking = index.where(F.col("size") == F.length("word")).select("size", "zone", "list", F.col("word").alias("a"), F.col("n").alias("a_n"))
+    listed = index.select("zone", "list", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    # a pair comes by the lists of the zone in which it first differs, and no others
+    start = lambda zone: f"int((size + 2) * ({zone}) / {ZONES}) - 1"
+    alike = lambda zone: f"substring(a, 1, {start(zone)}) = substring(b, 1, {start(zone)})"
+    differs_here = F.expr(f"(zone = 0 OR {alike('zone')}) AND (zone = {ZONES - 1} OR NOT {alike('zone + 1')})")
+    pairs = asking.join(listed, ["zone", "list"]).where(
+        (F.col("a") != F.col("b")) & differs_here & (F.levenshtein("a", "b", 1) == 1))
     both = F.when(
         F.length("a") == F.length("b"), F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")))
     ).otherwise(F.array(
@@ -173,8 +175,8 @@ def variants(docs: DataFrame, times: int = TIMES, damaged: int | None = DAMAGED,
     ``root`` (the last word that forms lead to; the word itself without one). Null and empty texts have no words; rows
     that repeat count each; an empty table gives an empty result.
 
-    A near word's list is read by the word's own gram. Frequent grams are a bounded dictionary; a list whose gram cannot
-    grow further (words shorter than twice ``LONGEST``) is as long as there are words with it.
+    Frequent grams are a bounded dictionary; a list holds the words of one length, or one more, that
+    differ in one quarter only.
     """
     found = stored(words(docs, damaged, min_length, min_count), "words")
     best = links(found).groupBy("word").agg(
