@@ -150,13 +150,13 @@ class _Conversation:
     """What is gathered while the rows of one conversation go by."""
 
     def __init__(self, conv):
-        self.conv, self.joined, self.signs, self.written = conv, Joined(), [], None
+        self.conv, self.joined, self.faults, self.written = conv, Joined(), [0, 0, 0], None
         self.low = self.high = self.turn = None
         self.turns = self.illegal = self.cost = 0
         self.before, self.pieces, self.digest, self.begun = None, [], hashlib.sha256(), False
 
     def chunk(self, signs, edits):
-        self.signs.append(signs)
+        self.faults = [n + sum(signs.count(sign(r, k)) for r in "sua-") for n, k in zip(self.faults, (2, 3, 1), strict=True)]
         self.joined.add([(x["entry"], x["leave"], x["cost"], x["audit"]) for x in edits])
 
     def _write(self, turns):
@@ -179,9 +179,8 @@ class _Conversation:
     def result(self):
         if self.written is not None:
             self._write(self.written.rest())
-        faults = [sum(x.count(sign(r, k)) for x in self.signs for r in "sua-") for k in (2, 3, 1)]
         gaps = self.high - self.low + 1 - self.turns if self.turns else 0
-        return (self.conv, gaps, *faults, self.illegal, self.cost, "".join(self.pieces), self.digest.hexdigest())
+        return (self.conv, gaps, *self.faults, self.illegal, self.cost, "".join(self.pieces), self.digest.hexdigest())
 
 
 def repaired(rows: DataFrame, every: DataFrame) -> DataFrame:
