@@ -5,7 +5,7 @@ These write to a new folder under the session's shared folder and return what th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platework.bindings.feed import SCHEMAS, _document, _header, applications, bronze, table
@@ -16,7 +16,7 @@ from platework.plans import health, quality, run
 from platework.plans.silver import build_silver
 from platework.schemas import BEV, CONTRACT
 from platework.session import new_folder
-from platework.sources import documents
+from platework.sources import documents, ranges
 from platework.sources.tables import state_goals, write_table, zip_demographics
 from platework.streaming.ingest import ingest_new, landed, landing_rejects
 from platework.streaming.upserts import Keyed, append_changes, compact, current_state, follow_changes
@@ -123,6 +123,49 @@ def parsed_past_bad_records(spark, sf):
         bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected records").alias("outcome"), "n"))
 
 
+def _documents_of_lines(spark, sf, folder: str) -> None:
+    """A file per 5,000 order keys, which is one document with a record per line item."""
+    items = table(spark, sf, "lineitem").select(
+        F.floor(F.col("l_orderkey") / 5000).alias("part"), F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line"),
+        F.concat(F.lit("]["), F.col("l_returnflag"), F.lit('"')).alias("flag"))
+    order = Window.partitionBy("part").orderBy("key", "line", "flag")
+    record = F.to_json(F.array(*[F.col(c).cast("string") for c in ("key", "line", "flag")]))
+    comma = F.when(F.row_number().over(order) == 1, F.lit("")).otherwise(F.lit(","))
+    text = F.concat(comma, record)
+    names = F.to_json(_header(["key", "line", "flag"]))
+    head = F.concat(F.lit('{"meta":{"view":{"name":"lines","columns":'), names, F.lit('}},"data":['))
+    parts = items.select("part").distinct()
+    rows = items.select("part", F.lit(1).alias("at"), "key", "line", "flag", text.alias("value")).unionByName(
+        parts.select("part", F.lit(0).alias("at"), head.alias("value")), allowMissingColumns=True).unionByName(
+        parts.select("part", F.lit(2).alias("at"), F.lit("]}").alias("value")), allowMissingColumns=True)
+    rows = rows.repartition("part").sortWithinPartitions("part", "at", "key", "line", "flag")
+    rows.select("part", "value").write.partitionBy("part").text(folder)
+
+
+_LINES_SQL = """SELECT l_orderkey AS ORDERKEY, l_linenumber AS LINE, '][' || l_returnflag || '"' AS FLAG, row_number() OVER (
+PARTITION BY l_orderkey // 5000 ORDER BY l_orderkey, l_linenumber, l_returnflag) - 1 AS POSITION FROM lineitem"""
+_LINES = [("key", "ORDERKEY", "bigint"), ("line", "LINE", "int"), ("flag", "FLAG", "string")]
+
+
+@query(_LINES_SQL)
+def records_by_ranges(spark, sf):
+    """Files of many records, each read by several tasks and cut at the ends of records."""
+    folder = new_folder(spark, "documents-of-lines")
+    _documents_of_lines(spark, sf, folder)
+    docs, records = ranges.split_documents(spark, folder, _LINES, range_bytes=1 << 17)
+    rows = ranges.parse_split(docs, records, _LINES)
+    return rows.select("ORDERKEY", "LINE", "FLAG", F.col("RECORD_POSITION").alias("POSITION"))
+
+
+@query("SELECT '[\"key\",\"line\",\"flag\"]' AS names, count(*) AS records FROM lineitem GROUP BY l_orderkey // 5000")
+def documents_by_ranges(spark, sf):
+    """Header and number of records of each file, cut in many ranges."""
+    folder = new_folder(spark, "documents-of-lines")
+    _documents_of_lines(spark, sf, folder)
+    docs, _ = ranges.split_documents(spark, folder, _LINES, range_bytes=1 << 17)
+    return docs.where("fault IS NULL").select(F.to_json("names").alias("names"), "records")
+
+
 @query("""SELECT 'accepted' AS outcome, count(*) AS files FROM nation WHERE n_regionkey <> 2
 UNION ALL SELECT 'rejected', count(*) FROM nation WHERE n_regionkey = 2""")
 def files_loaded_past_errors(spark, sf):

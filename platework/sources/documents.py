@@ -34,10 +34,10 @@ def accept_documents(raw: DataFrame, on_error: str = "abort") -> DataFrame:
         return raw.where(is_json())
     if on_error != "abort":
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
-    return _only(raw, is_json(), F.concat(F.lit("not a JSON document: "), F.col("source_file")))
+    return only_good(raw, is_json(), F.concat(F.lit("not a JSON document: "), F.col("source_file")))
 
 
-def _only(rows: DataFrame, good: Column, message: Column) -> DataFrame:
+def only_good(rows: DataFrame, good: Column, message: Column) -> DataFrame:
     """All rows; one that is not good fails the job, whichever columns are asked for: the test is a filter."""
     return rows.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
@@ -76,7 +76,7 @@ def contract_violations(raw: DataFrame, contract=CONTRACT) -> DataFrame:
 def document_faults(raw: DataFrame, contract=CONTRACT) -> DataFrame:
     """Documents that cannot be parsed by the contract, with the reason: no JSON, no array of records, or fields that
     the header lacks."""
-    return _decoded(raw, "source_file", "loaded_at", good=is_json()).select("source_file", "loaded_at", _fault(contract).alias("reason")).where("reason is not null")
+    return _decoded(raw, "source_file", "loaded_at", good=is_json()).select("source_file", "loaded_at", fault_of(contract).alias("reason")).where("reason is not null")
 
 
 def _decoded(raw: DataFrame, *columns: str, good: Column | None = None) -> DataFrame:
@@ -97,10 +97,11 @@ def decoded_documents(raw: DataFrame, contract=CONTRACT) -> DataFrame:
     docs = _decoded(raw, "loaded_at", "source_file", "accepted", good=F.col("accepted"))
     return docs.select(
         "loaded_at", "source_file", "accepted", d.field_names(F.col("doc")).alias("names"), F.col("doc.data").alias("data"),
-        _fault(contract).alias("fault"))
+        fault_of(contract).alias("fault"))
 
 
-def _fault(contract) -> Column:
+def fault_of(contract) -> Column:
+    """Why the decoded document ``doc`` cannot be parsed by the contract; NULL if it can."""
     missing = d.missing_fields(d.field_names(F.col("doc")), [field for field, _, _ in contract])
     return (
         F.when(F.col("doc").isNull(), F.lit("not a JSON document"))
@@ -112,7 +113,7 @@ def _fault(contract) -> Column:
 def landed_records(raw: DataFrame, contract=CONTRACT) -> DataFrame:
     """One row: how many records the documents hold, and of them those in documents without a fault."""
     rows = _decoded(raw).select(
-        F.coalesce(d.array_size(F.col("doc.data")), F.lit(0)).cast("long").alias("n"), _fault(contract).alias("fault"))
+        F.coalesce(d.array_size(F.col("doc.data")), F.lit(0)).cast("long").alias("n"), fault_of(contract).alias("fault"))
     return rows.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
         F.coalesce(F.sum(F.when(F.col("fault").isNull(), F.col("n"))), F.lit(0)).alias("parsable"),
@@ -157,7 +158,7 @@ def parse_documents(
     """
     docs = _decoded(raw, "loaded_at", "source_file").select(
         "loaded_at", "source_file", d.field_names(F.col("doc")).alias("names"), F.col("doc.data").alias("data"),
-        *([] if on_missing == "null" else [_fault(contract).alias("fault")]))
+        *([] if on_missing == "null" else [fault_of(contract).alias("fault")]))
     return document_rows(docs, contract, on_missing, load_ts, partitions, int_cast)
 
 
@@ -175,7 +176,7 @@ def document_rows(
     fields = [field for field, _, _ in contract]
     if on_missing != "null":
         message = F.concat(F.col("source_file"), F.lit(" "), F.col("fault"))
-        docs = docs.where("fault is null") if on_missing == "reject" else _only(docs, F.col("fault").isNull(), message)
+        docs = docs.where("fault is null") if on_missing == "reject" else only_good(docs, F.col("fault").isNull(), message)
     positions = F.struct(*[d.field_position(F.col("names"), f).alias(f"p{i}") for i, f in enumerate(fields)])
     rows = (
         docs.select("loaded_at", "source_file", positions.alias("at"), "data")
@@ -186,6 +187,13 @@ def document_rows(
     )
     if partitions:
         rows = rows.repartition(partitions)
+    return contract_rows(rows, contract, load_ts, int_cast)
+
+
+def contract_rows(
+    rows: DataFrame, contract=CONTRACT, load_ts: Column | None = None, int_cast: Callable[[Column], Column] = to_int
+) -> DataFrame:
+    """The contract's columns of records, ``at`` holding each field's position in the record's header."""
     rows = rows.select("loaded_at", "source_file", "at", "position", d.record_cells("record").alias("row"))
     cells = [
         typed_cell(F.get(F.col("row"), F.col(f"at.p{i}")), kind, int_cast).alias(column)
