@@ -2,12 +2,15 @@
 
 A text is cut into chunks of characters. Where a piece may reach over a chunk's end, the path through the chunks is
 described by how far it reaches (its state). Each chunk yields the matrix of best scores from entry state to exit
-state; matrices combine associatively (max of sums), which gives every chunk the scores it is entered with. With
-these, a chunk knows for each exit state the entry state and ids of the best path; these maps combine associatively
-from the last chunk back, which settles every chunk's exit state, and each chunk's ids are read off independently.
-
-Only texts of more than one chunk take part in the scan. What is kept of a chunk for it is at most ``longest ** 2``
-numbers, so that of the largest text that Spark can hold (2 GiB) a few dozen MB meet in one group.
+state. Matrices combine associatively (max of sums): those of neighbouring chunks are joined two by two into one per
+group, groups in parallel; one pass over a text's groups gives the scores each group is entered with, and one pass
+within each group, again in parallel, those of its chunks. With these, a chunk knows for each exit state the entry
+state and ids of the best path; these maps combine associatively in the same two levels from the last chunk back,
+which settles every chunk's exit state, and each chunk's ids are read off independently.
+
+Only texts of more than one chunk take part in the scan. What is kept of a chunk for it is ``longest ** 2`` numbers; of
+the largest text that Spark can hold (2 GiB) at most 256 chunks meet in a group, and 256 groups. Sums of scores are
+regrouped by that; they are exact in 64 bits for scores that are 32-bit floats of like size, as a vocabulary's are.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from platework.llm.common import in_batches, row_hash, same, stored
 from platework.llm.unigram import SPACE, Remembered, Vocabulary, backward, forward, gathered, remembered
 
 CHUNK = 32_768
+#: Neighbouring chunks whose matrices are combined in one task.
+GROUP = 256
 #: Ids that are turned to bytes at once.
 STEP_IDS = 1 << 16
 
@@ -104,25 +109,43 @@ class Encoder:
         return ids, rest, entry
 
 
-def entered_scores(matrices: list[np.ndarray]) -> list[np.ndarray]:
-    """The scores that each chunk is entered with: the first matrices combined, from state 0."""
-    scores = [np.where(np.arange(len(matrices[0])) == 0, 0.0, -np.inf)] if matrices else []
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Max-plus product: best scores over two neighbouring stretches, from those over each."""
+    return np.max(a[:, :, None] + b[None, :, :], axis=1)
+
+
+def combined(parts: list, join) -> object:
+    """Neighbours joined two by two until one is left; ``join`` is associative."""
+    while len(parts) > 1:
+        parts = [join(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def entered_scores(matrices: list[np.ndarray], first: np.ndarray) -> list[np.ndarray]:
+    """The scores that each of neighbouring stretches is entered with, given those of the first."""
+    scores = [first]
     for m in matrices[:-1]:
         scores.append(np.max(scores[-1][:, None] + m, axis=0))
     return scores
 
 
-def exit_states(entries: list[list[int]]) -> list[int]:
-    """The state in which each chunk is left: that in which the next one is entered; 0 at the end."""
-    states = [0]
+def composed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Entry state for each exit state over two neighbouring stretches, from those of each (-1: no path)."""
+    return np.where(b >= 0, a[b], -1)
+
+
+def exit_states(entries: list[np.ndarray], last: int) -> list[int]:
+    """The state in which each of neighbouring stretches is left, given that of the last: the one in which the next is
+    entered."""
+    states = [last]
     for entry in reversed(entries[1:]):
-        states.append(entry[states[-1]])
+        states.append(int(entry[states[-1]]))
     return states[::-1]
 
 
 def encode(
     df: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK,
-    decoded: bool = False,
+    decoded: bool = False, group: int = GROUP,
 ) -> DataFrame:
     """Per row: the id, ``text_hash``, ``ids`` (the pieces' ids, without begin and end marks), ``n_chunks`` and, with
     ``decoded``, the text that decoding the ids gives.
@@ -170,10 +193,25 @@ def encode(
         found = [encoder().matrix(part, size, k == 0).ravel().tolist() for part, size, k in parts]
         return {"id": batch["id"], "text_hash": batch["text_hash"], "k": batch["k"], "scores": found}
 
-    def scan(group):
+    def square(scores) -> list[np.ndarray]:
+        return [np.asarray(x).reshape(shared.value.longest, -1) for x in scores]
+
+    def begin() -> np.ndarray:
+        return np.where(np.arange(shared.value.longest) == 0, 0.0, -np.inf)
+
+    def joined_matrices(group):
+        group = group.sort_values("k")
+        found = combined(square(group["scores"]), product)
+        return group[["id", "text_hash", "g"]].head(1).assign(scores=[found.ravel().tolist()])
+
+    def scan_groups(group):
+        group = group.sort_values("g")
+        found = entered_scores(square(group["scores"]), begin())
+        return group[["id", "text_hash", "g"]].assign(entered=[x.tolist() for x in found])
+
+    def scan_chunks(group):
         group = group.sort_values("k")
-        side = shared.value.longest
-        found = entered_scores([np.asarray(x).reshape(side, side) for x in group["scores"]])
+        found = entered_scores(square(group["scores"]), np.asarray(group["entered"].iloc[0]))
         return group[["id", "text_hash", "k"]].assign(entered=[x.tolist() for x in found])
 
     def paths(batch):
@@ -182,9 +220,19 @@ def encode(
         names = dict(zip(("body", "rest", "entry"), map(list, zip(*found, strict=True)), strict=True))
         return {"id": batch["id"], "text_hash": batch["text_hash"], "k": batch["k"]} | names
 
-    def settle(group):
+    def joined_maps(group):
+        group = group.sort_values("k")
+        found = combined([np.asarray(x) for x in group["entry"]], composed)
+        return group[["id", "text_hash", "g"]].head(1).assign(entry=[found.tolist()])
+
+    def settle_groups(group):
+        group = group.sort_values("g")
+        return group[["id", "text_hash", "g"]].assign(left=exit_states([np.asarray(x) for x in group["entry"]], 0))
+
+    def settle_chunks(group):
         group = group.sort_values("k")
-        return group[["id", "text_hash", "k"]].assign(left=exit_states([list(x) for x in group["entry"]]))
+        states = exit_states([np.asarray(x) for x in group["entry"]], int(group["left"].iloc[0]))
+        return group[["id", "text_hash", "k"]].assign(left=states)
 
     out = f"id {kind}, text_hash long, ids array<int>, n_chunks int" + ", decoded string" * decoded
     short = F.col("text").isNull() | (F.length("text") < chunk)
@@ -196,11 +244,24 @@ def encode(
         in_batches(long, cut, f"id {kind}, text_hash long, k int, size int, last boolean, part string")
         .dropDuplicates(["id", "text_hash", "k"]), "chunks")
     key = f"id {kind}, text_hash long, k int"
-    scores = in_batches(parts, matrices, f"{key}, scores array<double>")
-    entered = scores.groupBy("id", "text_hash").applyInPandas(scan, f"{key}, entered array<double>")
+    by_group, group_key = F.floor(F.col("k") / group).cast("int"), ("id", "text_hash", "g")
+
+    def over_groups(chunks, what, join, scan, result):
+        """Each chunk with what its group is entered with (or left in): the chunks of a group joined to one, groups by
+        themselves, then one row per group scanned."""
+        key = f"id {kind}, text_hash long, g int"
+        groups = chunks.groupBy(*group_key).applyInPandas(join, f"{key}, {what}")
+        scanned = stored(groups.groupBy("id", "text_hash").applyInPandas(scan, f"{key}, {result}"), "scanned-groups")
+        return chunks.join(scanned, same(chunks, scanned, *group_key)).select(chunks["*"], scanned[result.split(" ")[0]])
+
+    scores = stored(in_batches(parts, matrices, f"{key}, scores array<double>").withColumn("g", by_group), "matrices")
+    entered = over_groups(scores, "scores array<double>", joined_matrices, scan_groups, "entered array<double>").groupBy(
+        *group_key).applyInPandas(scan_chunks, f"{key}, entered array<double>")
     joined = parts.join(entered, same(parts, entered, "id", "text_hash", "k")).select(parts["*"], entered["entered"])
     found = stored(in_batches(joined, paths, f"{key}, body array<int>, rest array<array<int>>, entry array<int>"), "paths")
-    left = found.select("id", "text_hash", "k", "entry").groupBy("id", "text_hash").applyInPandas(settle, f"{key}, left int")
+    maps = found.select("id", "text_hash", "k", "entry", by_group.alias("g"))
+    left = over_groups(maps, "entry array<int>", joined_maps, settle_groups, "left int").groupBy(
+        *group_key).applyInPandas(settle_chunks, f"{key}, left int")
     chosen = found.join(left, same(found, left, "id", "text_hash", "k")).select(
         found["id"], found["text_hash"], found["k"],
         F.concat(found["body"], F.element_at(found["rest"], left["left"] + 1)).alias("part"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import sentencepiece as spm
 from pyspark.sql import functions as F
@@ -62,6 +63,32 @@ def test_pieces_over_chunk_ends(spark, model, library):
     assert [r.ids for r in found] == [library.encode(t) for t in values]
 
 
+@pytest.mark.parametrize("group", [1, 2, 3, 1000])
+def test_groups_of_chunks(spark, model, library, group):
+    """However many chunks are combined at once, the ids are the library's."""
+    rng = random.Random(9)
+    values = ["".join(rng.choices("theraions ting", k=n)) for n in (50, 150, 333)] + [None, "", "a" * 90, "a" * 90]
+    found = sentencepiece.encode(rows(spark, values), model, chunk=9, group=group).orderBy("doc_id").collect()
+    assert [r.ids for r in found] == [None if t is None else library.encode(t) for t in values]
+
+
+def test_matrices_combine_in_any_order():
+    rng = np.random.default_rng(4)
+    matrices = [np.where(rng.random((5, 5)) < 0.3, -np.inf, rng.integers(-9, 0, (5, 5))) for _ in range(7)]
+    first = np.array([0.0] + [-np.inf] * 4)
+    one_by_one = sentencepiece.entered_scores([*matrices, None], first)[-1]
+    assert (np.max(first[:, None] + sentencepiece.combined(matrices, sentencepiece.product), axis=0) == one_by_one).all()
+    plain = [[max(a[i, k] + b[k, j] for k in range(5)) for j in range(5)] for i in range(5) for a, b in [matrices[:2]]]
+    assert (sentencepiece.product(*matrices[:2]) == np.array(plain)).all()
+    maps = [rng.integers(-1, 5, 5) for _ in range(7)]
+    joined = sentencepiece.combined(maps, sentencepiece.composed)
+    for last in range(5):
+        state = last
+        for m in reversed(maps):
+            state = int(m[state]) if state >= 0 else -1
+        assert joined[last] == state
+
+
 def test_round_trip(spark):
     values = [*texts(), "  two  blanks ", "tab\tand\r\n"]
     encoded = sentencepiece.encode(rows(spark, values), tokenizer_path(), chunk=50)
