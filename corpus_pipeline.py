@@ -40,7 +40,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that with the smallest id. Of the long lines that otherwise
     different documents still share, one copy stays."""
-    kept = stored(near.one_of_each(docs, percent=NEAR_PERCENT), "one-of-each")
+    kept = near.one_of_each(docs, percent=NEAR_PERCENT)
     return _documents(_with_words(lines.without_long_lines(kept)))
 
 

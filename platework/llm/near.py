@@ -288,7 +288,10 @@ def near_duplicates(
 def one_of_each(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The rows of ``df`` with all their columns, one of each group: the smallest id, of rows that repeat one."""
     found = near_duplicates(df, id_column, text_column, **options)
-    out = found.where(~F.col("kept")).select(F.col(id_column).alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    # Only the rows that go are written: the kept ones are read again from ``df``, not copied whole to disk.
+    out = stored(
+        found.where(~F.col("kept")).select(F.col(id_column).alias("__id"), F.col("text_hash").alias("__hash")).distinct(),
+        "not-kept")
     rows = df.withColumns({"__id": F.col(id_column), "__hash": row_hash(text_column)})
     left = rows.join(out, same(rows, out, "__id", "__hash"), "left_anti")
     return left.select(*[f"`{c}`" for c in df.columns])

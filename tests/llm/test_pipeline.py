@@ -7,7 +7,7 @@ import pytest
 from texts import documents
 
 import corpus_pipeline
-from platework.llm import lines, quality
+from platework.llm import lines, near, quality
 from platework.llm.common import stored
 
 
@@ -82,3 +82,20 @@ def test_decontamination(stages):
 def test_encoding(stages):
     assert {r[0] for r in stages[5]} == {r[0] for r in stages[4]}
     assert all(trip and n == len(ids) for _, n, ids, trip in stages[5])
+
+
+def test_near_dedup_writes_no_copy_of_the_texts(spark, monkeypatch):
+    written = []
+
+    def recorded(df, label):
+        written.append((label, tuple(df.columns)))
+        return stored(df, label)
+
+    monkeypatch.setattr(corpus_pipeline, "stored", recorded)
+    monkeypatch.setattr(near, "stored", recorded)
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text, "en", "src", None), (2, text + " end", "en", "src", None), (3, "other words here", "en", "src", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert found == {1, 3}
+    assert [label for label, columns in written if "text" in columns] == []
