@@ -22,7 +22,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from platework.session import stored_bytes, writing
+from platework.sources.tables import OPTIONS
+
 BUCKET, RUN = "bucket", "run"
+#: A task that writes buckets sorts its rows, which take many times the bytes of the files that they come from: it reads so
+#: many bytes at most, so that it need not spill, unless that made more than so many tasks.
+SORTED_SPLIT, MOST_SPLITS = 8 << 20, 100_000
 #: Bucket of rows that are only added to, beside the buckets by key.
 UNKEYED = -1
 _INTENTS = "run string, batch long, step string, names array<string>, begun_at timestamp"
@@ -147,10 +153,13 @@ def write(
     if buckets is not None:
         buckets = tuple(buckets)
         counted.append(per_bucket(F.col(BUCKET), len(buckets)).alias("by_bucket"))
-    writer = df.observe(observed, *counted).write.format(fmt).mode("append")
+    writer = df.observe(observed, *counted).write.format(fmt).mode("append").options(**OPTIONS.get(fmt, {}))
+    spark, splits = df.sparkSession, None
     if buckets is not None:
         writer = writer.partitionBy(BUCKET)
-    writer.save(f"{_path(root, name)}/{RUN}={batch.run}")
+        splits = max(SORTED_SPLIT, stored_bytes(spark, root) // MOST_SPLITS)
+    with writing(spark, splits):
+        writer.save(f"{_path(root, name)}/{RUN}={batch.run}")
     found = observed.get
     counts: dict[int, int] = {}
     for x in found.get("by_bucket") or ():

@@ -1,9 +1,14 @@
 """What queries and runs leave on disk: shuffles that are needed, once each, and gone with the job; narrow rows in them."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from platework.bindings import feed
+from platework.plans import run, store
+from platework.session import split_bytes, stored_bytes, writing
+from platework.sources import tables as tables_module
+from platework.sources.tables import write_table
 
 
 def plan(df) -> str:
@@ -76,3 +81,56 @@ def test_lines_meet_suppliers_without_a_shuffle_and_texts_last(spark, tables, se
     df = feed.bronze(spark, tables)
     assert joins(df)[0] == "SortMerge l_suppkey"
     assert content(df) == expected
+
+
+def shuffles(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+
+def test_shuffles_go_with_the_job_that_wrote_the_table(spark, tmp_path):
+    before = shuffles(spark)
+    rows = spark.range(10_000).repartition(7, "id").withColumn(store.BUCKET, store.bucket_of("id", 4))
+    write_table(rows, f"{tmp_path}/plain")
+    batch = store.begin(spark, str(tmp_path), "a", ["t"], run.utc_now())
+    entry = store.write(rows, str(tmp_path), "t", batch, buckets=range(4))
+    assert shuffles(spark) <= before
+    assert entry.rows == 10_000 == spark.read.parquet(f"{tmp_path}/plain").count()
+    for folder in ("plain", "t"):
+        files = [f for f in (tmp_path / folder).rglob("*.parquet")]
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
+def test_row_groups_are_bounded_by_the_option(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(tables_module.OPTIONS["parquet"], "parquet.block.size", str(1 << 16))
+    write_table(spark.range(200_000, numPartitions=1).select(F.rand(1).alias("x")), f"{tmp_path}/t")
+    file, = (tmp_path / "t").glob("*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 5
+
+
+def test_settings_for_a_write_are_put_back(spark, settings):
+    settings(files__maxPartitionBytes="1m")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    known = spark.conf.get(key, None)
+    with pytest.raises(ZeroDivisionError):
+        with writing(spark, 1000):
+            assert split_bytes(spark) == 1000 and spark.conf.get(key) == "true"
+            raise ZeroDivisionError
+    with writing(spark, 1 << 30):
+        assert split_bytes(spark) == 1 << 20  # never more than the session allows
+    assert split_bytes(spark) == 1 << 20 and spark.conf.get(key, None) == known
+
+
+def test_tasks_that_sort_by_bucket_read_small_splits(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(store, "writing", lambda s, splits=None: seen.append(splits) or writing(s, splits))
+    root = str(tmp_path)
+    rows = spark.range(100).withColumn(store.BUCKET, store.bucket_of("id", 4))
+    batch = store.begin(spark, root, "a", ["t"], run.utc_now())
+    store.write(rows, root, "t", batch, buckets=range(4))
+    store.write(rows.drop(store.BUCKET), root, "plain", batch)
+    monkeypatch.setattr(store, "SORTED_SPLIT", 1)
+    monkeypatch.setattr(store, "MOST_SPLITS", 2)
+    size = stored_bytes(spark, root)
+    store.write(rows, root, "u", batch, buckets=range(4))
+    assert seen == [8 << 20, None, size // 2]
