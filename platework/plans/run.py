@@ -12,12 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from math import gcd
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platework.plans import gold, health, quality, silver, store
 from platework.schemas import INCENTIVE_APPLICATIONS, STATE_GOALS, ZIP_DEMOGRAPHICS
+from platework.session import stored_bytes
 from platework.sources import documents, tables
 from platework.streaming.ingest import ingest_new, landed, landed_with_rejects
 
@@ -26,6 +28,10 @@ LOGS = ["metric_history", "run_log"]
 GOLD = ["dim_vehicle", "dim_geography", "fact_registrations", "agg_by_county", "agg_by_year"]
 #: Folders of signed cells after which they are added up and written together.
 COMPACT_EVERY = 50
+#: Buckets that a task writes at most as it has them after the shuffle by VIN.
+FEW_BUCKETS = 8
+#: Bytes of a table for each partition of its shuffle, under which the partitions count as small.
+SMALL_PARTITION = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -37,8 +43,9 @@ class Config:
     With a lag, a layer that was written less than so many minutes ago is left as it is.
     ``bronze_partitions`` spreads the records of a few large files, each of which is read by one task. ``buckets`` is the
     number of parts by VIN that silver is rewritten in: at least one per few GB. It should divide, or be divided by, the
-    number of shuffle partitions, else rows are shuffled once more. ``before_publish`` is called with a step's name when
-    its tables are whole and not yet visible; an exception leaves them so.
+    number of shuffle partitions, or for large tables have an eighth of it or more as common divisor with it, else rows are
+    shuffled once more. ``before_publish`` is called with a step's name when its tables are whole and not yet visible; an
+    exception leaves them so.
     """
 
     in_dir: str
@@ -198,7 +205,7 @@ def _silver(spark: SparkSession, cfg: Config, now: datetime) -> None:
     if not fresh:
         rows = store.load(spark, cfg.root, "latest", at["latest"], buckets=touched).select(*new.columns).unionByName(new)
     state = silver.latest_state(rows, applications, cfg.mode).withColumn(store.BUCKET, store.bucket_of("VIN", cfg.buckets))
-    latest = write("latest", _by_bucket(spark, state, cfg.buckets), facts=facts, measures={
+    latest = write("latest", _by_bucket(spark, state, cfg.buckets, stored_bytes(spark, cfg.path("bronze"))), facts=facts, measures={
         "unkeyed": F.count_if(F.col("VIN").isNull())})
     state = store.load(spark, cfg.root, "latest", _only(latest), keep_bucket=True)
     written = [
@@ -219,10 +226,14 @@ def _only(entry: store.Entry) -> store.Table:
     return found
 
 
-def _by_bucket(spark: SparkSession, df: DataFrame, buckets: int) -> DataFrame:
-    """Rows that lie by VIN after a shuffle, so that each task has few buckets."""
+def _by_bucket(spark: SparkSession, df: DataFrame, buckets: int, size: int) -> DataFrame:
+    """Rows that lie by VIN after a shuffle, so that each task has few buckets. A partition of that shuffle has one bucket
+    in every gcd(partitions, buckets), so that rows made of a table of many bytes (``size``) are not shuffled again unless
+    that leaves it too many; small partitions are put together in execution, and would write many small files."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df if parts % buckets == 0 or buckets % parts == 0 else df.repartition(store.BUCKET)
+    apart = gcd(parts, buckets)
+    few = apart == min(parts, buckets) or (buckets // apart <= FEW_BUCKETS and size >= parts * SMALL_PARTITION)
+    return df if few else df.repartition(store.BUCKET)
 
 
 def _gold(spark: SparkSession, cfg: Config, now: datetime) -> None:
@@ -262,8 +273,13 @@ def _gold(spark: SparkSession, cfg: Config, now: datetime) -> None:
     new = store.write(delta, cfg.root, "cells", batch, adds=known is not None, facts=facts)
     merged = _only(new)
     if known is not None:
+        # Added up once for the three tables that are made of them; what is written here is not published.
         merged.plain = [*known.plain, new]
-    all_cells = gold.merged_cells(store.load(spark, cfg.root, "cells", merged))
+        merged = _only(store.write(
+            gold.merged_cells(store.load(spark, cfg.root, "cells", merged)), cfg.root, "merged_cells", batch))
+        all_cells = store.load(spark, cfg.root, "merged_cells", merged)
+    else:
+        all_cells = store.load(spark, cfg.root, "cells", merged)
     written = [
         new, in_buckets("dim_vehicle", gold.dim_vehicle(came, True, store.BUCKET)),
         in_buckets("fact_registrations", gold.fact_registrations(came, store.BUCKET)),

@@ -3,9 +3,10 @@
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from samples import bronze, registration
 
 from platework.bindings import feed
-from platework.plans import run, store
+from platework.plans import gold, run, store
 from platework.session import split_bytes, stored_bytes, writing
 from platework.sources import tables as tables_module
 from platework.sources.tables import write_table
@@ -134,3 +135,24 @@ def test_tasks_that_sort_by_bucket_read_small_splits(spark, tmp_path, monkeypatc
     size = stored_bytes(spark, root)
     store.write(rows, root, "u", batch, buckets=range(4))
     assert seen == [8 << 20, None, size // 2]
+
+
+@pytest.mark.parametrize("partitions, size, again", [
+    (200, 200 << 20, False), (200, 1 << 20, True), (64, 0, False), (16, 0, False), (201, 1 << 40, True)])
+def test_large_latest_rows_are_shuffled_once(spark, settings, partitions, size, again):
+    settings(shuffle__partitions=str(partitions))
+    rows = spark.range(10).withColumn(store.BUCKET, store.bucket_of("id", 32))
+    assert ("Exchange" in plan(run._by_bucket(spark, rows, 32, size))) == again
+
+
+def test_cells_are_added_up_once_for_the_tables_made_of_them(spark, tmp_path, monkeypatch):
+    cfg = run.Config(str(tmp_path / "in"), str(tmp_path / "root"))
+    used, made = [], gold.agg_by_county_of
+    monkeypatch.setattr(gold, "agg_by_county_of", lambda cells: used.append(cells) or made(cells))
+    waves = [[registration("A1"), registration("A2", CITY="Tacoma")], [registration("A1", CITY="Yakima", RECORD_POSITION=9)]]
+    for wave in waves:
+        run.append_bronze(spark, cfg, bronze(spark, wave))
+        run.refresh(spark, cfg, only=["silver", "gold"])
+    assert len(used) == 2 and all("Exchange" not in plan(cells) for cells in used)
+    assert [sorted(r["CITY"] for r in cells.collect()) for cells in used] == [["SEATTLE", "TACOMA"], ["TACOMA", "YAKIMA"]]
+    assert run.load(spark, cfg, "agg_by_county").first()["REGISTRATION_COUNT"] == 2
